@@ -64,29 +64,28 @@ def range_sums(
         .withColumn("_bucket", F.floor(F.col("_at") / F.lit(bucket)))
     )
     passed = {
-        f"{n}_{k}": F.sum(F.when(F.col("_kind") == i, F.col(n)))
-        for i, k in enumerate(kinds)
-        for n in names
+        f"{n}_{k}": f"sum(CASE WHEN _kind = {i} THEN `{n}` END)" for i, k in enumerate(kinds) for n in names
     }
     in_bucket = W.partitionBy(*keys, "_bucket").orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
+    # Shuffle and sort the narrow rows; the window would widen them first.
+    narrow = replay.repartition(*keys, "_bucket").sortWithinPartitions(*keys, "_bucket", "_at")
     markers = (
-        replay.select(
-            *keys, "_bucket", "_at", "_kind", *[e.over(in_bucket).alias(c) for c, e in passed.items()]
+        narrow.select(
+            *keys, "_bucket", "_at", "_kind", *[F.expr(e).over(in_bucket).alias(c) for c, e in passed.items()]
         )
-        .where(F.col("_kind") == -1)
+        .where("_kind = -1")
         .drop("_kind")
     )
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     earlier = (
         replay.groupBy(*keys, "_bucket")
-        .agg(*[e.alias(c) for c, e in passed.items()])
+        .agg(*[F.expr(f"{e} AS `{c}`") for c, e in passed.items()])
         .select(*keys, "_bucket", *[F.sum(c).over(before).alias(f"_e_{c}") for c in passed])
     )
-    zero = F.lit(0)
-    return attach(markers, earlier, [*keys, "_bucket"], "inner", null_safe=keys).select(
-        *keys,
-        F.col("_at").alias(ts),
-        *[(F.coalesce(c, zero) + F.coalesce(f"_e_{c}", zero)).alias(c) for c in passed],
+    return attach(markers, earlier, [*keys, "_bucket"], "inner", null_safe=keys).selectExpr(
+        *[f"`{k}`" for k in keys],
+        f"_at AS `{ts}`",
+        *[f"coalesce(`{c}`, 0) + coalesce(`_e_{c}`, 0) AS `{c}`" for c in passed],
     )
 
 
@@ -118,18 +117,16 @@ def range_mean(
     offsets = {"hi": delay, **{f"lo{j}": w + 1 for j, w in enumerate(windows.values()) if w is not None}}
     sums = range_sums(df, ts, measures, offsets, keys)
 
-    def frame(measure: str, j: int, width: int | None) -> Column:
-        high = F.col(f"{measure}_hi")
-        return high if width is None else high - F.col(f"{measure}_lo{j}")
+    def frame(measure: str, j: int, width: int | None) -> str:
+        return f"{measure}_hi" if width is None else f"({measure}_hi - {measure}_lo{j})"
 
     columns = []
     for i, v in enumerate(values):
         for j, (label, width) in enumerate(windows.items()):
-            mean = F.try_divide(
-                frame(f"s{i}", j, width).cast("double"), frame(counter[v], j, width).cast("double")
-            )
-            columns.append(mean.alias((names or {}).get((v, label), f"{v}_{label}")))
-    return sums.select(*keys, ts, *columns)
+            total, rows = frame(f"s{i}", j, width), frame(counter[v], j, width)
+            name = (names or {}).get((v, label), f"{v}_{label}")
+            columns.append(f"try_divide(CAST({total} AS DOUBLE), CAST({rows} AS DOUBLE)) AS `{name}`")
+    return sums.selectExpr(*[f"`{k}`" for k in keys], f"`{ts}`", *columns)
 
 
 def running_totals(
