@@ -1 +1,153 @@
+"""Scaling, rebalancing, training and scoring."""
 
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ..operators.resample import duplicate_minority, rose
+from ..plans import features as P
+from ..plans import training as M
+from ..plans.split import temporal_split
+from ..schema import EPOCH, FEATURES, ROW_ID, TARGET
+from ..session import stage, stage_path
+from ..sources.adapters import table
+from .base import merged_sql, query, rnd, rounded, sql_rnd
+from .history import inputs, merged
+
+# Columns known without any history, so training queries measure training.
+PLAIN = (
+    "amount has_chip gender online_transaction amex discover mastercard visa credit debit debit_prepaid "
+    "card_present_transaction hour_sin hour_cos month_sin month_cos day_of_week_sin day_of_week_cos is_holiday weekend"
+).split()
+
+
+def plain_splits(spark, sf, source="events"):
+    df = stage(merged(spark, sf, source).select(ROW_ID, EPOCH, *PLAIN, TARGET), "plain")
+    return temporal_split(df)
+
+
+def _scaled(spark, sf, scaling):
+    df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").cast("double").alias("key"))
+    df = VectorAssembler(inputCols=["o_totalprice", "key"], outputCol="assembled").transform(df)
+    out = M.make_scaler(scaling).fit(df).transform(df)
+    values = vector_to_array("features")
+    return out.select("o_orderkey", rnd(values[0]).alias("price"), rnd(values[1]).alias("customer"))
+
+
+def _scaling_sql(text):
+    price, key = text.format(x="o_totalprice"), text.format(x="o_custkey")
+    return f"SELECT o_orderkey, {sql_rnd(price)} AS price, {sql_rnd(key)} AS customer FROM orders"
+
+
+@query("standard_scaling", _scaling_sql("({x} - avg({x}) OVER ()) / stddev_samp({x}) OVER ()"))
+def standard_scaling(spark, sf):
+    return _scaled(spark, sf, "standard")
+
+
+@query("min_max_scaling", _scaling_sql("CAST({x} - min({x}) OVER () AS DOUBLE) / (max({x}) OVER () - min({x}) OVER ())"))
+def min_max_scaling(spark, sf):
+    return _scaled(spark, sf, "min_max")
+
+
+@query(
+    "upsampling_with_duplicates",
+    f"{merged_sql('orders')} SELECT transaction_id, is_fraud FROM merged UNION ALL SELECT transaction_id, is_fraud FROM merged CROSS JOIN generate_series(1, 2) WHERE is_fraud = 1",
+)
+def upsampling(spark, sf):
+    return duplicate_minority(merged(spark, sf, "orders").select(ROW_ID, TARGET), TARGET, 2)
+
+
+@query(
+    "rose_counts",
+    f"""{merged_sql('orders')}, c AS (SELECT sum(is_fraud)::BIGINT AS p, count(*) - sum(is_fraud)::BIGINT AS n FROM merged)
+SELECT 0 AS is_fraud, n AS "rows" FROM c UNION ALL SELECT 1, p + CAST(trunc(n * (0.3::DOUBLE / (1 - 0.3::DOUBLE)) - p) AS BIGINT) FROM c""",
+)
+def rose_counts(spark, sf):
+    df = stage(merged(spark, sf, "orders").select(ROW_ID, "amount", "hour_sin", TARGET), "plain")
+    out = rose(df, ["amount", "hour_sin"], TARGET, ROW_ID, share=0.3, shrinkage=0.5)
+    return out.groupBy(TARGET).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("rose_rows")
+def rose_rows(spark, sf):
+    df = stage(merged(spark, sf, "orders").select(ROW_ID, "amount", "day_of_week_sin", TARGET), "plain")
+    return rose(df, ["amount", "day_of_week_sin"], TARGET, ROW_ID, share=0.3, shrinkage=0.5)
+
+
+def _trained(spark, sf, name, params=None, **recipe):
+    train, valid, test = plain_splits(spark, sf)
+    made = M.Recipe(params={name: params or {}}, **recipe)
+    _, scored = M.train_candidates([name], train, valid, test, PLAIN, recipe=made)
+    return M.candidate_metrics(scored)
+
+
+@query("train_logistic_regression")
+def train_logistic_regression(spark, sf):
+    return _trained(spark, sf, "logistic_regression", sampling="rose", share=0.3, shrinkage=0.5)
+
+
+@query("train_linear_svm")
+def train_linear_svm(spark, sf):
+    return _trained(spark, sf, "sgd_classifier", sampling="upsampling_with_duplicates", scaling="min_max")
+
+
+@query("train_random_forest")
+def train_random_forest(spark, sf):
+    return _trained(spark, sf, "random_forest", {"n_estimators": 20}, scaling="none")
+
+
+@query("train_boosting_weighted")
+def train_boosting_weighted(spark, sf):
+    return _trained(spark, sf, "xgboost", {"n_estimators": 5, "max_depth": 4})
+
+
+@query("train_boosting_balanced")
+def train_boosting_balanced(spark, sf):
+    return _trained(spark, sf, "lightgbm", {"n_estimators": 5, "max_depth": 4}, use_validation=False)
+
+
+@query("candidate_selection")
+def candidate_selection(spark, sf):
+    train, valid, test = plain_splits(spark, sf)
+    names = ["logistic_regression", "sgd_classifier"]
+    recipe = M.Recipe(params={"logistic_regression": {"max_iter": 50}, "sgd_classifier": {"max_iter": 20}})
+    _, scored = M.train_candidates(names, train, valid, test, PLAIN, recipe=recipe)
+    return M.best_candidate(scored)
+
+
+@query("candidate_curves")
+def candidate_curves(spark, sf):
+    train, valid, test = plain_splits(spark, sf)
+    _, scored = M.train_candidates(["logistic_regression"], train, valid, test, PLAIN)
+    return M.candidate_curves(scored)
+
+
+@query("train_on_features")
+def train_on_features(spark, sf):
+    """Feature table, time split, rebalanced training, metrics: the whole way."""
+    table_ = stage(P.build_features(*inputs(spark, sf, "orders")), "features")
+    train, valid, test = temporal_split(table_)
+    recipe = M.Recipe(sampling="rose", share=0.3, shrinkage=0.5, params={"logistic_regression": {"max_iter": 50}})
+    _, scored = M.train_candidates(["logistic_regression"], train, valid, test, FEATURES, recipe=recipe)
+    return M.candidate_metrics(scored)
+
+
+@query("saved_model_champion")
+def saved_model_champion(spark, sf):
+    """A model written, read back and defended against a challenger."""
+    train, _, test = plain_splits(spark, sf)
+    path = stage_path(spark, "model")
+    M.train("logistic_regression", train, PLAIN)[0].write().save(path)
+    champion = PipelineModel.load(path)
+    challenger, _ = M.train("sgd_classifier", train, PLAIN, recipe=M.Recipe(params={"sgd_classifier": {"max_iter": 20}}))
+    return M.champion_check(champion, challenger, test)
+
+
+@query("batch_scoring")
+def batch_scoring(spark, sf):
+    train, _, test = plain_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, PLAIN)
+    return rounded(M.score(model, test, [ROW_ID, TARGET]), (ROW_ID, TARGET, "prediction"))
