@@ -1 +1,200 @@
+"""Statistics, skew, drift and the streaming jobs."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import stats as D
+from ..plans import training as M
+from ..plans.split import assign_split
+from ..schema import EPOCH, ROW_ID, TARGET
+from ..session import stage, stage_path
+from ..sources.adapters import table
+from ..streaming import monitor, scoring
+from .base import merged_sql, query, rnd, rounded, sql_rnd
+from .history import merged
+from .modelling import PLAIN, plain_splits
+
+NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+STATS = "mean std_dev min max".split()
+
+
+def _stats_sql():
+    parts = [
+        f"""SELECT '{c}' AS feature, count({c}) AS present, count(*) - count({c}) AS missing, count(*) FILTER ({c} = 0) AS zeros,
+  {sql_rnd(f'avg({c})', 4)} AS mean, {sql_rnd(f'stddev_pop({c})', 4)} AS std_dev, {sql_rnd(f'min({c})', 4)} AS min, {sql_rnd(f'max({c})', 4)} AS max FROM lineitem"""
+        for c in NUMERIC
+    ]
+    return " UNION ALL ".join(parts)
+
+
+@query("feature_stats", _stats_sql())
+def feature_stats(spark, sf):
+    out = D.feature_stats(table(spark, sf, "lineitem"), NUMERIC)
+    return out.select("feature", "present", "missing", "zeros", *[rnd(F.col(c), 4).alias(c) for c in STATS])
+
+
+@query("feature_stats_sketches")
+def feature_stats_sketches(spark, sf):
+    """Medians and distinct counts, from sketches."""
+    return D.feature_stats(table(spark, sf, "lineitem")).select("feature", "type", "median", "approx_distinct")
+
+
+@query(
+    "feature_schema",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, 'FLOAT' AS type, count(*) = count({c}) AS required, {sql_rnd(f'min({c})')} AS low, {sql_rnd(f'max({c})')} AS high, env AS environment, NOT ('{c}' = 'l_tax' AND env = 'SERVING') AS expected FROM lineitem CROSS JOIN (VALUES ('TRAINING'), ('SERVING')) AS v(env) GROUP BY env"
+        for c in NUMERIC
+    ),
+)
+def feature_schema(spark, sf):
+    stats = D.feature_stats(table(spark, sf, "lineitem"), NUMERIC)
+    out = D.infer_schema(stats, "l_tax")
+    return out.withColumns({c: rnd(F.col(c)) for c in ("low", "high")})
+
+
+@query(
+    "schema_anomalies",
+    """WITH t AS (SELECT * FROM lineitem WHERE l_quantity <= 40), s AS (SELECT * FROM lineitem)
+SELECT 'l_quantity' AS feature, 'OUT_OF_RANGE' AS anomaly FROM t HAVING (SELECT max(l_quantity) FROM s) > max(l_quantity)
+UNION ALL SELECT 'l_tax', 'UNEXPECTED_IN_ENVIRONMENT' FROM s HAVING count(*) > 0
+UNION ALL SELECT 'l_linenumber', 'NEW_COLUMN' FROM s HAVING count(*) > 0""",
+)
+def schema_anomalies(spark, sf):
+    df = table(spark, sf, "lineitem")
+    known = df.select("l_quantity", "l_discount", "l_tax").where("l_quantity <= 40")
+    expected = D.infer_schema(D.feature_stats(known), "l_tax")
+    return D.validate(df.select("l_quantity", "l_discount", "l_tax", "l_linenumber"), expected, "SERVING")
+
+
+def _bin_sql(c, source="lineitem", reference="lineitem"):
+    return f"""SELECT '{c}' AS feature, CAST(greatest(0, least(9, floor((CAST({c} AS DOUBLE) - lo) / (hi - lo) * 10))) AS INTEGER) AS bin, count(*) AS n
+  FROM {source}, (SELECT CAST(min({c}) AS DOUBLE) AS lo, CAST(max({c}) AS DOUBLE) AS hi FROM {reference}) GROUP BY 1, 2"""
+
+
+@query("histograms", " UNION ALL ".join(_bin_sql(c) for c in NUMERIC))
+def histograms(spark, sf):
+    df = table(spark, sf, "lineitem").select(*NUMERIC)
+    return D.histograms(df, NUMERIC, D.bin_edges(df, NUMERIC))
+
+
+@query("quantile_histogram")
+def quantile_histogram(spark, sf):
+    return D.quantile_histogram(table(spark, sf, "lineitem"), NUMERIC)
+
+
+@query(
+    "top_values",
+    """WITH l AS (SELECT 'o_orderstatus' AS feature, o_orderstatus AS value FROM orders UNION ALL SELECT 'o_orderpriority', o_orderpriority FROM orders),
+c AS (SELECT feature, value, count(*) AS n FROM l GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) AS rank FROM c)
+SELECT feature, value, n, rank FROM r WHERE rank <= 2""",
+)
+def top_values(spark, sf):
+    return D.top_values(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"], 2)
+
+
+DISTANCE = """
+ps AS (SELECT feature, bin, n / sum(n) OVER (PARTITION BY feature) AS p FROM a), qs AS (SELECT feature, bin, n / sum(n) OVER (PARTITION BY feature) AS q FROM b),
+j AS (SELECT feature, coalesce(p, 0) AS p, coalesce(q, 0) AS q FROM ps FULL JOIN qs USING (feature, bin)),
+d AS (SELECT feature, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2 AS js, max(abs(p - q)) AS linf FROM j GROUP BY 1)"""
+
+
+@query(
+    "training_serving_skew",
+    f"""{merged_sql('orders')}, cut AS (SELECT quantile_disc(sec, 0.7) AS q FROM merged), tr AS (SELECT merged.* FROM merged, cut WHERE sec < q), se AS (SELECT merged.* FROM merged, cut WHERE sec >= q),
+a AS ({_bin_sql('amount', 'tr', 'tr')} UNION ALL {_bin_sql('month_sin', 'tr', 'tr')}), b AS ({_bin_sql('amount', 'se', 'tr')} UNION ALL {_bin_sql('month_sin', 'se', 'tr')}), {DISTANCE}
+SELECT feature, {sql_rnd('js')} AS distance, CAST(0.01 AS DOUBLE) AS threshold, js > 0.01 AS alert FROM d""",
+)
+def training_serving_skew(spark, sf):
+    df = stage(assign_split(merged(spark, sf, "orders").select(ROW_ID, EPOCH, "amount", "month_sin")), "split")
+    train, serving = df.where("split = 'training'"), df.where("split <> 'training'")
+    return D.skew(train, serving, {"amount": 0.01, "month_sin": 0.01}).withColumn("distance", rnd(F.col("distance")))
+
+
+@query(
+    "categorical_skew",
+    f"""WITH a AS (SELECT 'o_orderstatus' AS feature, o_orderstatus AS bin, count(*) AS n FROM orders WHERE year(o_orderdate) < 2000 GROUP BY 2),
+b AS (SELECT 'o_orderstatus' AS feature, o_orderstatus AS bin, count(*) AS n FROM orders WHERE year(o_orderdate) >= 2000 GROUP BY 2), {DISTANCE}
+SELECT feature, {sql_rnd('linf')} AS distance, CAST(0.01 AS DOUBLE) AS threshold, linf > 0.01 AS alert FROM d""",
+)
+def categorical_skew(spark, sf):
+    df = table(spark, sf, "orders")
+    old, new = df.where(F.year("o_orderdate") < 2000), df.where(F.year("o_orderdate") >= 2000)
+    out = D.skew(old, new, {"o_orderstatus": 0.01}, categorical=["o_orderstatus"])
+    return out.withColumn("distance", rnd(F.col("distance")))
+
+
+WINDOWED = """
+w AS (SELECT time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01') AS window_start, CAST(greatest(0, least(9, floor((value - lo) / (hi - lo) * 10))) AS INTEGER) AS bin, count(*) AS n
+  FROM events, (SELECT min(value) AS lo, max(value) AS hi FROM events) GROUP BY 1, 2)"""
+
+
+@query(
+    "serving_drift",
+    f"""WITH {WINDOWED}, prev AS (SELECT window_start, lag(window_start) OVER (ORDER BY window_start) AS before FROM (SELECT DISTINCT window_start FROM w)),
+a AS (SELECT prev.window_start AS feature, bin, n FROM prev JOIN w ON w.window_start = prev.before), b AS (SELECT w.window_start AS feature, bin, n FROM w JOIN prev USING (window_start) WHERE before IS NOT NULL), {DISTANCE}
+SELECT feature AS window_start, 'value' AS feature, {sql_rnd('js')} AS distance, CAST(0.01 AS DOUBLE) AS threshold, js > 0.01 AS alert FROM d""",
+)
+def serving_drift(spark, sf):
+    events = table(spark, sf, "events").select("ts", "value")
+    h = monitor.window_histograms(events, "ts", ["value"], D.bin_edges(events, ["value"]))
+    out = monitor.drift_report(h, {"value": 0.01})
+    return out.withColumns({"distance": rnd(F.col("distance")), "window_start": F.col("window_start").cast("timestamp_ntz")})
+
+
+def event_stream(spark, sf):
+    schema = table(spark, sf, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+
+
+@query(
+    "stream_histograms",
+    f"""WITH {WINDOWED} SELECT window_start, 'value' AS feature, bin, n FROM w
+WHERE window_start + INTERVAL 6 HOURS <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""",
+)
+def stream_histograms(spark, sf):
+    """Closed six-hour windows of a stream equal the batch result."""
+    edges = stage(D.bin_edges(table(spark, sf, "events"), ["value"]), "edges")
+    h = monitor.window_histograms(event_stream(spark, sf), "ts", ["value"], edges)
+    path, mark = stage_path(spark, "histograms"), stage_path(spark, "progress")
+    monitor.write_histograms(h, path, mark).awaitTermination()
+    return spark.read.schema(h.schema).parquet(path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@query("stream_log", f"SELECT event_id, user_id, {sql_rnd('value')} AS value FROM events")
+def stream_log(spark, sf):
+    """An append-only log of the whole stream."""
+    stream = scoring.sampled(event_stream(spark, sf), "event_id").select("event_id", "user_id", rnd(F.col("value")).alias("value"))
+    path, mark = stage_path(spark, "log"), stage_path(spark, "progress")
+    scoring.append_log(stream, path, mark).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("stream_log_sampled")
+def stream_log_sampled(spark, sf):
+    stream = scoring.sampled(event_stream(spark, sf), "event_id", 0.25).select("event_id")
+    path, mark = stage_path(spark, "log"), stage_path(spark, "progress")
+    scoring.append_log(stream, path, mark).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+@query("stream_scoring")
+def stream_scoring(spark, sf):
+    """Requests arrive as files, leave as scored records in the log."""
+    train, valid, test = plain_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, PLAIN)
+    requests = stage_path(spark, "requests")
+    test.drop(TARGET).write.parquet(requests)
+    stream = spark.readStream.schema(test.drop(TARGET).schema).parquet(requests)
+    out = scoring.score_stream(stream, model, [ROW_ID])
+    path, mark = stage_path(spark, "responses"), stage_path(spark, "progress")
+    scoring.append_log(out, path, mark).awaitTermination()
+    return rounded(spark.read.schema(out.schema).parquet(path), (ROW_ID, "prediction"))
+
+
+@query("attribution_skew")
+def attribution_skew(spark, sf):
+    train, _, test = plain_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, PLAIN)
+    out = D.attribution_skew(model, train, test, {"amount": 0.01, "hour_sin": 0.01})
+    return rounded(out, ("feature", "alert"))
