@@ -360,10 +360,10 @@ def union_year_slices(spark, sf):
 @query(
     "hot_users",
     """WITH c AS (SELECT user_id, count(*) AS n FROM events GROUP BY 1)
-SELECT user_id FROM c WHERE n > greatest(5, (SELECT sum(n) FROM c) / 100.0)""",
+SELECT user_id FROM c WHERE n > greatest(70, (SELECT sum(n) FROM c) / 100000.0)""",
 )
 def hot_users(spark, sf):
-    return hot_keys(table(spark, sf, "events"), "user_id", min_rows=5, max_keys=100)
+    return hot_keys(table(spark, sf, "events"), "user_id", min_rows=70)
 
 
 VERSION_NAMES = """names AS (SELECT CASE o_orderkey % 3 WHEN 0 THEN 'card_frauds_' || strftime(o_orderdate, '%Y%m%d') || lpad(CAST(o_orderkey % 86400 AS VARCHAR), 6, '0')
