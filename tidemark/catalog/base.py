@@ -34,7 +34,8 @@ def sql_rnd(value: str, digits: int = 6) -> str:
 
 def rounded(df: DataFrame, keep: list[str] | tuple[str, ...]) -> DataFrame:
     """Every column outside ``keep`` rounded."""
-    return df.select(*keep, *[rnd(F.col(f"`{c}`")).alias(c) for c in df.columns if c not in keep])
+    text = "floor(CAST(`{c}` AS DOUBLE) * 1000000D + 0.5D) / 1000000D AS `{c}`"
+    return df.selectExpr(*keep, *[text.format(c=c) for c in df.columns if c not in keep])
 
 
 TX = {

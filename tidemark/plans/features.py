@@ -119,20 +119,26 @@ def _user_history_native(df: DataFrame, user: str, ts: str, amount: str, row_id:
     A frame that starts at the first row is only ever added to, so each trailing sum
     is a difference of two such frames: linear in rows however long the window is.
     """
-    earlier_rows = W.partitionBy(user).orderBy(ts, row_id).rowsBetween(W.unboundedPreceding, -1)
-    columns = {
-        "_sum_rows": F.sum(amount).over(earlier_rows),
-        "_n_rows": F.count(amount).over(earlier_rows),
-        "_all_rows": F.count(row_id).over(earlier_rows),
-        "_first": F.min(at).over(W.partitionBy(user)),
-    }
-    by_second = W.partitionBy(user).orderBy(ts)
+    wide = df.withColumns(
+        {
+            "_first": F.min(at).over(W.partitionBy(user)),
+            **{
+                f"_{n}_rows": F.expr(e).over(
+                    W.partitionBy(user).orderBy(ts, row_id).rowsBetween(W.unboundedPreceding, -1)
+                )
+                for n, e in (("sum", f"sum(`{amount}`)"), ("n", f"count(`{amount}`)"), ("all", f"count(`{row_id}`)"))
+            },
+        }
+    )
+    columns = []
     for label, shift in {"now": 1, **{k: d * DAY + 1 for k, d in days.items()}}.items():
-        frame = by_second.rangeBetween(W.unboundedPreceding, -shift)
-        columns[f"sum_{label}"] = F.coalesce(F.sum(amount).over(frame), F.lit(0))
-        columns[f"n_{label}"] = F.count(amount).over(frame)
-        columns[f"all_{label}"] = F.count(row_id).over(frame)
-    return df.select("*", *[e.alias(c) for c, e in columns.items()])
+        frame = f"OVER (PARTITION BY `{user}` ORDER BY `{ts}` RANGE BETWEEN UNBOUNDED PRECEDING AND {shift} PRECEDING)"
+        columns += [
+            f"coalesce(sum(`{amount}`) {frame}, 0) AS `sum_{label}`",
+            f"count(`{amount}`) {frame} AS `n_{label}`",
+            f"count(`{row_id}`) {frame} AS `all_{label}`",
+        ]
+    return wide.selectExpr("*", *columns)
 
 
 def _user_history_bucketed(df: DataFrame, user: str, ts: str, amount: str, row_id: str, at: str, days: dict) -> DataFrame:
@@ -187,52 +193,53 @@ def user_windows(
 
 
 def _user_columns(wide: DataFrame, keep: Sequence[str], at: str, days: dict) -> DataFrame:
-    def mean(total: Column, n: Column) -> Column:
-        return F.coalesce(F.try_divide(total.cast("double"), n.cast("double")), F.lit(0.0))
+    def mean(total: str, n: str) -> str:
+        return f"coalesce(try_divide(CAST({total} AS DOUBLE), CAST({n} AS DOUBLE)), 0D)"
 
-    count, since = F.col("transaction_count"), F.col("days_since_first_transaction")
+    since = "days_since_first_transaction"
 
-    def rate(n: Column, span: Column) -> Column:
-        return F.when(since > 0, F.try_divide(n.cast("double"), span.cast("double"))).otherwise(F.lit(0.0))
+    def rate(n: str, span: str) -> str:
+        return f"CASE WHEN {since} > 0 THEN CAST({n} AS DOUBLE) / CAST({span} AS DOUBLE) ELSE 0D END"
 
-    base = wide.withColumns(
-        {
-            "mean_amount": mean(F.col("_sum_rows"), F.col("_n_rows")),
-            "transaction_count": F.col("_all_rows"),
-            "days_since_first_transaction": S.days_between(F.col(at), F.col("_first")),
-        }
-    )
+    base = {
+        "mean_amount": mean("_sum_rows", "_n_rows"),
+        "transaction_count": "_all_rows",
+        since: f"CAST(datediff(to_date(`{at}`), to_date(_first)) AS BIGINT)",
+    }
     # The running count already leaves the current payment out and one more is
     # subtracted: the definition the models were trained with.
-    columns = {"transaction_frequency_all": rate(count - 1, since)}
+    columns = {"transaction_frequency_all": rate("(transaction_count - 1)", since)}
     for label, d in days.items():
-        columns[f"mean_amount_last_{label}"] = mean(
-            F.col("sum_now") - F.col(f"sum_{label}"), F.col("n_now") - F.col(f"n_{label}")
-        )
-        columns[f"transaction_frequency_last_{label}"] = rate(
-            F.col("all_now") - F.col(f"all_{label}"), F.least(F.lit(d), since)
-        )
-    return base.select(
-        *keep,
-        "mean_amount",
-        "transaction_count",
-        "days_since_first_transaction",
-        *[e.alias(c) for c, e in columns.items()],
+        columns[f"mean_amount_last_{label}"] = mean(f"(sum_now - `sum_{label}`)", f"(n_now - `n_{label}`)")
+        columns[f"transaction_frequency_last_{label}"] = rate(f"(all_now - `all_{label}`)", f"least({d}, {since})")
+    return _add(wide, base).selectExpr(
+        *[f"`{c}`" for c in keep], *base, *[f"{e} AS `{c}`" for c, e in columns.items()]
     )
 
 
-def user_ratios(df: DataFrame, ratio=S.safe_ratio) -> DataFrame:
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """New columns from SQL text: one call to the JVM each, however long the formula."""
+    return df.selectExpr("*", *[f"{e} AS `{c}`" for c, e in columns.items()])
+
+
+def _quotient(short: str, long: str, fill: bool) -> str:
+    """Ratio of two columns; an undefined one is 0, or NULL without ``fill``."""
+    ratio = f"try_divide(`{short}`, `{long}`)"
+    return f"coalesce({ratio}, 0D)" if fill else ratio
+
+
+def user_ratios(df: DataFrame, fill: bool = True) -> DataFrame:
     """Short windows relative to long ones: 6 spend and 6 frequency columns."""
     columns = {}
     for long in LONG:
         for short in SHORT:
-            columns[f"mean_amount_last_{short}_relative_to_last_{long}"] = ratio(
-                F.col(f"mean_amount_last_{short}"), F.col(f"mean_amount_last_{long}")
+            columns[f"mean_amount_last_{short}_relative_to_last_{long}"] = _quotient(
+                f"mean_amount_last_{short}", f"mean_amount_last_{long}", fill
             )
-            columns[f"{short}_transaction_frequency_relative_to_last_{long}"] = ratio(
-                F.col(f"transaction_frequency_last_{short}"), F.col(f"transaction_frequency_last_{long}")
+            columns[f"{short}_transaction_frequency_relative_to_last_{long}"] = _quotient(
+                f"transaction_frequency_last_{short}", f"transaction_frequency_last_{long}", fill
             )
-    return df.withColumns(columns)
+    return _add(df, columns)
 
 
 def global_rates(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY, fill: float | None = 0.0, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
@@ -246,10 +253,10 @@ def global_rates(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS *
     )
     if fill is None:
         return rates
-    return rates.select(ts, *[F.coalesce(c, F.lit(fill)).alias(c) for c in names.values()])
+    return rates.selectExpr(ts, *[f"coalesce(`{c}`, {fill}D) AS `{c}`" for c in names.values()])
 
 
-def rate_ratios(df: DataFrame, own: bool = False, ratio=S.safe_ratio, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
+def rate_ratios(df: DataFrame, own: bool = False, fill: bool = True, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
     """Short rates relative to long ones.
 
     The long rate is that of all fraud, or with ``own`` that of the same channel.
@@ -258,25 +265,23 @@ def rate_ratios(df: DataFrame, own: bool = False, ratio=S.safe_ratio, channels:
     for c in channels:
         for short in ("30_days", "60_days"):
             for long in ("365_days", "2_years"):
-                base = f"fraud_{c if own else ''}rolling_mean_{long}"
-                columns[f"fraud_{c}rolling_{short}_relative_to_{long}"] = ratio(
-                    F.col(f"fraud_{c}rolling_mean_{short}"), F.col(base)
+                columns[f"fraud_{c}rolling_{short}_relative_to_{long}"] = _quotient(
+                    f"fraud_{c}rolling_mean_{short}", f"fraud_{c if own else ''}rolling_mean_{long}", fill
                 )
-    return df.withColumns(columns)
+    return _add(df, columns)
 
 
-def channel_shares(df: DataFrame, ratio=S.safe_ratio, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
+def channel_shares(df: DataFrame, fill: bool = True, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
     """Each channel's rate relative to the rate of all fraud in the same window."""
-    return df.withColumns(
-        {
-            f"fraud_{c}rolling_{w}_relative_to_all_frauds": ratio(
-                F.col(f"fraud_{c}rolling_mean_{w}"), F.col(f"fraud_rolling_mean_{w}")
-            )
-            for c in channels
-            if c
-            for w in RATE_WINDOWS
-        }
-    )
+    columns = {
+        f"fraud_{c}rolling_{w}_relative_to_all_frauds": _quotient(
+            f"fraud_{c}rolling_mean_{w}", f"fraud_rolling_mean_{w}", fill
+        )
+        for c in channels
+        if c
+        for w in RATE_WINDOWS
+    }
+    return _add(df, columns)
 
 
 def fraud_rate_features(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY) -> DataFrame:
@@ -314,7 +319,5 @@ def rolling_rates_unlagged(df: DataFrame, ts: str = EPOCH) -> DataFrame:
     Frames are ``[t - w, t)``: the offline variant used for exploration, whose channel
     ratios divide by the channel's own long rate.  Needs the user windows in ``df``.
     """
-    rates = channel_shares(
-        rate_ratios(global_rates(df, ts, delay=1, fill=None), own=True, ratio=F.try_divide), ratio=F.try_divide
-    )
-    return user_ratios(attach(df, rates, [ts]), ratio=F.try_divide)
+    rates = rate_ratios(global_rates(df, ts, delay=1, fill=None), own=True, fill=False)
+    return user_ratios(attach(df, channel_shares(rates, fill=False), [ts]), fill=False)
