@@ -44,7 +44,11 @@ def range_sums(
     """
     names = list(measures)
     kinds = list(offsets)
-    instants = df.groupBy(*keys, ts).agg(*[F.sum(e).alias(n) for n, e in measures.items()])
+    # The keys travel as one struct, which is never NULL itself: NULL keys then
+    # group and join like any other value and every step shares one partitioning.
+    key = ["_key"] if keys else []
+    packed = [F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key")] if keys else []
+    instants = df.groupBy(*packed, F.col(ts).alias("_ts")).agg(*[F.sum(e).alias(n) for n, e in measures.items()])
     moves = F.array(
         F.struct(F.lit(-1).alias("kind"), F.lit(0).cast("bigint").alias("shift")),
         *[
@@ -53,37 +57,32 @@ def range_sums(
         ],
     )
     replay = (
-        instants.where(F.col(ts).isNotNull())
+        instants.where("_ts IS NOT NULL")
         .withColumn("_move", F.explode(moves))
-        .select(
-            *keys,
-            (F.col(ts) + F.col("_move.shift")).alias("_at"),
-            F.col("_move.kind").alias("_kind"),
-            *names,
-        )
+        .selectExpr(*key, "_ts + _move.shift AS _at", "_move.kind AS _kind", *names)
         .withColumn("_bucket", F.floor(F.col("_at") / F.lit(bucket)))
     )
     passed = {
         f"{n}_{k}": f"sum(CASE WHEN _kind = {i} THEN `{n}` END)" for i, k in enumerate(kinds) for n in names
     }
-    in_bucket = W.partitionBy(*keys, "_bucket").orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
+    in_bucket = W.partitionBy(*key, "_bucket").orderBy("_at").rangeBetween(W.unboundedPreceding, 0)
     # Shuffle and sort the narrow rows; the window would widen them first.
-    narrow = replay.repartition(*keys, "_bucket").sortWithinPartitions(*keys, "_bucket", "_at")
+    narrow = replay.repartition(*key, "_bucket").sortWithinPartitions(*key, "_bucket", "_at")
     markers = (
         narrow.select(
-            *keys, "_bucket", "_at", "_kind", *[F.expr(e).over(in_bucket).alias(c) for c, e in passed.items()]
+            *key, "_bucket", "_at", "_kind", *[F.expr(e).over(in_bucket).alias(c) for c, e in passed.items()]
         )
         .where("_kind = -1")
         .drop("_kind")
     )
-    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = W.partitionBy(*key).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     earlier = (
-        replay.groupBy(*keys, "_bucket")
+        replay.groupBy(*key, "_bucket")
         .agg(*[F.expr(f"{e} AS `{c}`") for c, e in passed.items()])
-        .select(*keys, "_bucket", *[F.sum(c).over(before).alias(f"_e_{c}") for c in passed])
+        .select(*key, "_bucket", *[F.sum(c).over(before).alias(f"_e_{c}") for c in passed])
     )
-    return attach(markers, earlier, [*keys, "_bucket"], "inner", null_safe=keys).selectExpr(
-        *[f"`{k}`" for k in keys],
+    return attach(markers, earlier, [*key, "_bucket"], "inner").selectExpr(
+        *[f"_key.`{k}` AS `{k}`" for k in keys],
         f"_at AS `{ts}`",
         *[f"coalesce(`{c}`, 0) + coalesce(`_e_{c}`, 0) AS `{c}`" for c in passed],
     )

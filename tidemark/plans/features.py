@@ -119,13 +119,13 @@ def _user_history_native(df: DataFrame, user: str, ts: str, amount: str, row_id:
     A frame that starts at the first row is only ever added to, so each trailing sum
     is a difference of two such frames: linear in rows however long the window is.
     """
+    in_order = W.partitionBy(user).orderBy(ts, row_id)
     wide = df.withColumns(
         {
-            "_first": F.min(at).over(W.partitionBy(user)),
+            # In time order the smallest value so far is the first: no second sort.
+            "_first": F.min(at).over(in_order.rowsBetween(W.unboundedPreceding, 0)),
             **{
-                f"_{n}_rows": F.expr(e).over(
-                    W.partitionBy(user).orderBy(ts, row_id).rowsBetween(W.unboundedPreceding, -1)
-                )
+                f"_{n}_rows": F.expr(e).over(in_order.rowsBetween(W.unboundedPreceding, -1))
                 for n, e in (("sum", f"sum(`{amount}`)"), ("n", f"count(`{amount}`)"), ("all", f"count(`{row_id}`)"))
             },
         }
@@ -300,15 +300,16 @@ def build_features(
     """The feature table: row id, epoch, the chosen features, target.
 
     The merged payments are staged once because four steps read them.  User
-    features are computed in place; per-second and per-category results are
-    joined back, and columns nobody selected are pruned from every step.
+    features are computed in place.  Category means and global rates are put
+    together per (category, second) first, so the payments move once for both.
+    Columns nobody selected are pruned from every step.
     """
     delay = delay_days * DAY
     merged = stage(merge_payments(transactions, users, cards, holidays), "merged")
     rows = user_ratios(user_windows(merged))
     means = range_mean(merged, EPOCH, [TARGET], {"": None}, delay, keys=["mcc"], names={(TARGET, ""): "mcc_mean_encoding"})
-    rows = attach(rows, means, ["mcc", EPOCH], null_safe=["mcc"])
-    rows = attach(rows, fraud_rate_features(merged, EPOCH, delay), [EPOCH])
+    settled = attach(means, fraud_rate_features(merged, EPOCH, delay), [EPOCH])
+    rows = attach(rows, settled, ["mcc", EPOCH], null_safe=["mcc"])
     rows = rows.withColumn("mcc_mean_encoding", F.coalesce("mcc_mean_encoding", F.lit(0.0)))
     return rows.select(ROW_ID, EPOCH, *[F.col(f"`{f}`") for f in features], TARGET)
 

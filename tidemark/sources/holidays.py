@@ -79,9 +79,10 @@ def us_holidays(spark: SparkSession, first: int = 1980, last: int = 2035) -> Dat
 
 def holiday_flag(df: DataFrame, date_column: str, holidays: DataFrame, output: str = "is_holiday") -> DataFrame:
     """1 where the day is in the holiday table, else 0 (a NULL day is 0)."""
+    # One row per calendar day at most, so it is always small enough to broadcast.
     listed = holidays.select(F.col("date").alias("_holiday")).distinct()
     return (
-        df.join(listed, F.to_date(F.col(date_column)) == F.col("_holiday"), "left")
+        df.join(F.broadcast(listed), F.to_date(F.col(date_column)) == F.col("_holiday"), "left")
         .withColumn(output, flag(F.col("_holiday").isNotNull()))
         .drop("_holiday")
     )
