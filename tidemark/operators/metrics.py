@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .prefix import double_levels, running_totals
+from .shards import shard
 
 _ONE = "_all"
 
@@ -99,16 +100,17 @@ def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str]
 def precision_at_k(scored: DataFrame, label: str, score: str, k: int = 200, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
     """Share of positives among the k highest scores, always divided by k.
 
-    ``tie`` orders equal scores; each task keeps its own best k before any row moves.
+    ``tie`` orders equal scores.  Each task keeps its own best k before any row
+    moves, then each group of tasks does, so the last step sees few rows.
     """
     scored, keys = _grouped(scored, by)
     order = [F.col(score).desc(), *([F.col(tie)] if tie else [])]
-    top = scored.select(*keys, label, score, *([tie] if tie else [])).withColumn(
-        "_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))
-    )
+    top = scored.select(*keys, label, score, *([tie] if tie else []), shard().alias("_shard"))
+    for group in ([*keys, "_shard"], keys):
+        rank = F.row_number().over(W.partitionBy(*group).orderBy(*order))
+        top = top.withColumn("_rank", rank).where(F.col("_rank") <= k)
     return (
-        top.where(F.col("_rank") <= k)
-        .groupBy(*keys)
+        top.groupBy(*keys)
         .agg((F.sum(label) / F.lit(float(k))).alias(f"precision_top_{k}"))
         .select(*by, f"precision_top_{k}")
     )

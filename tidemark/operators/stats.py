@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shards import shard
+
 
 def _kind(data_type: T.DataType) -> str:
     if not isinstance(data_type, T.NumericType):
@@ -16,17 +18,30 @@ def _kind(data_type: T.DataType) -> str:
     return "INT" if isinstance(data_type, T.IntegralType) else "FLOAT"
 
 
+def _sketches(df: DataFrame, columns: Sequence[str], precision: int = 800) -> DataFrame:
+    """One row: a quantile sketch ``q{i}`` per number and a distinct-value sketch ``u{i}`` per column."""
+    first, last = [], []
+    for i, name in enumerate(columns):
+        c = F.col(f"`{name}`")
+        first.append(F.hll_sketch_agg(F.when(c.isNotNull(), F.xxhash64(c)), 12).alias(f"u{i}"))
+        last.append(F.hll_union_agg(f"u{i}").alias(f"u{i}"))
+        if _kind(df.schema[name].dataType) != "BYTES":
+            first.append(F.kll_sketch_agg_double(c.cast("double"), precision).alias(f"q{i}"))
+            last.append(F.kll_merge_agg_double(f"q{i}", precision).alias(f"q{i}"))
+    return df.groupBy(shard().alias("_shard")).agg(*first).agg(*last)
+
+
 def feature_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per feature from a single pass over the data.
+    """One row per feature: exact counts and moments, sketched median and distinct count.
 
     Features that are not numbers leave the numeric fields NULL.
     """
     columns = list(columns or df.columns)
     null = F.lit(None).cast("double")
-    aggregates, rows = [F.count(F.lit(1)).alias("all_rows")], []
+    aggregates, exact, sketched = [F.count(F.lit(1)).alias("all_rows")], [], []
     for i, name in enumerate(columns):
         c, kind = F.col(f"`{name}`"), _kind(df.schema[name].dataType)
-        aggregates += [F.count(c).alias(f"n{i}"), F.approx_count_distinct(c, 0.02).alias(f"u{i}")]
+        aggregates.append(F.count(c).alias(f"n{i}"))
         if kind != "BYTES":
             x = c.cast("double")
             aggregates += [
@@ -34,14 +49,13 @@ def feature_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
                 F.stddev_pop(x).alias(f"s{i}"),
                 F.count_if(c == 0).alias(f"z{i}"),
                 F.min(x).alias(f"l{i}"),
-                F.percentile_approx(x, 0.5, 10_000).alias(f"m{i}"),
                 F.max(x).alias(f"h{i}"),
             ]
 
         def number(prefix: str, numeric: bool = kind != "BYTES", i: int = i) -> Column:
             return F.col(f"{prefix}{i}").cast("double") if numeric else null
 
-        rows.append(
+        exact.append(
             F.struct(
                 F.lit(name).alias("feature"),
                 F.lit(kind).alias("type"),
@@ -51,12 +65,19 @@ def feature_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
                 number("s").alias("std_dev"),
                 number("z").cast("bigint").alias("zeros"),
                 number("l").alias("min"),
-                number("m").alias("median"),
                 number("h").alias("max"),
-                F.col(f"u{i}").alias("approx_distinct"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+        median = F.kll_sketch_get_quantile_double(f"q{i}", F.lit(0.5)) if kind != "BYTES" else null
+        sketched.append(
+            F.struct(
+                F.lit(name).alias("feature"),
+                median.alias("median"),
+                F.hll_sketch_estimate(f"u{i}").alias("approx_distinct"),
+            )
+        )
+    rows = df.agg(*aggregates).select(F.inline(F.array(*exact)))
+    return rows.join(_sketches(df, columns).select(F.inline(F.array(*sketched))), "feature")
 
 
 def top_values(df: DataFrame, columns: Sequence[str], k: int = 20) -> DataFrame:
@@ -142,21 +163,18 @@ def histograms(df: DataFrame, columns: Sequence[str], edges: DataFrame, bins: in
     return binned(df, columns, edges, bins, keep).groupBy(*keep, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quantile_histogram(df: DataFrame, columns: Sequence[str], buckets: int = 10, accuracy: int = 10_000) -> DataFrame:
+def quantile_histogram(df: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
     """(feature, bucket, low, high): approximate bounds of equally full buckets, in one pass."""
-    points = [i / buckets for i in range(buckets + 1)]
-    agg = df.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), points, accuracy).alias(f"q{i}") for i, c in enumerate(columns)])
+
+    def bound(i: int, step: int) -> Column:
+        return F.kll_sketch_get_quantile_double(f"q{i}", F.lit(step / buckets))
+
     rows = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.lit(b).alias("bucket"),
-            F.col(f"q{i}")[b].alias("low"),
-            F.col(f"q{i}")[b + 1].alias("high"),
-        )
+        F.struct(F.lit(c).alias("feature"), F.lit(b).alias("bucket"), bound(i, b).alias("low"), bound(i, b + 1).alias("high"))
         for i, c in enumerate(columns)
         for b in range(buckets)
     ]
-    return agg.select(F.inline(F.array(*rows)))
+    return _sketches(df, columns).select(F.inline(F.array(*rows)))
 
 
 def category_counts(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
