@@ -200,6 +200,29 @@ def rolling_unlagged(spark, sf):
     return rounded(df.select(ROW_ID, *RATES, *RATIOS, *SHARES), (ROW_ID,))
 
 
+USER_RATIOS = [c for c in HISTORY if "relative" in c]
+
+
+def _user_ratio_sql(column: str) -> str:
+    short, long = column.split("_relative_to_")
+    if column[0].isdigit():
+        short = "transaction_frequency_last_" + short.removesuffix("_transaction_frequency")
+        long = f"transaction_frequency_{long}"
+    else:
+        long = f"mean_amount_{long}"
+    return f'{sql_rnd(f"{short} / nullif({long}, 0)")} AS "{column}"'
+
+
+@query(
+    "user_ratios_unlagged",
+    f"{history_sql('orders')} SELECT transaction_id, {', '.join(map(_user_ratio_sql, USER_RATIOS))} FROM wide",
+)
+def user_ratios_unlagged(spark, sf):
+    """Spend and frequency ratios that stay NULL where the long window is empty."""
+    df = P.user_ratios(P.user_windows(merged(spark, sf, "orders")), fill=False)
+    return rounded(df.select(ROW_ID, *[F.col(f"`{c}`") for c in USER_RATIOS]), (ROW_ID,))
+
+
 @query(
     "trailing_event_mean",
     f"""WITH e AS (SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS sec, CAST(value AS DECIMAL(12,2)) AS v FROM events)

@@ -151,3 +151,11 @@ def batch_scoring(spark, sf):
     train, _, test = plain_splits(spark, sf)
     model, _ = M.train("logistic_regression", train, PLAIN)
     return rounded(M.score(model, test, [ROW_ID, TARGET]), (ROW_ID, TARGET, "prediction"))
+
+
+@query("evaluation_report")
+def evaluation_report(spark, sf):
+    """Predictions and metrics of one model as written tables."""
+    train, _, test = plain_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, PLAIN)
+    return M.evaluation_report(model, test, stage_path(spark, "report"))

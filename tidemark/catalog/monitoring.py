@@ -40,13 +40,20 @@ def feature_stats_sketches(spark, sf):
     return D.feature_stats(table(spark, sf, "lineitem")).select("feature", "type", "median", "approx_distinct")
 
 
-@query(
-    "feature_schema",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, 'FLOAT' AS type, count(*) = count({c}) AS required, {sql_rnd(f'min({c})')} AS low, {sql_rnd(f'max({c})')} AS high, env AS environment, NOT ('{c}' = 'l_tax' AND env = 'SERVING') AS expected FROM lineitem CROSS JOIN (VALUES ('TRAINING'), ('SERVING')) AS v(env) GROUP BY env"
-        for c in NUMERIC
-    ),
+SCHEMA_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 'FLOAT' AS type, count(*) = count({c}) AS required, {sql_rnd(f'min({c})')} AS low, {sql_rnd(f'max({c})')} AS high, env AS environment, NOT ('{c}' = 'l_tax' AND env = 'SERVING') AS expected FROM lineitem CROSS JOIN (VALUES ('TRAINING'), ('SERVING')) AS v(env) GROUP BY env"
+    for c in NUMERIC
 )
+
+
+@query("written_profile", SCHEMA_SQL)
+def written_profile(spark, sf):
+    """Statistics and schema written as tables; the schema read back."""
+    _, schema = D.write_profile(table(spark, sf, "lineitem"), "l_tax", stage_path(spark, "profile"), NUMERIC)
+    return schema.withColumns({c: rnd(F.col(c)) for c in ("low", "high")})
+
+
+@query("feature_schema", SCHEMA_SQL)
 def feature_schema(spark, sf):
     stats = D.feature_stats(table(spark, sf, "lineitem"), NUMERIC)
     out = D.infer_schema(stats, "l_tax")

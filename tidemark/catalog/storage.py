@@ -92,14 +92,17 @@ def load_parquet(spark, sf):
     return out.select("s_suppkey", "s_name", "s_acctbal")
 
 
-@query("load_prediction_shards", "SELECT event_id, value FROM events WHERE event_id % 3 > 0")
+@query("load_prediction_shards", "SELECT event_id, value FROM events WHERE event_type <> 'error'")
 def load_prediction_shards(spark, sf):
     """Two result shards are read; the error shard beside them is not."""
-    df = table(spark, sf, "events").select("event_id", "value")
+    events = table(spark, sf, "events")
+    columns = ("event_id", "value")
     folder = stage_path(spark, "batch")
-    for name, kept in (("errors-0", 0), ("results-1", 1), ("results-2", 2)):
-        df.where(F.col("event_id") % 3 == kept).write.json(f"{folder}/predictions.{name}")
-    return IO.load_files(spark, folder, stage_path(spark, "loaded"), "jsonl", df.schema, predictions=True)
+    shards = {"errors-0": ["error"], "results-1": ["click", "view"], "results-2": ["purchase", "signup"]}
+    for name, kept in shards.items():
+        events.where(F.col("event_type").isin(kept)).select(*columns).write.json(f"{folder}/predictions.{name}")
+    schema = events.select(*columns).schema
+    return IO.load_files(spark, folder, stage_path(spark, "loaded"), "jsonl", schema, predictions=True)
 
 
 @query("export_skip_existing", "SELECT p_partkey, p_size FROM part")
@@ -112,13 +115,13 @@ def export_skip_existing(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("replace_or_keep", "SELECT c_custkey, 'second' AS written FROM customer WHERE c_custkey % 2 = 1")
+@query("replace_or_keep", "SELECT c_custkey, 'second' AS written FROM customer")
 def replace_or_keep(spark, sf):
     """Create, replace, then a create-if-missing that must not change anything."""
     df = table(spark, sf, "customer").select("c_custkey")
     target = stage_path(spark, "table")
     IO.save_as(df.withColumn("written", F.lit("first")), target)
-    IO.save_as(df.where("c_custkey % 2 = 1").withColumn("written", F.lit("second")), target)
+    IO.save_as(df.withColumn("written", F.lit("second")), target)
     IO.save_as(df.withColumn("written", F.lit("third")), target, replace=False)
     return IO.read_table(spark, target)
 

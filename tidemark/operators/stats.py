@@ -115,6 +115,15 @@ def infer_schema(stats: DataFrame, target: str) -> DataFrame:
     )
 
 
+def write_profile(df: DataFrame, target: str, folder: str, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write ``stats`` and ``schema`` tables of the training data; return both as written."""
+    folder, spark = folder.rstrip("/"), df.sparkSession
+    feature_stats(df, columns).write.mode("overwrite").parquet(f"{folder}/stats")
+    stats = spark.read.parquet(f"{folder}/stats")
+    infer_schema(stats, target).write.mode("overwrite").parquet(f"{folder}/schema")
+    return stats, spark.read.parquet(f"{folder}/schema")
+
+
 def validate(df: DataFrame, expected: DataFrame, environment: str) -> DataFrame:
     """Anomalies of a table against the expected schema: (feature, anomaly)."""
     seen = feature_stats(df).select(

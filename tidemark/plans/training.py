@@ -16,6 +16,7 @@ from ..operators.metrics import challenge, evaluate, pr_curve, ranking_metrics,
 from ..operators.resample import resample
 from ..schema import ROW_ID, TARGET
 from ..session import stage
+from ..sources.files import read_table, save_as
 
 SCALINGS = ("standard", "min_max", "none")
 MODELS = ("logistic_regression", "sgd_classifier", "random_forest", "xgboost", "lightgbm")
@@ -208,6 +209,15 @@ def candidate_metrics(scored: DataFrame, label: str = TARGET, row_id: str = ROW_
     return evaluate(scored, label, "fraud_probability", "prediction", ["model", "split"], tie=row_id)
 
 
+def evaluation_report(model: PipelineModel, test: DataFrame, folder: str, label: str = TARGET, row_id: str = ROW_ID) -> DataFrame:
+    """Score a test set once, write ``predictions`` and ``metrics`` below the folder, return the metrics."""
+    folder = folder.rstrip("/")
+    save_as(score(model, test, [row_id, label]), f"{folder}/predictions")
+    predictions = read_table(test.sparkSession, f"{folder}/predictions")
+    save_as(evaluate(predictions, label, "fraud_probability", "prediction", tie=row_id), f"{folder}/metrics")
+    return read_table(test.sparkSession, f"{folder}/metrics")
+
+
 def candidate_curves(scored: DataFrame, label: str = TARGET) -> DataFrame:
     """Precision-recall points of the validation and test scores by (model, split)."""
     newer = scored.where(F.col("split").isin("validation", "testing"))
