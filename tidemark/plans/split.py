@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import bucket100, half_up
 from ..operators.quantile import approximate_quantile, discrete_quantile
 from ..schema import EPOCH, ROW_ID
+from ..session import stage
 
 
 def assign_split(
@@ -18,9 +19,13 @@ def assign_split(
     row_id: str = ROW_ID,
     exact: bool = True,
 ) -> DataFrame:
-    """Adds ``split``.  The cut is a scalar subquery, so it never visits the driver."""
+    """Adds ``split``.
+
+    The cut is staged as a one-row table: found once, it is the same for every
+    later use of the splits, also when it comes from a sketch.
+    """
     quantile = discrete_quantile if exact else approximate_quantile
-    limit = quantile(df, ts, half_up(100 * (1 - valid - test))).scalar()
+    limit = stage(quantile(df, ts, half_up(100 * (1 - valid - test))), "cut").scalar()
     buckets = half_up(valid / (valid + test) * 100)
     return df.withColumn(
         "split",
@@ -32,7 +37,7 @@ def assign_split(
 
 
 def temporal_split(df: DataFrame, valid: float = 0.15, test: float = 0.15, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three parts without the time column."""
+    """The three parts without the time column.  Stage ``df`` first if it is a long plan."""
     tagged = assign_split(df, valid, test, **options)
     drop = ("split", options.get("ts", EPOCH))
     return tuple(tagged.where(F.col("split") == s).drop(*drop) for s in ("training", "validation", "testing"))

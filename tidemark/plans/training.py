@@ -23,8 +23,8 @@ MODELS = ("logistic_regression", "sgd_classifier", "random_forest", "xgboost", "
 
 # Model parameters used when the caller gives none.
 DEFAULT_PARAMS = {
-    "logistic_regression": {"max_iter": 500},
-    "sgd_classifier": {"alpha": 0.0001, "max_iter": 100},
+    "logistic_regression": {"max_iter": 500, "C": 1.0, "tol": 1e-4},
+    "sgd_classifier": {"alpha": 0.0001, "max_iter": 1000, "tol": 1e-3},
     "random_forest": {"n_estimators": 100, "max_samples": 0.3, "max_depth": 6},
     "xgboost": {"n_estimators": 100, "learning_rate": 0.3, "max_depth": 6, "scale_pos_weight": 10},
     "lightgbm": {"n_estimators": 100, "learning_rate": 0.1, "max_depth": 5},
@@ -72,10 +72,10 @@ def make_estimator(name: str, label: str = TARGET, params: Mapping | None = None
     if name == "logistic_regression":
         # An L2 penalty of C = 1 on a summed loss is 1 / rows on a mean loss.
         return LogisticRegression(
-            maxIter=p["max_iter"], regParam=1.0 / (p.get("C", 1.0) * max(rows, 1)), standardization=False, **common
+            maxIter=p["max_iter"], tol=p["tol"], regParam=1.0 / (p["C"] * max(rows, 1)), standardization=False, **common
         )
     if name == "sgd_classifier":
-        return LinearSVC(maxIter=p["max_iter"], regParam=p["alpha"], standardization=False, **common)
+        return LinearSVC(maxIter=p["max_iter"], tol=p["tol"], regParam=p["alpha"], standardization=False, **common)
     if name == "random_forest":
         return RandomForestClassifier(
             numTrees=p["n_estimators"], maxDepth=p["max_depth"], subsamplingRate=p["max_samples"], bootstrap=True,
