@@ -216,3 +216,35 @@ def test_no_feature_sees_the_future(spark, sf):
     left = before.where(F.col("datetime_unix_seconds") <= limit)
     assert after.count() == left.count() > 0
     assert left.exceptAll(after).count() == 0
+
+
+def test_hot_join_key_is_split_over_tasks(spark):
+    """A third of all rows on one (category, second): the join back must not sit in one task."""
+    n = 300_000
+    df = spark.range(n).select(
+        F.col("id").alias("transaction_id"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 997).alias("mcc"),
+        F.when(F.col("id") % 3 == 0, BASE).otherwise(BASE + F.col("id") % 50_021 * 60).alias("datetime_unix_seconds"),
+        (F.col("id") % 7 == 0).cast("int").alias("is_fraud"),
+        F.sha2(F.col("id").cast("string"), 512).alias("pad"),
+    )
+    tight = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in tight}
+    try:
+        for k, v in tight.items():
+            spark.conf.set(k, v)
+        out = P.delayed_mean_encoding(df)
+        assert out.agg(F.count(F.lit(1)), F.countDistinct("transaction_id")).first() == (n, n)
+        seen = out.select("transaction_id", "pad", "mcc_mean_encoding")
+        seen.collect()
+        assert "skew=true" in seen._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

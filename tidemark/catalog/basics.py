@@ -13,7 +13,7 @@ from ..plans import features as P
 from ..sources import files as IO
 from ..sources.adapters import TRANSACTIONS, cards_from_customer, table, users_from_customer
 from ..sources.holidays import holiday_flag, us_holidays
-from .base import DAY, HOLDERS, HOLIDAYS, TX, merged_sql, query, rnd, sql_rnd
+from .base import DAY, HOLDERS, HOLIDAYS, TX, query, rnd, sql_rnd
 
 
 def order_seconds(spark, sf, *columns):
