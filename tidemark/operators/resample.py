@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .prefix import id_levels, running_totals
@@ -12,16 +12,15 @@ from .prefix import id_levels, running_totals
 SAMPLINGS = ("none", "rose", "upsampling_with_duplicates")
 
 
-def _uniform(seed: int, stream: int, row: Column) -> Column:
-    """Uniform number in (0, 1) that depends on the row only, so a retried task repeats it."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(stream), row), 11)
-    return (bits.cast("double") + 0.5) / float(1 << 53)
+def _uniform(seed: int, stream: int, row: str) -> str:
+    """SQL for a uniform number in (0, 1) that depends on the row only, so a retried task repeats it."""
+    return f"(CAST(shiftrightunsigned(xxhash64({seed}, {stream}, {row}), 11) AS DOUBLE) + 0.5D) / {float(1 << 53)}D"
 
 
-def _normal(seed: int, stream: int, row: Column) -> Column:
-    """Standard normal number from two uniform ones (Box-Muller)."""
-    radius = F.sqrt(F.lit(-2.0) * F.ln(_uniform(seed, 2 * stream, row)))
-    return radius * F.cos(F.lit(2.0) * F.pi() * _uniform(seed, 2 * stream + 1, row))
+def _normal(seed: int, stream: int, row: str) -> str:
+    """SQL for a standard normal number from two uniform ones (Box-Muller)."""
+    radius = f"sqrt(-2D * ln({_uniform(seed, 2 * stream, row)}))"
+    return f"{radius} * cos(2D * pi() * {_uniform(seed, 2 * stream + 1, row)})"
 
 
 def rose_size(majority: int, minority: int, share: float) -> int:
@@ -52,7 +51,7 @@ def rose(
     facts = df.agg(
         F.count_if(F.col(label) == 1).alias("minority"),
         F.count_if(F.col(label) == 0).alias("majority"),
-        *[F.stddev_pop(F.when(F.col(label) == 1, F.col(f"`{f}`"))).alias(f"sd_{i}") for i, f in enumerate(features)],
+        *[F.expr(f"stddev_pop(CASE WHEN `{label}` = 1 THEN `{f}` END) AS sd_{i}") for i, f in enumerate(features)],
     ).first()
     n, d = facts["minority"], len(features)
     if n == 0:
@@ -67,20 +66,15 @@ def rose(
     )
     picked = draws.join(numbered, F.col("_pick") == F.col("_place_before"))
     blurred = {
-        f: (F.col(f"`{f}`").cast("double") + F.lit(width * (facts[f"sd_{i}"] or 0.0)) * _normal(seed, i, F.col("_draw")))
+        f: f"CAST(`{f}` AS DOUBLE) + {width * (facts[f'sd_{i}'] or 0.0)}D * {_normal(seed, i, '_draw')} AS `{f}`"
         for i, f in enumerate(features)
     }
-    drawn = picked.select(
-        *[
-            (-F.col("_draw") - 1).alias(c)
-            if c == row_id
-            else blurred[c].alias(c)
-            if c in blurred
-            else F.col(f"`{c}`")
-            for c in df.columns
-        ]
+    drawn = picked.selectExpr(
+        *[f"-_draw - 1 AS `{c}`" if c == row_id else blurred.get(c, f"`{c}`") for c in df.columns]
+    )
+    doubles = df.selectExpr(
+        *[f"CAST(`{c}` AS DOUBLE) AS `{c}`" if c in blurred else f"`{c}`" for c in df.columns]
     )
-    doubles = df.withColumns({f: F.col(f"`{f}`").cast("double") for f in features})
     return doubles.unionByName(drawn)
 
 

@@ -113,10 +113,10 @@ def train(
     rebalanced ones; boosters stop by the validation rows when there are any.
     """
     scaler = make_scaler(recipe.scaling)
-    doubles = [F.col(f"`{f}`").cast("double").alias(f) for f in features]
+    doubles = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
 
     def columns(df: DataFrame) -> DataFrame:
-        return df.select(row_id, *doubles, F.col(label).cast("int").alias(label))
+        return df.selectExpr(f"`{row_id}`", *doubles, f"CAST(`{label}` AS INT) AS `{label}`")
 
     training = columns(training)
     assembler = VectorAssembler(
@@ -154,9 +154,7 @@ def _positive_probability(df: DataFrame) -> Column:
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """Class and fraud probability of every row, batch or streaming."""
     keep = list(df.columns if keep is None else keep)
-    assembler = model.stages[0]
-    typed = df.withColumns({f: F.col(f"`{f}`").cast("double") for f in assembler.getInputCols()})
-    out = model.transform(typed)
+    out = model.transform(df)
     return out.select(
         *[F.col(f"`{c}`") for c in keep],
         F.col("prediction").cast("int").alias("prediction"),
