@@ -67,9 +67,9 @@ def misra_gries(rows: DataFrame, heavy: int = HEAVY) -> DataFrame:
             [pa.array(list(counters), pa.binary()), pa.array(list(counters.values()), pa.int64())], ["digest", "n"]
         )
 
-    total = rows.agg(F.count("*").alias("total"))
+    least = max(rows.count(), 2 * heavy) / heavy
     found = rows.select("digest").mapInArrow(run, "digest binary, n bigint").groupBy("digest").agg(F.sum("n").alias("n"))
-    return found.join(F.broadcast(total), F.col("n") * heavy >= F.greatest("total", F.lit(2 * heavy))).select("digest")
+    return found.where(F.col("n") >= least).select("digest")
 
 
 def winners(rows: DataFrame) -> DataFrame:

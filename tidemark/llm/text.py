@@ -18,6 +18,9 @@ _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WORD = np.ones(256, dtype=bool)
 _WORD[[0x20, 9, 10, 11, 12, 13]] = False
+# Runs of ASCII letters, digits and all bytes beyond ASCII: words without punctuation.
+LETTERS = np.zeros(256, dtype=bool)
+LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -90,12 +93,12 @@ def slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndar
         row = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and for each text the range of its words."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = _WORD[data]
+    inside = word[data]
     before = np.zeros(n, dtype=bool)
     before[1:] = inside[:-1]
     before[offsets[offsets < n]] = False
@@ -107,9 +110,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, word: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word, and for each text the range of its words."""
-    starts, ends, places = word_spans(data, offsets)
+    starts, ends, places = word_spans(data, offsets, word)
     return span_hash(prefix_hash(data, FOLDED), starts, ends), places
 
 
@@ -137,3 +140,33 @@ def narrow(df: DataFrame, *columns: str) -> DataFrame:
 def parts(spark) -> int:
     """Tasks the cluster is set to shuffle into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def pack_sorted(values: np.ndarray) -> bytes:
+    """Ascending unsigned 64-bit numbers as compressed differences."""
+    steps = np.diff(values.astype(np.uint64), prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return pack_bytes(np.ascontiguousarray(steps))
+
+
+def unpack_sorted(blob: bytes) -> np.ndarray:
+    steps = np.frombuffer(unpack_bytes(blob), dtype=np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view(np.uint64).ravel(), dtype=np.uint64)
+
+
+def pack_bytes(values: np.ndarray) -> bytes:
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unpack_bytes(blob: bytes) -> bytes:
+    size = int.from_bytes(blob[:8], "little")
+    return pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b""
+
+
+def sums_by_text(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Sum of the rows of ``values`` in each range (0 for an empty one)."""
+    out = np.zeros((len(places) - 1, *values.shape[1:]), dtype=np.float64)
+    full = np.flatnonzero(np.diff(places) > 0)
+    if len(full):
+        out[full] = np.add.reduceat(values, places[full], axis=0, dtype=np.float64)
+    return out
