@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .catalog import ORACLES, QUERIES
-from . import bpe, exact_dedup, langid, packing, pii, toxicity  # noqa: F401
+from . import bpe, exact_dedup, jaccard, langid, packing, pii, toxicity  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -170,3 +170,29 @@ def sums_by_text(values: np.ndarray, places: np.ndarray) -> np.ndarray:
     if len(full):
         out[full] = np.add.reduceat(values, places[full], axis=0, dtype=np.float64)
     return out
+
+
+def pack_arrays(**arrays: np.ndarray) -> bytes:
+    """Columns of one length as a compressed Arrow stream."""
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in arrays.values()], list(arrays))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_arrays(blobs) -> dict[str, np.ndarray]:
+    """The columns of several packed blobs, one after the other."""
+    tables = [pa.ipc.open_stream(blob).read_all() for blob in blobs]
+    whole = pa.concat_tables(tables)
+    return {name: whole.column(name).to_numpy() for name in whole.column_names}
+
+
+def split_by(part: np.ndarray, count: int, arrays: dict[str, np.ndarray]):
+    """(part, its arrays) for every part that has elements."""
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(count + 1))
+    for k in range(count):
+        if edges[k + 1] > edges[k]:
+            own = order[edges[k] : edges[k + 1]]
+            yield k, {name: values[own] for name, values in arrays.items()}
