@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 2 << 20  # text handled at once; a longer single text is one slice
+SLICE_BYTES = 1 << 20  # text handled at once; a longer single text is one slice
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WORD = np.ones(256, dtype=bool)
