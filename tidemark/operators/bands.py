@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .joins import attach
+from .prefix import require_exact
 
 
 def halo_banded_window(
@@ -28,7 +29,10 @@ def halo_banded_window(
     """
     halo = max(width for _, width in means.values())
     copies = -(-halo // band)
+    if copies > 100:
+        raise ValueError(f"a band of {band} would copy each second {copies} times; widen it")
     values = sorted({value for value, _ in means.values()})
+    require_exact(df, values)
     seconds = (
         df.where(F.col(ts).isNotNull())
         .groupBy(ts)

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .prefix import double_levels, running_totals
-from .shards import shard
+from .joins import attach
+from .prefix import double_levels, id_levels, running_totals
 
 _ONE = "_all"
 
@@ -81,17 +81,18 @@ def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str]
     Average precision is 0 without positives; the AUC of one class alone is NULL.
     """
     scored, keys = _grouped(scored, by)
-    counts = threshold_counts(scored, label, score, keys)
+    # The keys travel as one struct, so a NULL group is a group like any other.
+    counts = threshold_counts(scored.select(F.struct(*keys).alias("_key"), label, score), label, score, ["_key"])
     # Twice the number of correctly ordered pairs; exact in 38 digits.
     pairs = F.col("neg").cast("decimal(18,0)") * (F.col("tp") * 2 - F.col("pos")).cast("decimal(19,0)")
-    sums = counts.groupBy(*keys).agg(
+    sums = counts.groupBy("_key").agg(
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("area"),
         F.sum("pos").alias("p"),
         F.sum("neg").alias("n"),
         F.sum(pairs).cast("double").alias("pairs"),
     )
     return sums.select(
-        *by,
+        *[F.col(f"_key.`{c}`").alias(c) for c in by],
         _ratio(F.col("area"), F.col("p")).alias("average_precision"),
         F.try_divide(F.col("pairs"), F.lit(2.0) * F.col("p") * F.col("n")).alias("roc_auc"),
     )
@@ -100,20 +101,27 @@ def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str]
 def precision_at_k(scored: DataFrame, label: str, score: str, k: int = 200, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
     """Share of positives among the k highest scores, always divided by k.
 
-    ``tie`` orders equal scores.  Each task keeps its own best k before any row
-    moves, then each group of tasks does, so the last step sees few rows.
+    ``tie``, an integer column, orders equal scores; without it the negatives
+    of the last score come first.  The cut is found from counts by score, then
+    only rows of the score it falls on are ranked, so the plan is the same for any k.
     """
     scored, keys = _grouped(scored, by)
-    order = [F.col(score).desc(), *([F.col(tie)] if tie else [])]
-    top = scored.select(*keys, label, score, *([tie] if tie else []), shard().alias("_shard"))
-    for group in ([*keys, "_shard"], keys):
-        rank = F.row_number().over(W.partitionBy(*group).orderBy(*order))
-        top = top.withColumn("_rank", rank).where(F.col("_rank") <= k)
-    return (
-        top.groupBy(*keys)
-        .agg((F.sum(label) / F.lit(float(k))).alias(f"precision_top_{k}"))
-        .select(*by, f"precision_top_{k}")
-    )
+    scored = scored.where(F.col(score).isNotNull()).withColumn(label, F.coalesce(F.col(label).cast("bigint"), F.lit(0)))
+    keyed = scored.select(F.struct(*keys).alias("_key"), label, score, *([tie] if tie else []))
+    levels = threshold_counts(keyed, label, score, ["_key"]).withColumn("above", F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg"))
+    levels = levels.where(F.col("above") < k)
+    whole = F.col("above") + F.col("pos") + F.col("neg") <= k
+    sure = levels.groupBy("_key").agg(F.coalesce(F.sum(F.when(whole, F.col("pos"))), F.lit(0)).alias("hits"))
+    edge = levels.where(~whole).select("_key", F.col("threshold").alias("_edge"), (F.lit(k) - F.col("above")).alias("_room"), "neg")
+    if tie is None:
+        part = edge.select("_key", F.greatest(F.lit(0), F.col("_room") - F.col("neg")).alias("more"))
+    else:
+        rows = attach(keyed, edge.drop("neg"), ["_key"], "inner").where(F.col(score) == F.col("_edge"))
+        ranked = running_totals(rows, id_levels(F.col(tie).cast("bigint")), [tie], {"_rank": F.lit(1)}, ["_key"])
+        part = ranked.where(F.col("_rank_before") < F.col("_room")).groupBy("_key").agg(F.sum(label).alias("more"))
+    out = attach(sure, part, ["_key"])
+    share = (F.col("hits") + F.coalesce("more", F.lit(0))) / F.lit(float(k))
+    return out.select(*[F.col(f"_key.`{c}`").alias(c) for c in by], share.alias(f"precision_top_{k}"))
 
 
 def pr_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -122,16 +130,17 @@ def pr_curve(scored: DataFrame, label: str, score: str, by: Sequence[str] = ())
     Recall is 1 everywhere when there are no positives.
     """
     scored, keys = _grouped(scored, by)
-    counts = threshold_counts(scored, label, score, keys)
-    totals = counts.groupBy(*keys).agg(F.sum("pos").alias("p"))
-    points = counts.join(totals, keys).select(
-        *keys,
+    counts = threshold_counts(scored.select(F.struct(*keys).alias("_key"), label, score), label, score, ["_key"])
+    totals = counts.groupBy("_key").agg(F.sum("pos").alias("p"))
+    named = [F.col(f"_key.`{c}`").alias(c) for c in keys]
+    points = attach(counts, totals, ["_key"]).select(
+        *named,
         F.col("threshold").cast("double").alias("threshold"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("p").cast("double")), F.lit(1.0)).alias("recall"),
     )
     end = totals.select(
-        *keys, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+        *named, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
     return points.unionByName(end).select(*by, "threshold", "precision", "recall")
 
@@ -148,15 +157,16 @@ def evaluate(
     """All scalar metrics, one row per group."""
     scored, keys = _grouped(scored, by)
     out = confusion_metrics(scored, label, prediction, keys)
-    out = out.join(ranking_metrics(scored, label, score, keys), keys, "left")
-    out = out.join(precision_at_k(scored, label, score, k, keys, tie), keys, "left")
+    out = attach(out, ranking_metrics(scored, label, score, keys), keys, null_safe=keys)
+    out = attach(out, precision_at_k(scored, label, score, k, keys, tie), keys, null_safe=keys)
     return out if by else out.drop(_ONE)
 
 
-def select_best(metrics: DataFrame, metric: str, name: str = "model", higher: bool = True) -> DataFrame:
-    """The winning row; the first name wins a tie."""
+def select_best(metrics: DataFrame, metric: str, name: str = "model", higher: bool = True, names: Sequence[str] = ()) -> DataFrame:
+    """The winning row; of equal ones the first in ``names`` wins, then the first by name."""
     order = F.col(metric).desc_nulls_last() if higher else F.col(metric).asc_nulls_last()
-    return metrics.orderBy(order, name).limit(1).select(name, metric)
+    listed = F.array_position(F.array(*[F.lit(n) for n in names]), F.col(name)) if names else F.lit(0)
+    return metrics.orderBy(order, F.when(listed > 0, listed).otherwise(len(names) + 1), name).limit(1).select(name, metric)
 
 
 def challenge(champion: DataFrame, challenger: DataFrame, metric: str, threshold: float = 0.0, higher: bool = True) -> DataFrame:

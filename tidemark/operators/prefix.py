@@ -21,6 +21,14 @@ from .joins import attach
 DAY = 86_400
 
 
+def require_exact(df: DataFrame, columns: Sequence[str]) -> None:
+    """Prefix sums are subtracted from each other, which only integers and decimals survive."""
+    kinds = dict(df.dtypes)
+    loose = [c for c in columns if kinds.get(c) in ("float", "double")]
+    if loose:
+        raise TypeError(f"{loose} are floating point; cast them to a decimal, e.g. CAST(x AS DECIMAL(18, 6))")
+
+
 def range_sums(
     df: DataFrame,
     ts: str,
@@ -102,12 +110,14 @@ def range_mean(
 
     Same result as ``avg(value) over (partition by keys order by ts range
     between window preceding and delay preceding)``; NULL on an empty frame.  A window of
-    None has no lower end.  Integer and decimal values stay exact.  Values listed
+    None has no lower end.  Values are integers or decimals and stay exact; floating-point
+    ones raise TypeError.  Values listed
     in ``complete`` hold no NULL and share one row count.
     """
     for label, width in windows.items():
         if width is not None and width < delay:
             raise ValueError(f"window {label} ends before it starts: {width} < delay {delay}")
+    require_exact(df, values)
     measures = {f"s{i}": F.col(v) for i, v in enumerate(values)}
     counter = {}
     for i, v in enumerate(values):
@@ -183,9 +193,12 @@ def double_levels(value: Column) -> list[Column]:
     First sign, binary exponent and 12 mantissa bits, then 24 more bits, which
     leaves at most 2^16 distinct doubles per final bucket.
     """
-    size = F.abs(value)
-    exponent = F.when(value == 0, F.lit(0)).otherwise(F.floor(F.log2(size)).cast("int"))
-    mantissa = F.when(value == 0, F.lit(0.0)).otherwise(value / F.pow(F.lit(2.0), exponent))
-    scale = F.when(value > 0, exponent + 1100).when(value < 0, -(exponent + 1100)).otherwise(0)
+    finite = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    size = F.abs(finite)
+    exponent = F.when(finite == 0, F.lit(0)).otherwise(F.floor(F.log2(size)).cast("int"))
+    mantissa = F.when(finite == 0, F.lit(0.0)).otherwise(finite / F.pow(F.lit(2.0), exponent))
+    scale = F.when(finite > 0, exponent + 1100).when(finite < 0, -(exponent + 1100)).otherwise(0)
     coarse = scale.cast("bigint") * 16_384 + F.floor(mantissa * 4_096)
-    return [coarse, F.floor(mantissa * float(1 << 36))]
+    # Infinities and NaN (largest in Spark's order) have levels of their own at the ends.
+    ends = F.when(F.isnan(value), 2 << 40).when(value > 0, 1 << 40).otherwise(-(1 << 40))
+    return [F.coalesce(coarse, ends.cast("bigint")), F.coalesce(F.floor(mantissa * float(1 << 36)), F.lit(0))]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators.joins import attach, hot_keys
-from ..operators.prefix import DAY, id_levels, range_mean, range_sums, running_totals
+from ..operators.prefix import DAY, id_levels, range_mean, range_sums, require_exact, running_totals
 from ..schema import EPOCH, FEATURES, FRAUD_DELAY_DAYS, ROW_ID, TARGET
 from ..session import stage
 from ..sources.holidays import holiday_flag
@@ -142,27 +142,33 @@ def _user_history_native(df: DataFrame, user: str, ts: str, amount: str, row_id:
 
 
 def _user_history_bucketed(df: DataFrame, user: str, ts: str, amount: str, row_id: str, at: str, days: dict) -> DataFrame:
-    """The same columns for users too large for one task."""
+    """The same columns for users too large for one task.
+
+    Rows without a time stand before all others, in order of id, as they do in the native windows.
+    """
     measures = {
         "sum": F.col(amount),
         "n": F.when(F.col(amount).isNotNull(), 1).otherwise(0),
         "all": F.when(F.col(row_id).isNotNull(), 1).otherwise(0),
     }
     offsets = {"now": 1, **{k: d * DAY + 1 for k, d in days.items()}}
-    seconds = range_sums(df, ts, measures, offsets, [user])
-    first = df.groupBy(user).agg(F.min(at).alias("_first"))
-    ranked = running_totals(
-        df, id_levels(F.col(row_id)), [row_id], {"_sum": F.coalesce(F.col(amount), F.lit(0)), "_n": measures["n"], "_all": measures["all"]}, keys=[user, ts]
-    )
+    timed, untimed = df.where(F.col(ts).isNotNull()), df.where(F.col(ts).isNull())
+    seconds = range_sums(timed, ts, measures, offsets, [user])
     # One row per hot user, and their number is bounded: small enough to send everywhere.
-    joined = attach(attach(ranked, seconds, [user, ts]), F.broadcast(first), [user])
-    return joined.withColumns(
-        {
-            "_sum_rows": F.col("sum_now") + F.col("_sum_before"),
-            "_n_rows": F.col("n_now") + F.col("_n_before"),
-            "_all_rows": F.col("all_now") + F.col("_all_before"),
-        }
-    ).drop("_sum_before", "_n_before", "_all_before")
+    least = df.groupBy(user).agg(
+        F.min(F.when(F.col(ts).isNotNull(), F.col(at))).alias("_first"),
+        *[F.coalesce(F.sum(F.when(F.col(ts).isNull(), e)), F.lit(0)).alias(f"_{n}_untimed") for n, e in measures.items()],
+    )
+    steps = {f"_{n}": F.coalesce(e, F.lit(0)) for n, e in measures.items()}
+    levels = id_levels(F.col(row_id))
+    ranked = running_totals(timed, levels, [row_id], steps, keys=[user, ts])
+    joined = attach(attach(ranked, seconds, [user, ts]), F.broadcast(least), [user])
+    rows = {f"_{n}_rows": F.col(f"{n}_now") + F.col(f"_{n}_before") + F.col(f"_{n}_untimed") for n in measures}
+    joined = joined.withColumns(rows).drop(*[f"_{n}_untimed" for n in measures])
+    none = {f"{n}_{label}": F.lit(0) for n in measures for label in offsets}
+    first = running_totals(untimed, levels, [row_id], steps, keys=[user])
+    first = first.withColumns({**none, **{f"_{n}_rows": F.col(f"_{n}_before") for n in measures}, "_first": F.col(at)})
+    return joined.drop(*[f"_{n}_before" for n in measures]).unionByName(first.select(*joined.drop(*[f"_{n}_before" for n in measures]).columns))
 
 
 def user_windows(
@@ -180,12 +186,14 @@ def user_windows(
     Users are normally handled by native windows.  Users with more rows than one task should
     sort (see `hot_keys`) go through bucketed prefix sums; both give the same values.
     """
+    require_exact(df, [amount])
     days = dict(USER_WINDOWS if days is None else days)
     args = (user, ts, amount, row_id, at, days)
     hot = stage(hot_keys(df, user, min_rows=hot_rows), "hot-users")
     if hot.isEmpty():
         wide = _user_history_native(df, *args)
     else:
+        df = stage(df, "payments")  # several steps read it
         small = _user_history_native(df.join(F.broadcast(hot), user, "left_anti"), *args)
         large = _user_history_bucketed(df.join(F.broadcast(hot), user, "left_semi"), *args)
         wide = small.unionByName(large.select(*small.columns))
@@ -302,10 +310,12 @@ def build_features(
     The merged payments are staged once because four steps read them.  User
     features are computed in place.  Category means and global rates are put
     together per (category, second) first, so the payments move once for both.
-    Columns nobody selected are pruned from every step.
+    Only columns that a later step reads are staged.
     """
     delay = delay_days * DAY
-    merged = stage(merge_payments(transactions, users, cards, holidays), "merged")
+    merged = merge_payments(transactions, users, cards, holidays)
+    needed = {ROW_ID, EPOCH, "user", "mcc", "amount", "datetime", *INDICATORS.values(), *features}
+    merged = stage(merged.select(*[c for c in merged.columns if c in needed]), "merged")
     rows = user_ratios(user_windows(merged))
     means = range_mean(merged, EPOCH, [TARGET], {"": None}, delay, keys=["mcc"], names={(TARGET, ""): "mcc_mean_encoding"})
     settled = attach(means, fraud_rate_features(merged, EPOCH, delay), [EPOCH])

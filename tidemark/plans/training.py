@@ -222,14 +222,17 @@ def candidate_curves(scored: DataFrame, label: str = TARGET) -> DataFrame:
     return pr_curve(newer, label, "fraud_probability", ["model", "split"])
 
 
-def best_candidate(scored: DataFrame, label: str = TARGET, metric: str = "average_precision", higher: bool = True) -> DataFrame:
-    """Winner on the test split."""
+def best_candidate(
+    scored: DataFrame, label: str = TARGET, metric: str = "average_precision", higher: bool = True,
+    row_id: str = ROW_ID, names: Sequence[str] = (),
+) -> DataFrame:
+    """Winner on the test split; of equal candidates the first of ``names``."""
     test = scored.where("split = 'testing'")
     if metric in ("average_precision", "roc_auc"):
         metrics = ranking_metrics(test, label, "fraud_probability", ["model"])
     else:
-        metrics = evaluate(test, label, "fraud_probability", "prediction", ["model"], tie=ROW_ID)
-    return select_best(metrics, metric, higher=higher)
+        metrics = evaluate(test, label, "fraud_probability", "prediction", ["model"], tie=row_id)
+    return select_best(metrics, metric, higher=higher, names=names)
 
 
 def champion_check(champion: PipelineModel, challenger: PipelineModel, test: DataFrame, label: str = TARGET, row_id: str = ROW_ID, metric: str = "average_precision", threshold: float = 0.1, higher: bool = True) -> DataFrame:

@@ -41,35 +41,64 @@ def scan_predictions(spark: SparkSession, folder: str, schema: T.StructType, fmt
 def with_file_ordinal(df: DataFrame, output: str, start: int = 0) -> DataFrame:
     """Adds each row's position in file order: files by path, rows as written.
 
-    ``df`` must be a plain file scan.  Rows are counted per input split (one small row
-    each), splits are put in order, and a row's place is its split's start plus its
-    offset inside it; the rows themselves are never shuffled or sorted.
+    ``df`` must be a plain file scan.  The rows are stored once with their input
+    split and their number in it; split starts and places both come from that
+    stored table, so later settings or retries cannot move an id.  Rows are counted
+    per split (one small row each) and never shuffled or sorted.
     """
-    rows = df.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_seq"),
+    rows = stage(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_seq"),
+        ),
+        "rows",
     )
     splits = rows.groupBy("_file", "_block").agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = W.orderBy("_file", "_block").rowsBetween(W.unboundedPreceding, -1)
     # Staged, so its true size decides whether the join below broadcasts it.
     starts = stage(
-        splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")),
+        splits.select("_file", "_block", "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")),
         "splits",
     )
-    place = F.col("_start") + F.col("_seq") - F.col("_first") + start
-    lost = F.raise_error(F.lit("input splits changed between two scans")).cast("bigint")
+    offset = F.col("_seq") - F.col("_first")
+    place = F.when(offset.between(0, F.col("_n") - 1), F.col("_start") + offset + start)
+    lost = F.raise_error(F.lit("a row lies outside its input split")).cast("bigint")
     return (
         rows.join(starts, ["_file", "_block"], "left")
         .withColumn(output, F.coalesce(place, lost))
-        .drop("_file", "_block", "_seq", "_first", "_start")
+        .drop("_file", "_block", "_seq", "_first", "_n", "_start")
     )
 
 
+def column_name(text: str) -> str:
+    """A header's name with everything but letters, digits and ``_`` written as ``_``."""
+    return re.sub(r"[^0-9A-Za-z_]", "_", text.strip())
+
+
+def scan_named(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV columns found by the names in the header, in any order, typed as ``schema`` says.
+
+    Names are compared as ``column_name`` writes them; further columns are left alone, a
+    missing one raises ValueError, and a value that does not fit its type is NULL.  All
+    files of the path must share one header (Spark checks that).
+    """
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    found = {column_name(c): c for c in text.columns}
+    missing = [f.name for f in schema.fields if column_name(f.name) not in found]
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}; it has {text.columns}")
+    # The schema is given for the whole header, so only the wanted columns are parsed.
+    wanted = {found[column_name(f.name)]: f for f in schema.fields}
+    full = T.StructType([T.StructField(c, wanted[c].dataType if c in wanted else T.StringType()) for c in text.columns])
+    typed = spark.read.schema(full).option("header", True).option("enforceSchema", False).csv(path)
+    return typed.select(*[F.col(f"`{c}`").alias(f.name) for c, f in wanted.items()])
+
+
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
     """Payments CSV, typed, with a row id counted in file order from 1."""
-    raw = with_file_ordinal(scan(spark, path, "csv", K.TRANSACTIONS), K.ROW_ID, start=1)
+    raw = with_file_ordinal(scan_named(spark, path, K.TRANSACTIONS), K.ROW_ID, start=1)
     return raw.select(
         K.ROW_ID,
         "User",
@@ -87,11 +116,11 @@ def read_transactions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
     """Card holders CSV; the key is the row's place in the file, from 0."""
-    return with_file_ordinal(scan(spark, path, "csv", K.USERS), "User")
+    return with_file_ordinal(scan_named(spark, path, K.USERS), "User")
 
 
 def read_cards(spark: SparkSession, path: str) -> DataFrame:
-    return scan(spark, path, "csv", K.CARDS).withColumns(
+    return scan_named(spark, path, K.CARDS).withColumns(
         {c: yes_no(F.col(c)) for c in ("Has_Chip", "Card_on_Dark_Web")}
     )
 
@@ -124,9 +153,14 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing this folder (its success marker is there)."""
+    return _path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def export_table(df: DataFrame, path: str, skip_if_exists: bool = True, fmt: str = "parquet", rows_per_file: int = 0) -> str:
-    """Sharded export; an existing target is kept and its path still returned."""
-    if skip_if_exists and _path_exists(df.sparkSession, path):
+    """Sharded export; a finished target is kept and its path still returned, a half-written one is written anew."""
+    if skip_if_exists and is_complete(df.sparkSession, path):
         return path
     writer = df.write.mode("overwrite").format({"jsonl": "json"}.get(fmt, fmt))
     if rows_per_file:
@@ -199,11 +233,18 @@ def preview(df: DataFrame, order: str, drop: Iterable[str] = (), n: int = 10) ->
 
 
 def ingest(spark: SparkSession, root: str, version: str, transactions: str, users: str, cards: str) -> DataFrame:
-    """Load the four source tables below ``root/<version>`` unless that version exists; report counts."""
+    """Load the four source tables below ``root/<version>``; report counts.
+
+    Each table is loaded unless a finished one is there, so a load that broke off is completed by the next run.
+    """
     base = f"{root.rstrip('/')}/{version}"
-    if not _path_exists(spark, base):
-        save_as(us_holidays(spark), f"{base}/holidays")
-        save_as(read_transactions(spark, transactions), f"{base}/transactions")
-        save_as(read_users(spark, users), f"{base}/users")
-        save_as(read_cards(spark, cards), f"{base}/cards")
-    return load_report({t: spark.read.parquet(f"{base}/{t}") for t in ("holidays", "transactions", "users", "cards")})
+    tables = {
+        "holidays": lambda: us_holidays(spark),
+        "transactions": lambda: read_transactions(spark, transactions),
+        "users": lambda: read_users(spark, users),
+        "cards": lambda: read_cards(spark, cards),
+    }
+    for name, read in tables.items():
+        if not is_complete(spark, f"{base}/{name}"):
+            save_as(read(), f"{base}/{name}")
+    return load_report({t: spark.read.parquet(f"{base}/{t}") for t in tables})
