@@ -62,14 +62,47 @@ def test_latest_version_below_a_path(spark):
         IO.latest_version(spark, "f", root=root)
 
 
-def test_ingest_keeps_an_existing_version(spark, sf):
-    from tidemark.catalog.storage import cards_from_customer, csv, transactions_csv, users_from_customer, yes_no
+def test_ordinals_survive_other_split_settings(spark):
+    path = stage_path(spark, "moving")
+    spark.range(0, 9_000, 1, 6).select("id", F.lpad("id", 40, "x").alias("pad")).write.option("header", True).csv(path)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k) for k in keys}
+    out = IO.with_file_ordinal(IO.scan(spark, path, "csv", spark.createDataFrame([], "id long, pad string").schema), "place")
+    try:
+        for size in ("20000", "900000"):
+            for k in keys:
+                spark.conf.set(k, size)
+            assert out.where("place <> id").count() == 0 and out.count() == 9_000
+    finally:
+        for k in keys:
+            spark.conf.set(k, old[k])
+
+
+def test_csv_columns_are_found_by_name(spark):
+    schema = spark.createDataFrame([], "User long, Has_Chip string").schema
+    path = stage_path(spark, "swapped")
+    spark.createDataFrame([("YES", 7, "x")], "`Has Chip` string, Other long, User string").write.option("header", True).csv(path)
+    row = IO.scan_named(spark, path, schema).first()
+    assert (row["Has_Chip"], row["User"]) == ("YES", None)
+    with pytest.raises(ValueError, match="lacks"):
+        IO.scan_named(spark, path, spark.createDataFrame([], "Gone long").schema)
+
+
+def test_half_written_export_is_written_anew(spark):
+    path = stage_path(spark, "half")
+    spark.range(3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert not IO.is_complete(spark, path)
+    assert IO.export_table(spark.range(5), path) == path and spark.read.parquet(path).count() == 5
+
+
+def test_ingest_keeps_finished_tables_and_completes_others(spark, sf):
+    from tidemark.catalog.storage import cards_csv_file, transactions_csv, users_csv_file
 
-    users = csv(users_from_customer(spark, sf).orderBy("User").drop("User"), stage_path(spark, "u"))
-    cards = cards_from_customer(spark, sf)
-    cards = csv(cards.select(*cards.columns[:5], yes_no("Has_Chip"), yes_no("Card_on_Dark_Web")), stage_path(spark, "c"))
     root = stage_path(spark, "data")
-    first = IO.ingest(spark, root, "d_20230101000000", transactions_csv(spark, sf), users, cards).collect()
+    payments, users, cards = transactions_csv(spark, sf), users_csv_file(spark, sf), cards_csv_file(spark, sf)
+    with pytest.raises(Exception):
+        IO.ingest(spark, root, "d_20230101000000", payments, users, "/gone")
+    first = IO.ingest(spark, root, "d_20230101000000", "/gone", "/gone", cards).collect()
     again = IO.ingest(spark, root, "d_20230101000000", "/gone", "/gone", "/gone").collect()
     assert first == again and len(first) == 4
 

@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
 from tidemark.operators import metrics as M
 
-# Golden vectors: (label, score) with known precision in the first k.
+# Fixed values: (label, score) vectors with known precision in the first k.
 LABELS_1 = [0, 0, 0, 0, 0, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0, 1, 0, 1, 0, 1, 0, 0]
 SCORES_1 = [0.001, 0.2, 0.33, 0.00001, 0.002, 0.1, 0.1, 0, 0.1, 0.2, 0.1, 0.9, 0.4, 0.0001, 0, 0, 0.3, 0.66, 0.234, 0.1212, 0.67, 0.599, 0.4, 0.0, 0.0, 0.12]
 LABELS_2 = [0, 0, 0, 0, 0, 0, 0, 0, 1, 1, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 1, 0, 0, 0]
@@ -91,3 +91,34 @@ def test_choice_and_challenge(spark):
     assert ask(0.5, 0.5) is False
     assert ask(0.5, 0.2, threshold=0.1, higher=False) is True
     assert ask(None, 0.9) is None
+
+
+def test_infinite_and_missing_scores(spark):
+    scores = [float("inf"), 0.5, float("-inf"), float("nan"), 0.1]
+    got = M.ranking_metrics(frame(spark, [1, 0, 0, 1, 0], scores), "is_fraud", "score").first()
+    # Infinity leads, a score that is no number ranks last.
+    assert got["average_precision"] == pytest.approx(0.7) and got["roc_auc"] == pytest.approx(0.5)
+
+
+def test_a_null_group_keeps_its_metrics(spark):
+    from pyspark.sql import functions as F
+
+    both = frame(spark, [1, 0, 1], [0.9, 0.8, 0.1]).unionByName(frame(spark, [1, 0, 1], [0.9, 0.8, 0.1]).withColumn("model", F.lit(None).cast("string")))
+    rows = {r["model"]: r.asDict() for r in M.evaluate(both, by=["model"], k=2, tie="row_id").collect()}
+    assert {k: v for k, v in rows[None].items() if k != "model"} == {k: v for k, v in rows["a"].items() if k != "model"}
+    assert rows[None]["precision_top_2"] == 0.5
+
+
+@pytest.mark.parametrize("k", [1, 7, 40, 1500])
+def test_precision_at_any_k_with_ties(spark, k):
+    draw = random.Random(k)
+    labels, scores = [draw.randint(0, 1) for _ in range(1200)], [draw.randint(0, 5) / 5 for _ in range(1200)]
+    ranked = sorted(range(1200), key=lambda i: (-scores[i], i))[:k]
+    got = M.precision_at_k(frame(spark, labels, scores), "is_fraud", "score", k, tie="row_id").first()[0]
+    assert got == pytest.approx(sum(labels[i] for i in ranked) / k)
+
+
+def test_listed_order_settles_ties(spark):
+    rows = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.1)], "model string, m double")
+    assert M.select_best(rows, "m", names=["c", "b", "a"]).first()["model"] == "b"
+    assert M.select_best(rows, "m").first()["model"] == "a"

@@ -248,3 +248,20 @@ def test_hot_join_key_is_split_over_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_without_a_time_are_treated_alike(spark):
+    rows = [(1, 1, None, 8.0, 0), (2, 1, None, None, 0), (3, 1, BASE, 2.0, 0), (4, 1, BASE + 5, 1.0, 0), (5, 2, None, 3.0, 0)]
+    out = [by_id(P.user_windows(payments(spark, rows), hot_rows=n), "transaction_count", "mean_amount", "mean_amount_last_1_days", "days_since_first_transaction") for n in (200_000, 1)]
+    assert out[0] == out[1] and [out[0][i][0] for i in range(1, 6)] == [0, 1, 2, 3, 0]
+    assert out[0][4][1:3] == (5.0, 2.0)
+
+
+def test_floating_point_input_is_refused(spark):
+    df = payments(spark, [(1, 1, BASE, 8.0, 0)]).withColumn("amount", F.lit(0.1))
+    ts = "datetime_unix_seconds"
+    for call in (lambda: range_mean(df, ts, ["amount"], {"w": DAY}, 1), lambda: P.user_windows(df), lambda: halo_banded_window(df, ts, {"m": ("amount", DAY)}, 1, DAY)):
+        with pytest.raises(TypeError, match="DECIMAL"):
+            call()
+    with pytest.raises(ValueError, match="widen"):
+        halo_banded_window(payments(spark, [(1, 1, BASE, 8.0, 0)]), ts, {"m": ("is_fraud", 730 * DAY)}, DAY, band=60)

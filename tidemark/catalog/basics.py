@@ -41,8 +41,10 @@ def project_except(spark, sf):
     "SELECT o_orderkey, year(o_orderdate) AS placed_year FROM orders WHERE year(o_orderdate) BETWEEN 1998 AND 2000",
 )
 def filter_year_between(spark, sf):
-    df = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("placed_year"))
-    return df.where(F.col("placed_year").between(1998, 2000))
+    # A range of dates reaches the scan; a condition on year(date) would not.
+    placed = F.col("o_orderdate")
+    df = table(spark, sf, "orders").where((placed >= F.lit("1998-01-01").cast("date")) & (placed < F.lit("2001-01-01").cast("date")))
+    return df.select("o_orderkey", F.year(placed).alias("placed_year"))
 
 
 @query(
@@ -332,7 +334,8 @@ def quantile_approx(spark, sf):
 def sorted_by_time(spark, sf):
     """A full sort, made checkable as each row's place in it."""
     df = table(spark, sf, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
-    levels = [F.floor(F.col("us") / F.lit(DAY * 1_000_000)), F.floor(F.col("us") / F.lit(1_000_000))]
+    # Day, second, microsecond, then ranges of ids: a crowded instant is cut as well.
+    levels = [F.floor(F.col("us") / F.lit(DAY * 1_000_000)), F.floor(F.col("us") / F.lit(1_000_000)), F.col("us"), F.shiftright("event_id", 20)]
     out = running_totals(df.withColumn("one", F.lit(1)), levels, ["us", "event_id"], {"n": F.col("one")})
     return out.select("event_id", (F.col("n_before") + 1).alias("place"))
 

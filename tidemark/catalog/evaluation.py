@@ -49,6 +49,12 @@ def precision_at_k(spark, sf):
     return rounded(M.precision_at_k(scored_models(spark, sf), "is_fraud", "score", 200, ["model"], "row_id"), ["model"])
 
 
+@query("precision_at_5000", f"WITH {SCORED},{TOP.replace('200', '5000')} SELECT model, {sql_rnd('precision_top_5000')} AS precision_top_5000 FROM topk")
+def precision_at_5000(spark, sf):
+    """The same plan as for a small k."""
+    return rounded(M.precision_at_k(scored_models(spark, sf), "is_fraud", "score", 5000, ["model"], "row_id"), ["model"])
+
+
 @query(
     "pr_curve",
     f"""WITH {SCORED},{CURVE} SELECT model, {sql_rnd('score')} AS threshold, {sql_rnd('CAST(tp AS DOUBLE) / (tp + fp)')} AS precision, {sql_rnd('CAST(tp AS DOUBLE) / np')} AS recall FROM curve

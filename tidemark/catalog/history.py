@@ -241,3 +241,26 @@ def trailing_event_mean(spark, sf):
     return attach(e, means, ["sec"]).select(
         "event_id", rnd(F.coalesce("v_w", F.lit(0.0))).alias("mean_value")
     )
+
+
+UNTIMED = """
+rows_ AS (SELECT transaction_id, usr, amount, CASE WHEN transaction_id % 7 > 0 THEN sec END AS sec FROM merged),
+timed AS (SELECT transaction_id, coalesce(CAST(sum(amount) OVER w AS DOUBLE) / nullif(count(amount) OVER w, 0), 0) AS m FROM rows_ WHERE sec IS NOT NULL
+  WINDOW w AS (PARTITION BY usr ORDER BY sec RANGE BETWEEN 2592000 PRECEDING AND 1 PRECEDING))"""
+for name, options in (("user_history_untimed", {}), ("user_history_untimed_bucketed", {"hot_rows": 5})):
+
+    @query(
+        name,
+        f"""{merged_sql('orders')},{UNTIMED}
+SELECT transaction_id, count(*) OVER r AS transaction_count, {sql_rnd('coalesce(CAST(sum(amount) OVER r AS DOUBLE) / nullif(count(amount) OVER r, 0), 0)')} AS mean_amount,
+  {sql_rnd('coalesce(m, 0)')} AS mean_amount_last_30_days
+FROM rows_ LEFT JOIN timed USING (transaction_id)
+WINDOW r AS (PARTITION BY usr ORDER BY sec NULLS FIRST, transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+    )
+    def user_history_untimed(spark, sf, options=options):
+        """Every seventh payment has lost its time; large and small users treat it alike."""
+        df = merged(spark, sf, "orders").select(ROW_ID, EPOCH, "user", "amount", "datetime")
+        gone = F.col(ROW_ID) % 7 == 0
+        df = df.withColumns({c: F.when(~gone, F.col(c)) for c in (EPOCH, "datetime")})
+        out = P.user_windows(df, **options).select(ROW_ID, "transaction_count", "mean_amount", "mean_amount_last_30_days")
+        return rounded(out, (ROW_ID, "transaction_count"))

@@ -17,16 +17,9 @@ from ..sources.adapters import table
 from .base import merged_sql, query, rnd, rounded, sql_rnd
 from .history import inputs, merged
 
-# Columns known without any history, so training queries measure training.
-PLAIN = (
-    "amount has_chip gender online_transaction amex discover mastercard visa credit debit debit_prepaid "
-    "card_present_transaction hour_sin hour_cos month_sin month_cos day_of_week_sin day_of_week_cos is_holiday weekend"
-).split()
-
-
-def plain_splits(spark, sf, source="events"):
-    df = stage(merged(spark, sf, source).select(ROW_ID, EPOCH, *PLAIN, TARGET), "plain")
-    return temporal_split(df)
+def feature_splits(spark, sf, source="events"):
+    """The time split of the whole feature table."""
+    return temporal_split(stage(P.build_features(*inputs(spark, sf, source)), "features"))
 
 
 def _scaled(spark, sf, scaling):
@@ -77,10 +70,10 @@ def rose_rows(spark, sf):
     return rose(df, ["amount", "day_of_week_sin"], TARGET, ROW_ID, share=0.3, shrinkage=0.5)
 
 
-def _trained(spark, sf, name, params=None, **recipe):
-    train, valid, test = plain_splits(spark, sf)
-    made = M.Recipe(params={name: params or {}}, **recipe)
-    _, scored = M.train_candidates([name], train, valid, test, PLAIN, recipe=made)
+def _trained(spark, sf, name, **recipe):
+    train, valid, test = feature_splits(spark, sf)
+    made = M.Recipe(**recipe)
+    _, scored = M.train_candidates([name], train, valid, test, FEATURES, recipe=made)
     return M.candidate_metrics(scored)
 
 
@@ -96,32 +89,31 @@ def train_linear_svm(spark, sf):
 
 @query("train_random_forest")
 def train_random_forest(spark, sf):
-    return _trained(spark, sf, "random_forest", {"n_estimators": 20}, scaling="none")
+    return _trained(spark, sf, "random_forest", scaling="none")
 
 
 @query("train_boosting_weighted")
 def train_boosting_weighted(spark, sf):
-    return _trained(spark, sf, "xgboost", {"n_estimators": 5, "max_depth": 4})
+    return _trained(spark, sf, "xgboost")
 
 
 @query("train_boosting_balanced")
 def train_boosting_balanced(spark, sf):
-    return _trained(spark, sf, "lightgbm", {"n_estimators": 5, "max_depth": 4}, use_validation=False)
+    return _trained(spark, sf, "lightgbm")
 
 
 @query("candidate_selection")
 def candidate_selection(spark, sf):
-    train, valid, test = plain_splits(spark, sf)
+    train, valid, test = feature_splits(spark, sf)
     names = ["logistic_regression", "sgd_classifier"]
-    recipe = M.Recipe(params={"logistic_regression": {"max_iter": 50}, "sgd_classifier": {"max_iter": 20}})
-    _, scored = M.train_candidates(names, train, valid, test, PLAIN, recipe=recipe)
-    return M.best_candidate(scored)
+    _, scored = M.train_candidates(names, train, valid, test, FEATURES)
+    return M.best_candidate(scored, names=names)
 
 
 @query("candidate_curves")
 def candidate_curves(spark, sf):
-    train, valid, test = plain_splits(spark, sf)
-    _, scored = M.train_candidates(["logistic_regression"], train, valid, test, PLAIN)
+    train, valid, test = feature_splits(spark, sf)
+    _, scored = M.train_candidates(["logistic_regression"], train, valid, test, FEATURES)
     return M.candidate_curves(scored)
 
 
@@ -130,7 +122,7 @@ def train_on_features(spark, sf):
     """Feature table, time split, rebalanced training, metrics: the whole way."""
     table_ = stage(P.build_features(*inputs(spark, sf, "orders")), "features")
     train, valid, test = temporal_split(table_)
-    recipe = M.Recipe(sampling="rose", share=0.3, shrinkage=0.5, params={"logistic_regression": {"max_iter": 50}})
+    recipe = M.Recipe(sampling="rose", share=0.3, shrinkage=0.5)
     _, scored = M.train_candidates(["logistic_regression"], train, valid, test, FEATURES, recipe=recipe)
     return M.candidate_metrics(scored)
 
@@ -138,24 +130,24 @@ def train_on_features(spark, sf):
 @query("saved_model_champion")
 def saved_model_champion(spark, sf):
     """A model written, read back and defended against a challenger."""
-    train, _, test = plain_splits(spark, sf)
+    train, _, test = feature_splits(spark, sf)
     path = stage_path(spark, "model")
-    M.train("logistic_regression", train, PLAIN)[0].write().save(path)
+    M.train("logistic_regression", train, FEATURES)[0].write().save(path)
     champion = PipelineModel.load(path)
-    challenger, _ = M.train("sgd_classifier", train, PLAIN, recipe=M.Recipe(params={"sgd_classifier": {"max_iter": 20}}))
+    challenger, _ = M.train("sgd_classifier", train, FEATURES)
     return M.champion_check(champion, challenger, test)
 
 
 @query("batch_scoring")
 def batch_scoring(spark, sf):
-    train, _, test = plain_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, PLAIN)
+    train, _, test = feature_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, FEATURES)
     return rounded(M.score(model, test, [ROW_ID, TARGET]), (ROW_ID, TARGET, "prediction"))
 
 
 @query("evaluation_report")
 def evaluation_report(spark, sf):
     """Predictions and metrics of one model as written tables."""
-    train, _, test = plain_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, PLAIN)
+    train, _, test = feature_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, FEATURES)
     return M.evaluation_report(model, test, stage_path(spark, "report"))

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from ..operators import stats as D
 from ..plans import training as M
 from ..plans.split import assign_split
-from ..schema import EPOCH, ROW_ID, TARGET
+from ..schema import EPOCH, FEATURES, ROW_ID, TARGET
 from ..session import stage, stage_path
 from ..sources.adapters import table
 from ..streaming import monitor, scoring
 from .base import merged_sql, query, rnd, rounded, sql_rnd
 from .history import merged
-from .modelling import PLAIN, plain_splits
+from .modelling import feature_splits
 
 NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 STATS = "mean std_dev min max".split()
@@ -188,8 +188,8 @@ def stream_log_sampled(spark, sf):
 @query("stream_scoring")
 def stream_scoring(spark, sf):
     """Requests arrive as files, leave as scored records in the log."""
-    train, valid, test = plain_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, PLAIN)
+    train, valid, test = feature_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, FEATURES)
     requests = stage_path(spark, "requests")
     test.drop(TARGET).write.parquet(requests)
     stream = spark.readStream.schema(test.drop(TARGET).schema).parquet(requests)
@@ -201,7 +201,7 @@ def stream_scoring(spark, sf):
 
 @query("attribution_skew")
 def attribution_skew(spark, sf):
-    train, _, test = plain_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, PLAIN)
+    train, _, test = feature_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, FEATURES)
     out = D.attribution_skew(model, train, test, {"amount": 0.01, "hour_sin": 0.01})
     return rounded(out, ("feature", "alert"))

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..plans import tables as B
 from ..plans import training as M
-from ..schema import ROW_ID, TARGET
+from ..schema import FEATURES, ROW_ID, TARGET
 from ..session import stage_path
 from ..sources import files as IO
 from ..sources.adapters import TRANSACTIONS, cards_from_customer, table, users_from_customer
 from ..sources.holidays import us_holidays
-from .base import HOLDERS, HOLIDAYS, TX, query, rnd, sql_rnd
-from .modelling import PLAIN, plain_splits
+from .base import HOLDERS, HOLIDAYS, TX, merged_sql, query, rnd, sql_rnd
+from .history import inputs
+from .modelling import feature_splits
 
 
 def dollars(column):
@@ -27,11 +29,30 @@ def csv(df, path):
     return path
 
 
+def raw_names(df, *more):
+    """Headers as raw files write them, the columns in reverse order, further columns in between."""
+    names = {"Is_Fraud_": "Is Fraud?", **{c: c.replace("_", " ") for c in df.columns if c != "Is_Fraud_"}}
+    columns = [F.col(f"`{c}`").alias(names[c]) for c in reversed(df.columns)]
+    return df.select(columns[0], *[F.lit(12345).alias(c) for c in more], *columns[1:])
+
+
 def transactions_csv(spark, sf, source="events"):
-    """The payments as the raw file would hold them, in id order."""
+    """The payments as the raw file would hold them, in id order: further columns, another order, names with blanks."""
     df = TRANSACTIONS[source](spark, sf).orderBy("transaction_id")
     columns = ["User", "Card", "Year", "Month", "Day", "Time", dollars("Amount"), "Use_Chip", "MCC", yes_no("Is_Fraud_")]
-    return csv(df.select(*columns), stage_path(spark, "transactions-csv"))
+    wide = raw_names(df.select(*columns), "Merchant Name", "Merchant City", "Zip", "Errors?")
+    return csv(wide, stage_path(spark, "transactions-csv"))
+
+
+def cards_csv_file(spark, sf):
+    cards = cards_from_customer(spark, sf)
+    columns = ["User", "CARD_INDEX", "Card_Brand", "Card_Type", "Credit_Limit", yes_no("Has_Chip"), yes_no("Card_on_Dark_Web")]
+    return csv(raw_names(cards.select(*columns), "Card Number", "Expires"), stage_path(spark, "cards-csv"))
+
+
+def users_csv_file(spark, sf):
+    users = users_from_customer(spark, sf).orderBy("User").drop("User")
+    return csv(raw_names(users, "Person", "Current Age"), stage_path(spark, "users-csv"))
 
 
 @query(
@@ -50,8 +71,7 @@ def transactions_csv_scan(spark, sf):
 )
 def users_csv(spark, sf):
     """The user key exists only as the row's place in the file."""
-    df = users_from_customer(spark, sf).orderBy("User").drop("User")
-    return IO.read_users(spark, csv(df, stage_path(spark, "users-csv"))).select("User", "Gender")
+    return IO.read_users(spark, users_csv_file(spark, sf)).select("User", "Gender")
 
 
 @query(
@@ -59,9 +79,7 @@ def users_csv(spark, sf):
     f"""WITH {HOLDERS} SELECT usr AS "User", CAST(card_index AS BIGINT) AS "CARD_INDEX", brand AS "Card_Brand", kind AS "Card_Type", chip AS "Has_Chip", dark AS "Card_on_Dark_Web" FROM cards""",
 )
 def cards_csv(spark, sf):
-    df = cards_from_customer(spark, sf)
-    df = df.select("User", "CARD_INDEX", "Card_Brand", "Card_Type", "Credit_Limit", yes_no("Has_Chip"), yes_no("Card_on_Dark_Web"))
-    return IO.read_cards(spark, csv(df, stage_path(spark, "cards-csv"))).drop("Credit_Limit")
+    return IO.read_cards(spark, cards_csv_file(spark, sf)).drop("Credit_Limit")
 
 
 @query(
@@ -70,12 +88,9 @@ def cards_csv(spark, sf):
 UNION ALL SELECT 'transactions', count(*), 11 FROM events UNION ALL SELECT 'users', count(*), 5 FROM customer UNION ALL SELECT 'cards', 2 * count(*), 7 FROM customer""",
 )
 def ingest_report(spark, sf):
-    users = csv(users_from_customer(spark, sf).orderBy("User").drop("User"), stage_path(spark, "users-csv"))
-    cards = cards_from_customer(spark, sf)
-    cards = cards.select("User", "CARD_INDEX", "Card_Brand", "Card_Type", "Credit_Limit", yes_no("Has_Chip"), yes_no("Card_on_Dark_Web"))
-    cards = csv(cards, stage_path(spark, "cards-csv"))
     root = stage_path(spark, "datasets")
-    return IO.ingest(spark, root, "card_frauds_20240101000000", transactions_csv(spark, sf), users, cards)
+    files = transactions_csv(spark, sf), users_csv_file(spark, sf), cards_csv_file(spark, sf)
+    return IO.ingest(spark, root, "card_frauds_20240101000000", *files)
 
 
 @query("load_jsonl", "SELECT event_id, user_id, event_type FROM events")
@@ -141,23 +156,43 @@ def clustered_scan(spark, sf):
 
 @query(
     "holiday_table",
-    f"""WITH {HOLIDAYS} SELECT date, name, count(*) AS events FROM holidays JOIN events ON CAST(ts AS DATE) = date GROUP BY 1, 2""",
+    f"""WITH {HOLIDAYS} SELECT date, name, count(ts) AS events FROM holidays LEFT JOIN (SELECT ts FROM events) ON CAST(ts AS DATE) = date GROUP BY 1, 2""",
 )
 def holiday_table(spark, sf):
     """The dimension is written with its schema, read back and joined."""
     target = stage_path(spark, "holidays")
     IO.save_as(us_holidays(spark), target)
     per_day = table(spark, sf, "events").groupBy(F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("events"))
-    return IO.read_table(spark, target).join(per_day, "date")
+    return IO.read_table(spark, target).join(per_day, "date", "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
 @query("predict_csv")
 def predict_csv(spark, sf):
     """Feature CSV in, the same CSV with predictions out."""
-    train, _, test = plain_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, PLAIN)
+    train, _, test = feature_splits(spark, sf)
+    model, _ = M.train("logistic_regression", train, FEATURES)
     features = test.drop(TARGET)
     source = IO.scan(spark, csv(features, stage_path(spark, "requests")), "csv", features.schema)
     scored = M.score(model, source).withColumnRenamed("prediction", "pred").drop("fraud_probability")
     path = IO.export_table(scored, stage_path(spark, "predictions"), fmt="csv")
     return IO.scan(spark, path, "csv", scored.schema).select(ROW_ID, "pred")
+
+
+@query(
+    "feature_and_split_tables",
+    f"""{merged_sql('orders')}, cut AS (SELECT quantile_disc(sec, 0.7) AS q FROM merged),
+parts AS (SELECT CASE WHEN sec < q THEN 'training' WHEN abs(transaction_id % 100) < 50 THEN 'validation' ELSE 'testing' END AS name, transaction_id, is_fraud FROM merged, cut
+  UNION ALL SELECT 'features', transaction_id, is_fraud FROM merged)
+SELECT name, count(*) AS "rows", CAST(sum(is_fraud) AS BIGINT) AS frauds, CAST(sum(transaction_id) AS BIGINT) AS ids FROM parts GROUP BY 1""",
+)
+def feature_and_split_tables(spark, sf):
+    """The four stored tables, written, kept by a second run without the replace flag, and read back."""
+    root = stage_path(spark, "tables")
+    B.write_tables(spark, B.targets(root), *inputs(spark, sf, "orders"), replace=True)
+    empty = [df.limit(0) for df in inputs(spark, sf, "orders")[:3]]
+    B.write_tables(spark, B.targets(root), *empty, inputs(spark, sf, "orders")[3], replace=False)
+    parts = [
+        IO.read_table(spark, target).agg(F.count(F.lit(1)).alias("rows"), F.sum(TARGET).cast("bigint").alias("frauds"), F.sum(ROW_ID).cast("bigint").alias("ids")).select(F.lit(name).alias("name"), "*")
+        for name, target in B.targets(root).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])

@@ -31,7 +31,7 @@ def _ratio(a: Column, b: Column) -> Column:
 def threshold_counts(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score: positives and negatives at it, and at or above it.
 
-    Rows without a score or label do not take part.
+    Rows without a score or label do not take part; a score that is no number (NaN) ranks last.
     """
     keys = list(by)
     present = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
