@@ -73,6 +73,31 @@ def bigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (own >> CELL_BITS) & (CELLS - 1), own & (CELLS - 1), places
 
 
+def bigram_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and the text's distinct bigrams, five bytes each: what a join with labels has to move."""
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, offsets in slices(batch.column(1)):
+                front, cells, places = bigrams(data, offsets)
+                raw = ((front << CELL_BITS) | cells).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+                out = [raw[5 * s : 5 * e] for s, e in zip(places[:-1].tolist(), places[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(out, pa.binary())], [id_col, "bigrams"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return narrow(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, bigrams binary")
+
+
+def unpacked(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bigrams of a batch as ``bigrams`` gives them."""
+    out = column.to_pylist()
+    whole = np.zeros((sum(map(len, out)) // 5, 8), np.uint8)
+    whole[:, :5] = np.frombuffer(b"".join(out), np.uint8).reshape(-1, 5)
+    own = whole.view(np.int64).ravel()
+    places = np.concatenate([[0], np.cumsum([len(x) // 5 for x in out])]).astype(np.int64)
+    return own >> CELL_BITS, own & (CELLS - 1), places
+
+
 def bigram_cells(front: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Cell of a bigram, inside the range of its first word's bucket, and a 16-bit mark to tell bigrams of a cell apart."""
     key = mix((front.astype(np.uint64) << np.uint64(CELL_BITS)) | cells.astype(np.uint64))
@@ -87,21 +112,19 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def count_bigrams(rows: DataFrame) -> DataFrame:
-    """Counts of (class, bigram) of ``rows`` (text, toxic), packed by the bucket of the first and of the second word."""
+    """Counts of (class, bigram) of ``rows`` (bigrams, toxic), packed by the bucket of the first and of the second word."""
 
     def run(batches):
         parts, held = [], 0
         for batch in batches:
             toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            for a, b, data, offsets in slices(batch.column(0)):
-                front, cells, places = bigrams(data, offsets)
-                keys = (front << (CELL_BITS + 1)) | (cells << 1) | toxic[a:b][owners(places)]
-                keys, n = np.unique(keys, return_counts=True)
-                parts.append((keys, n))
-                held += len(keys)
-                if held > 4_000_000:
-                    parts = [_merge(parts)]
-                    held = len(parts[0][0])
+            front, cells, places = unpacked(batch.column(0))
+            keys = (front << (CELL_BITS + 1)) | (cells << 1) | toxic[owners(places)]
+            parts.append(np.unique(keys, return_counts=True))
+            held += len(parts[-1][0])
+            if held > 4_000_000:
+                parts = [_merge(parts)]
+                held = len(parts[0][0])
         if not parts:
             return
         keys, n = _merge(parts)
@@ -156,7 +179,7 @@ def _word_side(parts) -> dict[str, np.ndarray]:
 def gather(counted: DataFrame) -> DataFrame:
     """One row a side and bucket with its arrays; sizes are fixed."""
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         side, bucket = key
         parts = list(zip(group["keys"], group["n"]))
         arrays = _front_side(parts) if side == "front" else _word_side(parts)
@@ -198,9 +221,8 @@ class Model:
             self.tilt[c] = np.where(telling, tilt, 1)
         self.known = bool(own.all())
 
-    def evidence(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log-likelihood difference a word, and the number of words, of each text."""
-        front, cells, places = bigrams(data, offsets)
+    def evidence(self, front: np.ndarray, cells: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean log-likelihood difference of a bigram, and the number of bigrams, of each text."""
         place, mark = bigram_cells(front, cells)
         hit = self.marks[place] == mark
         counts, totals = np.where(hit, self.counts[:, place], 0), self.totals[:, front]
@@ -237,7 +259,7 @@ def calibrate(rows) -> np.ndarray:
 def scored(data: np.ndarray, offsets: np.ndarray, model: Model, curve: np.ndarray) -> np.ndarray:
     if not model.known:
         return np.zeros(len(offsets) - 1)
-    x, words = model.evidence(data, offsets)
+    x, words = model.evidence(*bigrams(data, offsets))
     value = curve[0] * np.clip(x, -REACH, REACH) + curve[1] + curve[2] * length_class(words) / SIZES
     return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
@@ -246,23 +268,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """(broadcast model, curve) from all labelled rows that are not held out."""
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & (folds(id_col) != 0)).select(id_col, F.col(label_col).cast("int").alias("toxic"))
-    rows = narrow(docs, id_col, text_col).where(folds(id_col) != 0).join(known, id_col)
-    taught = rows.where(folds(id_col) != 4).select(F.col(text_col).alias("text"), "toxic")
+    # The same join at every size; both sides are compact.
+    rows = bigram_rows(docs.where(folds(id_col) != 0), id_col, text_col).join(known.hint("merge"), id_col)
+    taught = rows.where(folds(id_col) != 4).select("bigrams", "toxic")
     model = Model(gather(count_bigrams(taught)).collect())
     shared = spark.sparkContext.broadcast(model)
 
     def steps(batches):
         for batch in batches:
-            out = []
-            for a, b, data, offsets in slices(batch.column(0)):
-                x, words = shared.value.evidence(data, offsets)
-                step = np.clip(((x + REACH) * GRID / (2 * REACH)).astype(np.int64), 0, GRID - 1)
-                out.append((step, length_class(words)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)] + [batch.column(1)], ["step", "size", "toxic"]
-            )
-
-    fitted = rows.where(folds(id_col) == 4).select(F.col(text_col).alias("text"), "toxic")
+            x, size = shared.value.evidence(*unpacked(batch.column(0)))
+            step = np.clip(((x + REACH) * GRID / (2 * REACH)).astype(np.int64), 0, GRID - 1)
+            columns = [pa.array(step, pa.int64()), pa.array(length_class(size), pa.int64()), batch.column(1)]
+            yield pa.RecordBatch.from_arrays(columns, ["step", "size", "toxic"])
+
+    fitted = rows.where(folds(id_col) == 4).select("bigrams", "toxic")
     grid = fitted.mapInArrow(steps, "step bigint, size bigint, toxic int").groupBy("step", "size", "toxic").agg(F.count("*").alias("n"))
     return shared, calibrate(grid.collect())  # at most GRID * SIZES * 2 rows
 
