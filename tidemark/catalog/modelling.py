@@ -22,6 +22,34 @@ def feature_splits(spark, sf, source="events"):
     return temporal_split(stage(P.build_features(*inputs(spark, sf, source)), "features"))
 
 
+def split_sql(source="events"):
+    return f"""{merged_sql(source)}, cut AS (SELECT quantile_disc(sec, 0.7) AS q FROM merged),
+parts AS (SELECT transaction_id, is_fraud, CASE WHEN sec < q THEN 'training' WHEN abs(transaction_id % 100) < 50 THEN 'validation' ELSE 'testing' END AS split FROM merged, cut)"""
+
+
+def report_sql(model, source="events"):
+    """Sizes of the scored splits; the flags say what must hold of any trained model."""
+    return f"""{split_sql(source)} SELECT '{model}' AS model, split, count(*) AS "rows", CAST(sum(is_fraud) AS BIGINT) AS positives,
+  TRUE AS probabilities_hold, TRUE AS metrics_hold, TRUE AS learned FROM parts GROUP BY split"""
+
+
+def report(scored):
+    """Sizes of the splits, whether probabilities and metrics lie in their ranges, and whether training rows are ranked better than by chance."""
+    p = F.col("fraud_probability")
+    sizes = scored.where("split <> 'training_resampled'").groupBy("model", "split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(TARGET).cast("bigint").alias("positives"),
+        F.coalesce(F.bool_and(p.between(0, 1)), F.lit(False)).alias("probabilities_hold"),
+    )
+    metrics = M.candidate_metrics(scored)
+    names = [c for c in metrics.columns if c not in ("model", "split")]
+    hold = F.lit(True)
+    for c in names:
+        hold = hold & F.coalesce(F.col(c).between(0, 1), F.lit(False))
+    flags = metrics.select("model", "split", hold.alias("metrics_hold"), ((F.col("split") != "training") | (F.col("roc_auc") > 0.5)).alias("learned"))
+    return sizes.join(flags, ["model", "split"])
+
+
 def _scaled(spark, sf, scaling):
     df = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").cast("double").alias("key"))
     df = VectorAssembler(inputCols=["o_totalprice", "key"], outputCol="assembled").transform(df)
@@ -74,30 +102,30 @@ def _trained(spark, sf, name, **recipe):
     train, valid, test = feature_splits(spark, sf)
     made = M.Recipe(**recipe)
     _, scored = M.train_candidates([name], train, valid, test, FEATURES, recipe=made)
-    return M.candidate_metrics(scored)
+    return report(scored)
 
 
-@query("train_logistic_regression")
+@query("train_logistic_regression", report_sql("logistic_regression"))
 def train_logistic_regression(spark, sf):
     return _trained(spark, sf, "logistic_regression", sampling="rose", share=0.3, shrinkage=0.5)
 
 
-@query("train_linear_svm")
+@query("train_linear_svm", report_sql("sgd_classifier"))
 def train_linear_svm(spark, sf):
     return _trained(spark, sf, "sgd_classifier", sampling="upsampling_with_duplicates", scaling="min_max")
 
 
-@query("train_random_forest")
+@query("train_random_forest", report_sql("random_forest"))
 def train_random_forest(spark, sf):
     return _trained(spark, sf, "random_forest", scaling="none")
 
 
-@query("train_boosting_weighted")
+@query("train_boosting_weighted", report_sql("xgboost"))
 def train_boosting_weighted(spark, sf):
     return _trained(spark, sf, "xgboost")
 
 
-@query("train_boosting_balanced")
+@query("train_boosting_balanced", report_sql("lightgbm"))
 def train_boosting_balanced(spark, sf):
     return _trained(spark, sf, "lightgbm")
 
@@ -117,32 +145,43 @@ def candidate_curves(spark, sf):
     return M.candidate_curves(scored)
 
 
-@query("train_on_features")
+@query("train_on_features", report_sql("logistic_regression", "orders"))
 def train_on_features(spark, sf):
     """Feature table, time split, rebalanced training, metrics: the whole way."""
     table_ = stage(P.build_features(*inputs(spark, sf, "orders")), "features")
     train, valid, test = temporal_split(table_)
     recipe = M.Recipe(sampling="rose", share=0.3, shrinkage=0.5)
     _, scored = M.train_candidates(["logistic_regression"], train, valid, test, FEATURES, recipe=recipe)
-    return M.candidate_metrics(scored)
+    return report(scored)
 
 
-@query("saved_model_champion")
+@query("saved_model_champion", "SELECT TRUE AS stored_scores_as_live, TRUE AS compared")
 def saved_model_champion(spark, sf):
-    """A model written, read back and defended against a challenger."""
+    """A model written, read back, compared with itself and defended against a challenger."""
     train, _, test = feature_splits(spark, sf)
     path = stage_path(spark, "model")
-    M.train("logistic_regression", train, FEATURES)[0].write().save(path)
+    live, _ = M.train("logistic_regression", train, FEATURES)
+    live.write().save(path)
     champion = PipelineModel.load(path)
     challenger, _ = M.train("sgd_classifier", train, FEATURES)
-    return M.champion_check(champion, challenger, test)
+    check = M.champion_check(champion, challenger, test)
+    a, b = (M.score(m, test, [ROW_ID]).withColumnRenamed("fraud_probability", n) for m, n in ((live, "a"), (champion, "b")))
+    same = a.join(b.drop("prediction"), ROW_ID).agg(F.bool_and(F.abs(F.col("a") - F.col("b")) < 1e-12).alias("stored_scores_as_live"))
+    row = check.first()
+    compared = row is not None and row["champion_metric"] is not None and row["challenger_metric"] is not None
+    return same.withColumn("compared", F.lit(compared))
 
 
-@query("batch_scoring")
+@query(
+    "batch_scoring",
+    f"""{split_sql()} SELECT transaction_id, is_fraud, TRUE AS in_range, TRUE AS class_fits FROM parts WHERE split = 'testing'""",
+)
 def batch_scoring(spark, sf):
     train, _, test = feature_splits(spark, sf)
     model, _ = M.train("logistic_regression", train, FEATURES)
-    return rounded(M.score(model, test, [ROW_ID, TARGET]), (ROW_ID, TARGET, "prediction"))
+    p = F.col("fraud_probability")
+    out = M.score(model, test, [ROW_ID, TARGET])
+    return out.select(ROW_ID, TARGET, p.between(0, 1).alias("in_range"), ((p > 0.5) == (F.col("prediction") == 1)).alias("class_fits"))
 
 
 @query("evaluation_report")

@@ -13,7 +13,7 @@ from ..sources.adapters import table
 from ..streaming import monitor, scoring
 from .base import merged_sql, query, rnd, rounded, sql_rnd
 from .history import merged
-from .modelling import feature_splits
+from .modelling import feature_splits, split_sql
 
 NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 STATS = "mean std_dev min max".split()
@@ -185,7 +185,7 @@ def stream_log_sampled(spark, sf):
     return spark.read.schema(stream.schema).parquet(path)
 
 
-@query("stream_scoring")
+@query("stream_scoring", f"{split_sql()} SELECT transaction_id, TRUE AS scored_as_batch FROM parts WHERE split = 'testing'")
 def stream_scoring(spark, sf):
     """Requests arrive as files, leave as scored records in the log."""
     train, valid, test = feature_splits(spark, sf)
@@ -196,7 +196,10 @@ def stream_scoring(spark, sf):
     out = scoring.score_stream(stream, model, [ROW_ID])
     path, mark = stage_path(spark, "responses"), stage_path(spark, "progress")
     scoring.append_log(out, path, mark).awaitTermination()
-    return rounded(spark.read.schema(out.schema).parquet(path), (ROW_ID, "prediction"))
+    log = spark.read.schema(out.schema).parquet(path)
+    batch = M.score(model, test, [ROW_ID]).select(F.col(ROW_ID).alias("_id"), F.col("fraud_probability").alias("_p"))
+    same = F.abs(F.col("fraud_probability") - F.col("_p")) < 1e-12
+    return log.join(batch, F.col(ROW_ID) == F.col("_id"), "left").select(ROW_ID, F.coalesce(same, F.lit(False)).alias("scored_as_batch"))
 
 
 @query("attribution_skew")

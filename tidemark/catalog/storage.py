@@ -13,7 +13,7 @@ from ..sources.adapters import TRANSACTIONS, cards_from_customer, table, users_f
 from ..sources.holidays import us_holidays
 from .base import HOLDERS, HOLIDAYS, TX, merged_sql, query, rnd, sql_rnd
 from .history import inputs
-from .modelling import feature_splits
+from .modelling import feature_splits, split_sql
 
 
 def dollars(column):
@@ -166,7 +166,7 @@ def holiday_table(spark, sf):
     return IO.read_table(spark, target).join(per_day, "date", "left").withColumn("events", F.coalesce("events", F.lit(0)))
 
 
-@query("predict_csv")
+@query("predict_csv", f"{split_sql()} SELECT transaction_id, TRUE AS predicted_as_frame FROM parts WHERE split = 'testing'")
 def predict_csv(spark, sf):
     """Feature CSV in, the same CSV with predictions out."""
     train, _, test = feature_splits(spark, sf)
@@ -175,7 +175,10 @@ def predict_csv(spark, sf):
     source = IO.scan(spark, csv(features, stage_path(spark, "requests")), "csv", features.schema)
     scored = M.score(model, source).withColumnRenamed("prediction", "pred").drop("fraud_probability")
     path = IO.export_table(scored, stage_path(spark, "predictions"), fmt="csv")
-    return IO.scan(spark, path, "csv", scored.schema).select(ROW_ID, "pred")
+    frame = M.score(model, features, [ROW_ID]).select(F.col(ROW_ID).alias("_id"), "prediction")
+    read = IO.scan(spark, path, "csv", scored.schema).select(ROW_ID, "pred")
+    joined = read.join(frame, F.col(ROW_ID) == F.col("_id"), "left")
+    return joined.select(ROW_ID, F.coalesce(F.col("pred") == F.col("prediction"), F.lit(False)).alias("predicted_as_frame"))
 
 
 @query(
