@@ -12,10 +12,11 @@ into a score.
 
 with n numbers of texts, t numbers of distinct words in front, ``freed`` what the discounts set free, and no index c for both
 classes together.  Both models back off to the shared counts with a weight as
-large as all of them.  Where a class holds an expression no more than ``CHANCE``
-standard deviations more or less often than its share, the shared counts stand
-for its own: p(w|v, c) = s(w|v) r_c(w) and r_c(w) = 1.  So an expression too rare
-to tell the classes apart says nothing, whichever class it was met in.
+large as all of them.  Where the toxic class holds an expression no more than
+``CHANCE`` standard deviations, or less than ``EFFECT`` times, more or less often
+than its share, the shared counts stand for its own: p(w|v, c) = s(w|v) r_c(w) and
+r_c(w) = 1.  So an expression too rare to tell the classes apart, or one that
+is merely commoner in a language with more toxic texts, says nothing.
 
 Words are hashed to ``CELLS`` cells.  All labelled text is
 counted by a shuffle that grows with it; what is broadcast for scoring has a
@@ -48,7 +49,7 @@ CELLS = 1 << CELL_BITS
 BUCKETS = 64  # ranges of cells, each counted by one task
 BIGRAM_BITS = 22
 DISCOUNT = 0.75
-CHANCE = 4.0
+CHANCE, EFFECT = 4.0, 2.0
 GRID, REACH, SIZES = 8192, 1.0, 16  # steps and reach of the evidence, length classes
 _SEGMENT = (1 << BIGRAM_BITS) // BUCKETS
 _OPENING = 0  # the cell in front of a text's first word
@@ -190,8 +191,10 @@ def gather(counted: DataFrame) -> DataFrame:
 
 
 def beyond_chance(toxic: np.ndarray, both: np.ndarray, share) -> np.ndarray:
+    """Where the toxic count differs from its share by more than chance and by at least the factor ``EFFECT``."""
     expected = both * share
-    return np.abs(toxic - expected) > CHANCE * np.sqrt(expected + 1)
+    certain = np.abs(toxic - expected) > CHANCE * np.sqrt(expected + 1)
+    return certain & ((toxic > EFFECT * expected) | (toxic * EFFECT < expected))
 
 
 class Model:
