@@ -91,7 +91,7 @@ class Pool:
 class Memo:
     """Chunks met so far with their bytes and ids, in a direct-mapped table by hash.  Forgotten whole once it is full."""
 
-    SLOTS, CHUNKS, BYTES = 1 << 20, 800_000, 16 << 20
+    SLOTS, CHUNKS, BYTES = 1 << 19, 400_000, 8 << 20
 
     def __init__(self):
         self.slot_keys = np.zeros(self.SLOTS, dtype=np.uint64)

@@ -43,7 +43,7 @@ from .text import mix, narrow, owners, pack_arrays, parts, slices, split_by, unp
 
 WORDS, THRESHOLD = 5, 80  # shingle length; least similarity in hundredths
 GROUP = 4_000_000  # postings that one task searches at once
-CHUNK = 4_000_000  # shingles a task gathers before it sends them on
+CHUNK = 1_500_000  # shingles a task gathers before it sends them on
 MU = 0.0085  # cost of merging against probing, in DivideSkip's choice of long lists
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 

@@ -6,6 +6,7 @@ other than ``0x20`` and ``0x09``-``0x0D``; words are hashed with A-Z lowered.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE_BYTES = 1 << 20  # text handled at once; a longer single text is one slice
+SLICE_BYTES = 1 << 19  # text handled at once; a longer single text is one slice
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _WORD = np.ones(256, dtype=bool)
@@ -75,6 +76,16 @@ def text_array(column) -> pa.Array:
     return pc.fill_null(column, "") if column.null_count else column
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
+def release() -> None:
+    """Hand freed memory back to the system: idle workers stay beside busy ones on an executor."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of consecutive rows of about ``limit`` bytes."""
     array = text_array(column)
@@ -91,6 +102,7 @@ def slices(column, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndar
         end = min(end, n)
         yield row, end, data[offsets[row] : offsets[end]], offsets[row : end + 1] - offsets[row]
         row = end
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, word: np.ndarray = _WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -183,6 +195,7 @@ def pack_arrays(**arrays: np.ndarray) -> bytes:
 
 def unpack_arrays(blobs) -> dict[str, np.ndarray]:
     """The columns of several packed blobs, one after the other."""
+    release()
     tables = [pa.ipc.open_stream(blob).read_all() for blob in blobs]
     whole = pa.concat_tables(tables)
     return {name: whole.column(name).to_numpy() for name in whole.column_names}

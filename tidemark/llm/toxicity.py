@@ -123,7 +123,7 @@ def count_bigrams(rows: DataFrame) -> DataFrame:
             keys = (front << (CELL_BITS + 1)) | (cells << 1) | toxic[owners(places)]
             parts.append(np.unique(keys, return_counts=True))
             held += len(parts[-1][0])
-            if held > 4_000_000:
+            if held > 1_000_000:
                 parts = [_merge(parts)]
                 held = len(parts[0][0])
         if not parts:
