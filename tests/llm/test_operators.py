@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -184,6 +185,19 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 if i <= 50 else 51 for i in range(101)}
 
 
+@pytest.mark.parametrize("order", ["shuffled", "descending"])
+def test_components_of_paths_of_thousands(spark, order):
+    """The rounds must not grow with the length of a path, nor depend on where its least label is."""
+    n = 4000
+    names = list(range(n, 0, -1))
+    if order == "shuffled":
+        random.Random(7).shuffle(names)
+    edges = list(zip(names, names[1:])) + [(n + 2, n + 1), (-5, -5)]
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in range(1, n + 1)}, n + 1: n + 1, n + 2: n + 1}
+    assert graph.components(spark.createDataFrame([(3, 3)], "a long, b long")).count() == 0
+
+
 def brute_spans(texts, width=50):
     seen, out = {}, {}
     for i, t in sorted(texts, key=lambda x: (x[0] is None, x[0] or 0)):
