@@ -316,6 +316,63 @@ def test_toxicity(spark, docs, empty):
     assert {r.score for r in toxicity.score(docs, unlearned).collect()} == {0.0}
 
 
+def test_toxicity_uses_every_bigram(spark, monkeypatch):
+    """Scores equal those of models that keep all counted bigrams, with the table broadcast and joined."""
+    draw = random.Random(5)
+    rows = []
+    for i in range(3000):
+        words = [f"w{draw.randrange(40_000)}" for _ in range(60)] + [f"c{draw.randrange(30)}" for _ in range(30)]
+        if i % 3 == 0:
+            for k in range(3):
+                e = draw.randrange(60)
+                words[20 * k : 20 * k + 2] = [f"vile{e % 8}", f"x{e}"]
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    def pairs(t):
+        return set(zip(["", *t.split()], t.split()))
+
+    n, word, front, after, before = collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter(), collections.Counter()
+    for i, t, y in rows:
+        if zlib.crc32(str(i).encode()) % 5 in (1, 2, 3):
+            for v, w in pairs(t):
+                after[v] += not n[v, w, 0] + n[v, w, 1]
+                before[w] += not n[v, w, 0] + n[v, w, 1]
+                n[v, w, y] += 1
+                word[w, y] += 1
+                front[v, y] += 1
+    own = [sum(k for (_, c), k in word.items() if c == y) for y in (0, 1)]
+    total, spread, kinds = sum(own), sum(before.values()), len(before)
+
+    def tells(t, b, share):
+        e = b * share
+        return abs(t - e) > 4 * math.sqrt(e + 1) and (t > 2 * e or 2 * t < e)
+
+    def tilt(w, c):
+        b = word[w, 0] + word[w, 1]
+        return (max(word[w, c] - 0.75, 0) / b * total + total) / (own[c] + total) if b and tells(word[w, 1], b, own[1] / total) else 1.0
+
+    def log(v, w, c):
+        m, b = front[v, 0] + front[v, 1], n[v, w, 0] + n[v, w, 1]
+        if not b or not tells(n[v, w, 1], b, front[v, 1] / m):
+            return math.log(tilt(w, c))
+        backed = (b - 0.75 + 0.75 * after[v] * (before[w] + 1) / (spread + kinds)) / m
+        return math.log((max(n[v, w, c] - 0.75, 0) + m * backed * tilt(w, c)) / ((front[v, c] + m) * backed))
+
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    repeated = table.where("doc_id < 200").unionByName(table.where("doc_id < 3").selectExpr("CAST(NULL AS bigint) AS doc_id", "text")).unionByName(table.where("doc_id < 9"))
+    for limit in (toxicity.SHARED, 0):
+        monkeypatch.setattr(toxicity, "SHARED", limit)
+        fitted = toxicity.fit(table, labels)
+        got = toxicity.score(repeated, fitted).collect()
+        assert len(got) == 212
+        a, b, c = fitted[-1]
+        for r in got:
+            own_pairs = pairs(r.text)
+            x = sum(log(v, w, 1) - log(v, w, 0) for v, w in own_pairs) / len(own_pairs)
+            value = a * max(-1, min(1, x)) + b + c * min(int(math.log2(len(own_pairs) + 1)), 15) / 16
+            assert abs(r.score - 1 / (1 + math.exp(-max(-30, min(30, value))))) < 1e-6
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><body><header><a href=/>Site</a></header>
 <div class="cookie-notice">We use cookies on this site</div><nav><ul><li><a>one</a></li><li><a>two</a></li></ul></nav><!-- x <p>no</p> -->
 <article><h1>Title &amp; more</h1><p>First <b>para<br>line

@@ -8,9 +8,9 @@ into a score.
     p(w|v, c) = (n_c(v w) - D + n(v) s(w|v) r_c(w)) / (n_c(v) + n(v))
     s(w|v)    = (max(n(v w) - D, 0) + freed p(w)) / n(v)
     r_c(w)    = (n_c(w) - D + n(w)) / (n_c + n) / (n(w) / n)
-    p(w)      = (t(. w) + 1) / (t(.) + cells)
+    p(w)      = (t(. w) + 1) / (t(.) + words)
 
-with n numbers of texts, t numbers of distinct words in front, ``freed`` what the discounts set free, and no index c for both
+with n numbers of texts, t numbers of distinct words in front, ``words`` the number of distinct words, ``freed`` what the discounts set free, and no index c for both
 classes together.  Both models back off to the shared counts with a weight as
 large as all of them.  Where the toxic class holds an expression no more than
 ``CHANCE`` standard deviations, or less than ``EFFECT`` times, more or less often
@@ -18,10 +18,11 @@ than its share, the shared counts stand for its own: p(w|v, c) = s(w|v) r_c(w) a
 r_c(w) = 1.  So an expression too rare to tell the classes apart, or one that
 is merely commoner in a language with more toxic texts, says nothing.
 
-Words are hashed to ``CELLS`` cells.  All labelled text is
-counted by a shuffle that grows with it; what is broadcast for scoring has a
-fixed size: a few numbers a cell and, for each bigram cell, the bigram that is
-most frequent there (others stay with the back-off, which gets their mass).
+Words are 64-bit hashes, and every counted bigram takes part.  All labelled
+text is counted by a shuffle that grows with it.  Expressions that fail the test
+above add the logarithm of 1, nothing, so scoring needs only the words and
+bigrams that pass it; their log-ratios are a table, broadcast up to ``SHARED``
+rows and joined with the texts' bigrams above that, with the same scores.
 
 Labels are learned only from rows that are not held out; of these, the rows
 with remainder 4 fit the curve (as counts on a fixed grid), the others the models.
@@ -35,210 +36,254 @@ empty table; further columns never matter.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stage
 
 from .catalog import query, table
-from .text import LETTERS, mix, narrow, owners, pack_bytes, pack_sorted, slices, sums_by_text, unpack_bytes, unpack_sorted, word_hashes
+from .text import LETTERS, mix, narrow, owners, pack_arrays, parts, slices, split_by, sums_by_text, unpack_arrays, word_hashes
 
-CELL_BITS = 20
-CELLS = 1 << CELL_BITS
-BUCKETS = 64  # ranges of cells, each counted by one task
-BIGRAM_BITS = 22
 DISCOUNT = 0.75
 CHANCE, EFFECT = 4.0, 2.0
 GRID, REACH, SIZES = 8192, 1.0, 16  # steps and reach of the evidence, length classes
-_SEGMENT = (1 << BIGRAM_BITS) // BUCKETS
-_OPENING = 0  # the cell in front of a text's first word
+HELD = 1_500_000  # bigrams a task gathers before it merges or sends them on
+SHARED = 3_000_000  # telling words and bigrams up to which their table is broadcast
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_OPENING, _ALONE = np.uint64(0), np.uint64(1)  # in front of a text's first word, and of a word that stands for itself
+_FILTER = (1 << 23) - 1
+_X, _LENGTH, _ROW = "__evidence", "__length", "__row"
 
 
 def folds(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(5))
 
 
+def pair_keys(front, word: np.ndarray) -> np.ndarray:
+    return mix(front * _STEP + word)
+
+
 def bigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each text's distinct bigrams - cells of the word in front and of the word - and each text's range of them.
+    """Each text's distinct bigrams - hashes of the word in front and of the word - and each text's range of them.
 
     A bigram counts once a text, so a text that repeats itself is not louder than others.
     """
-    hashes, places = word_hashes(data, offsets, LETTERS)
-    cells = (hashes & np.uint64(CELLS - 1)).astype(np.int64)
-    front = np.empty_like(cells)
-    front[1:] = cells[:-1]
+    word, places = word_hashes(data, offsets, LETTERS)
+    front = np.empty_like(word)
+    front[1:] = word[:-1]
     front[places[:-1][np.diff(places) > 0]] = _OPENING
-    own = np.unique((owners(places) << (2 * CELL_BITS)) | (front << CELL_BITS) | cells)
-    places = np.searchsorted(own, np.arange(len(places)) << (2 * CELL_BITS))
-    return (own >> CELL_BITS) & (CELLS - 1), own & (CELLS - 1), places
+    text, key = owners(places), pair_keys(front, word)
+    order = np.lexsort((key, text))
+    key = key[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])  # the order keeps texts in their places
+    order = order[new]
+    return front[order], word[order], np.searchsorted(text[order], np.arange(len(places)))
+
+
+def _merge(front: np.ndarray, word: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts of equal bigrams added up, in order of front and word."""
+    order = np.lexsort((word, front))
+    front, word = front[order], word[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (front[1:] != front[:-1]) | (word[1:] != word[:-1])
+    first = np.flatnonzero(new)
+    n0, n1 = (np.add.reduceat(n[order], first) if len(first) else n for n in (n0, n1))
+    return {"front": front[first], "word": word[first], "n0": n0, "n1": n1}
 
 
-def bigram_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and the text's distinct bigrams, five bytes each: what a join with labels has to move."""
+def count_bigrams(rows: DataFrame, count: int) -> DataFrame:
+    """Counts of (bigram, class) of ``rows`` (text, toxic), packed by the part of the first word."""
 
     def run(batches):
+        held, size = [], 0
+
+        def merged():
+            return _merge(*(np.concatenate([h[k] for h in held]) for k in ("front", "word", "n0", "n1")))
+
+        def flush(x):
+            part = (mix(x["front"]) >> np.uint64(33)).astype(np.int64) % count
+            keys, blobs = zip(*[(k, pack_arrays(**arrays)) for k, arrays in split_by(part, count, x)])
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["part", "data"])
+
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column(1)):
-                front, cells, places = bigrams(data, offsets)
-                raw = ((front << CELL_BITS) | cells).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
-                out = [raw[5 * s : 5 * e] for s, e in zip(places[:-1].tolist(), places[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(out, pa.binary())], [id_col, "bigrams"])
+            toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint32)
+            for a, b, data, offsets in slices(batch.column(0)):
+                front, word, places = bigrams(data, offsets)
+                n1 = toxic[a:b][owners(places)]
+                held.append({"front": front, "word": word, "n0": np.uint32(1) - n1, "n1": n1})
+                size += len(front)
+                if size > HELD:
+                    held = [merged()]
+                    size = len(held[0]["front"])
+                    if size > HELD // 2:
+                        yield flush(held[0])
+                        held, size = [], 0
+        if size:
+            yield flush(merged())
+
+    return rows.mapInArrow(run, "part int, data binary")
+
+
+def gather(packed: DataFrame) -> DataFrame:
+    """Of each part: its bigrams that tell the classes apart, with the counts of the word in front, and its share of every word's counts.
+
+    ``others`` is the number of distinct words after the front of a bigram, or in front of a word.
+    """
+    names = ["pair", "front", "word", "n0", "n1", "t0", "t1", "others"]
+
+    def run(group: pa.Table) -> pa.Table:
+        x = _merge(**unpack_arrays(group.column("data").to_pylist()))
+        front, word, n0, n1 = x["front"], x["word"], x["n0"].astype(np.int64), x["n1"].astype(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], front[1:] != front[:-1]]))
+        others = np.diff(np.append(starts, len(front)))
+        t0, t1, others = (np.repeat(v, others) for v in (np.add.reduceat(n0, starts), np.add.reduceat(n1, starts), others))
+        use = beyond_chance(n1, n0 + n1, t1 / (t0 + t1))
+        order = np.argsort(word, kind="stable")
+        words = word[order]
+        starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+        sums = [np.add.reduceat(n[order], starts) for n in (n0, n1)]
+        zero = np.zeros(len(starts), np.int64)
+        of_pairs = [np.ones(int(use.sum()), bool), *(v[use] for v in (front.view(np.int64), word.view(np.int64), n0, n1, t0, t1, others))]
+        of_words = [np.zeros(len(starts), bool), zero, words[starts].view(np.int64), *sums, zero, zero, np.diff(np.append(starts, len(words)))]
+        return pa.Table.from_arrays([pa.array(np.concatenate(v)) for v in zip(of_pairs, of_words)], names)
+
+    kinds = ", ".join(f"{name} bigint" for name in names[1:])
+    return packed.groupBy("part").applyInArrow(run, f"pair boolean, {kinds}")
+
+
+def beyond_chance(toxic: np.ndarray, both: np.ndarray, share) -> np.ndarray:
+    """Where the toxic count differs from its share by more than chance and by at least the factor ``EFFECT``."""
+    expected = both * share
+    certain = np.abs(toxic - expected) > CHANCE * np.sqrt(expected + 1)
+    return certain & ((toxic > EFFECT * expected) | (toxic * EFFECT < expected))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return narrow(docs, id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, bigrams binary")
 
+def telling(counted: DataFrame) -> DataFrame | None:
+    """(key, value): log-ratio of the classes for each telling word, and for each telling bigram what its own adds to its word's.
 
-def unpacked(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bigrams of a batch as ``bigrams`` gives them."""
-    out = column.to_pylist()
-    whole = np.zeros((sum(map(len, out)) // 5, 8), np.uint8)
-    whole[:, :5] = np.frombuffer(b"".join(out), np.uint8).reshape(-1, 5)
-    own = whole.view(np.int64).ravel()
-    places = np.concatenate([[0], np.cumsum([len(x) // 5 for x in out])]).astype(np.int64)
-    return own >> CELL_BITS, own & (CELLS - 1), places
+    None without texts of both classes.
+    """
+    words = stage(
+        counted.where("not pair").groupBy("word").agg(F.sum("n0").alias("w0"), F.sum("n1").alias("w1"), F.sum("others").alias("fronts")), "words"
+    )
+    total = words.agg(F.sum("w0"), F.sum("w1"), F.sum("fronts"), F.count("*")).first()
+    if not (total[0] and total[1]):
+        return None
+    own, fronts, distinct = np.array(total[:2], float), float(total[2]), float(total[3])
+    n_all = own.sum()
 
+    def tilts(w: np.ndarray) -> np.ndarray:  # r_c(w)
+        seen = w.sum(axis=0)
+        use = beyond_chance(w[1], seen, own[1] / n_all)
+        return np.stack([np.where(use, (np.maximum(w[c] - DISCOUNT, 0) / np.maximum(seen, 1) * n_all + n_all) / (own[c] + n_all), 1) for c in (0, 1)])
 
-def bigram_cells(front: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cell of a bigram, inside the range of its first word's bucket, and a 16-bit mark to tell bigrams of a cell apart."""
-    key = mix((front.astype(np.uint64) << np.uint64(CELL_BITS)) | cells.astype(np.uint64))
-    place = (front >> (CELL_BITS - 6)) * _SEGMENT + (key & np.uint64(_SEGMENT - 1)).astype(np.int64)
-    return place, ((key >> np.uint64(40)) & np.uint64(0xFFFF)).astype(np.uint16)
+    def rows(key: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value)], ["key", "value"])
 
+    def of_words(batches):
+        for batch in batches:
+            word, w0, w1 = (batch.column(k).to_numpy() for k in range(3))
+            value = np.log(tilts(np.stack([w0, w1]).astype(float)))
+            value = value[1] - value[0]
+            yield rows(pair_keys(_ALONE, word.view(np.uint64))[value != 0], value[value != 0])
 
-def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.concatenate([k for k, _ in parts])
-    keys, which = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(which, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
+    def of_pairs(batches):
+        for batch in batches:
+            front, word, n0, n1, t0, t1, others, w0, w1, before = (batch.column(k).to_numpy() for k in range(10))
+            counts, totals = np.stack([n0, n1]).astype(float), np.stack([t0, t1]).astype(float)
+            n, seen, tilt = totals.sum(axis=0), counts.sum(axis=0), tilts(np.stack([w0, w1]).astype(float))
+            freed, shared = DISCOUNT * others, (before + 1) / (fronts + distinct)
+            backed = (seen - DISCOUNT + freed * shared) / n
+            logs = np.log((np.maximum(counts - DISCOUNT, 0) + n * backed * tilt) / ((totals + n) * backed))  # log p(w|v, c) / s(w|v)
+            logs -= np.log(tilt)
+            yield rows(pair_keys(front.view(np.uint64), word.view(np.uint64)), logs[1] - logs[0])
 
+    pairs = counted.where("pair").join(words, "word")
+    names = ("front", "word", "n0", "n1", "t0", "t1", "others", "w0", "w1", "fronts")
+    kind = "key bigint, value double"
+    return stage(narrow(words, "word", "w0", "w1").mapInArrow(of_words, kind).unionByName(narrow(pairs, *names).mapInArrow(of_pairs, kind)), "telling")
 
-def count_bigrams(rows: DataFrame) -> DataFrame:
-    """Counts of (class, bigram) of ``rows`` (bigrams, toxic), packed by the bucket of the first and of the second word."""
+
+def collected(entries: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order, and their values; packed on the way to the driver."""
 
     def run(batches):
-        parts, held = [], 0
         for batch in batches:
-            toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            front, cells, places = unpacked(batch.column(0))
-            keys = (front << (CELL_BITS + 1)) | (cells << 1) | toxic[owners(places)]
-            parts.append(np.unique(keys, return_counts=True))
-            held += len(parts[-1][0])
-            if held > 1_000_000:
-                parts = [_merge(parts)]
-                held = len(parts[0][0])
-        if not parts:
-            return
-        keys, n = _merge(parts)
-        turned = ((keys >> 1 & (CELLS - 1)) << (CELL_BITS + 1)) | (keys >> (CELL_BITS + 1) << 1) | (keys & 1)
-        order = np.argsort(turned)
-        out = []
-        for side, own, count in (("front", keys, n), ("word", turned[order], n[order])):
-            edges = np.searchsorted(own, np.arange(BUCKETS + 1) << (2 * CELL_BITS + 1 - 6))
-            for bucket in range(BUCKETS):
-                s, e = edges[bucket], edges[bucket + 1]
-                if e > s:
-                    out.append((side, bucket, pack_sorted(own[s:e]), pack_bytes(count[s:e].astype(np.uint32))))
-        yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["side", "bucket", "keys", "n"]).astype({"bucket": "int32"}), preserve_index=False)
-
-    return rows.mapInArrow(run, "side string, bucket int, keys binary, n binary")
-
-
-def _front_side(parts) -> dict[str, np.ndarray]:
-    """For the first words of one bucket: totals and freed mass of each class, and the bigrams kept."""
-    keys, n = _merge([(unpack_sorted(k).astype(np.int64), np.frombuffer(unpack_bytes(c), np.uint32)) for k, c in parts])
-    pairs, which = np.unique(keys >> 1, return_inverse=True)
-    both = np.zeros((len(pairs), 2))
-    both[which, keys & 1] = n
-    front, word = pairs >> CELL_BITS, pairs & (CELLS - 1)
-    local, span = front & ((1 << (CELL_BITS - 6)) - 1), 1 << (CELL_BITS - 6)
-    totals = np.stack([np.bincount(local, weights=both[:, c], minlength=span) for c in (0, 1)])
-    place, mark = bigram_cells(front, word)
-    place &= _SEGMENT - 1
-    order = np.lexsort((pairs, -both.sum(axis=1), place))
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = place[order][1:] != place[order][:-1]
-    kept = order[first]
-    counts = np.zeros((2, _SEGMENT), dtype=np.float32)
-    counts[:, place[kept]] = both[kept].T
-    marks = np.zeros(_SEGMENT, dtype=np.uint16)
-    marks[place[kept]] = mark[kept]
-    used = np.bincount(local[kept], weights=np.maximum(both[kept].sum(axis=1) - DISCOUNT, 0), minlength=span)
-    freed = (totals.sum(axis=0) - used)[None]
-    return {"totals": totals.astype(np.float32), "freed": freed.astype(np.float32), "counts": counts, "marks": marks}
-
-
-def _word_side(parts) -> dict[str, np.ndarray]:
-    """For the words of one bucket: counts in each class, and distinct words in front in both."""
-    keys, n = _merge([(unpack_sorted(k).astype(np.int64), np.frombuffer(unpack_bytes(c), np.uint32)) for k, c in parts])
-    span = 1 << (CELL_BITS - 6)
-    local = (keys >> (CELL_BITS + 1)) & (span - 1)
-    counts = [np.bincount(local[(keys & 1) == c], weights=n[(keys & 1) == c], minlength=span) for c in (0, 1)]
-    shared = np.bincount((np.unique(keys >> 1) >> CELL_BITS) & (span - 1), minlength=span)
-    return {"words": np.array([*counts, shared], dtype=np.float32)}
-
-
-def gather(counted: DataFrame) -> DataFrame:
-    """One row a side and bucket with its arrays; sizes are fixed."""
-
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        side, bucket = key
-        parts = list(zip(group["keys"], group["n"]))
-        arrays = _front_side(parts) if side == "front" else _word_side(parts)
-        out = [(side, bucket, name, pack_bytes(values)) for name, values in arrays.items()]
-        return pd.DataFrame(out, columns=["side", "bucket", "name", "data"])
-
-    return counted.groupBy("side", "bucket").applyInPandas(run, "side string, bucket int, name string, data binary")
+            blob = pack_arrays(key=batch.column(0).to_numpy(), value=batch.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["data"])
 
-
-def beyond_chance(toxic: np.ndarray, both: np.ndarray, share) -> np.ndarray:
-    """Where the toxic count differs from its share by more than chance and by at least the factor ``EFFECT``."""
-    expected = both * share
-    certain = np.abs(toxic - expected) > CHANCE * np.sqrt(expected + 1)
-    return certain & ((toxic > EFFECT * expected) | (toxic * EFFECT < expected))
+    blobs = [bytes(r["data"]) for r in entries.mapInArrow(run, "data binary").collect()]
+    if not blobs:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    x = unpack_arrays(blobs)
+    keys = x["key"].view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], x["value"][order]
 
 
 class Model:
-    """Both language models as arrays over cells."""
-
-    def __init__(self, rows):
-        span = CELLS // BUCKETS
-        self.totals, self.freed = np.zeros((2, CELLS), np.float32), np.zeros((1, CELLS), np.float32)
-        self.counts, self.marks = np.zeros((2, _SEGMENT * BUCKETS), np.float32), np.zeros(_SEGMENT * BUCKETS, np.uint16)
-        words = np.zeros((3, CELLS), np.float32)
-        targets = {"totals": self.totals, "freed": self.freed, "counts": self.counts, "words": words}
-        for row in rows:
-            raw, b = unpack_bytes(bytes(row["data"])), row["bucket"]
-            if row["name"] == "marks":
-                self.marks[b * _SEGMENT : (b + 1) * _SEGMENT] = np.frombuffer(raw, np.uint16)
-                continue
-            target = targets[row["name"]]
-            width = _SEGMENT if row["name"] == "counts" else span
-            target[:, b * width : (b + 1) * width] = np.frombuffer(raw, np.float32).reshape(len(target), -1)
-        self.shared = ((words[2] + 1) / (words[2].sum(dtype=np.float64) + CELLS)).astype(np.float32)
-        own, seen = words[:2].sum(axis=1, dtype=np.float64), words[:2].sum(axis=0)
-        n = max(own.sum(), 1)
-        telling = beyond_chance(words[1], seen, own[1] / n)
-        self.tilt = np.ones((2, CELLS), np.float32)  # r_c(w)
-        for c in (0, 1):
-            tilt = (np.maximum(words[c] - DISCOUNT, 0) / np.maximum(seen, 1) * n + n) / (own[c] + n)
-            self.tilt[c] = np.where(telling, tilt, 1)
-        self.known = bool(own.all())
-
-    def evidence(self, front: np.ndarray, cells: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log-likelihood difference of a bigram, and the number of bigrams, of each text."""
-        place, mark = bigram_cells(front, cells)
-        hit = self.marks[place] == mark
-        counts, totals = np.where(hit, self.counts[:, place], 0), self.totals[:, front]
-        n, seen = totals.sum(axis=0), counts.sum(axis=0)
-        telling = beyond_chance(counts[1], seen, totals[1] / np.maximum(n, 1))
-        backed = (np.maximum(seen - DISCOUNT, 0) + self.freed[0][front] * self.shared[cells]) / np.maximum(n, 1)
-        logs = []
-        for c in (0, 1):
-            tilt = self.tilt[c][cells]
-            ratio = (np.maximum(counts[c] - DISCOUNT, 0) + n * backed * tilt) / np.maximum((totals[c] + n) * backed, 1e-30)
-            logs.append(np.log(np.where(telling, ratio, tilt)))  # log p(w|v, c) / s(w|v); s is the same for both
-        size = np.diff(places)
-        return sums_by_text(logs[1] - logs[0], places) / np.maximum(size, 1), size
+    """The telling words and bigrams in memory."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.keys, self.values = keys, values
+        self.filter = np.zeros(_FILTER + 1, bool)
+        self.filter[keys & np.uint64(_FILTER)] = True
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys))
+        at = np.flatnonzero(self.filter[keys & np.uint64(_FILTER)])
+        place = np.searchsorted(self.keys, keys[at])
+        hit = place < len(self.keys)
+        at, place = at[hit], place[hit]
+        hit = self.keys[place] == keys[at]
+        out[at[hit]] = self.values[place[hit]]
+        return out
+
+    def sums(self, front: np.ndarray, word: np.ndarray, places: np.ndarray) -> np.ndarray:
+        return sums_by_text(self.of(pair_keys(front, word)) + self.of(pair_keys(_ALONE, word)), places)
+
+
+def with_evidence(docs: DataFrame, text_col: str, entries: DataFrame, shared) -> DataFrame:
+    """All columns, the mean log-likelihood difference of a bigram, and the length class of each text.
+
+    Without a broadcast model the texts' bigrams are joined with the table; a
+    row is known by a number of its own, so repeated or null ids do no harm.
+    """
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+    def ask(batches):
+        for batch in batches:
+            for a, b, data, offsets in slices(batch.column(1)):
+                front, word, places = bigrams(data, offsets)
+                row = batch.column(0).to_numpy()[a:b][owners(places)]
+                keys = np.concatenate([pair_keys(front, word), pair_keys(_ALONE, word)]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([row, row])), pa.array(keys)], [_ROW, "key"])
+
+    joined = shared is None
+    if joined:
+        rows = stage(docs.withColumn(_ROW, F.monotonically_increasing_id()), "rows")
+        asked = narrow(rows, _ROW, text_col).mapInArrow(ask, f"{_ROW} bigint, key bigint")
+        found = asked.join(entries, "key").groupBy(_ROW).agg(F.sum("value").alias(_X))
+        source = rows.join(found, _ROW, "left").select(*[rows[c] for c in docs.columns], F.coalesce(found[_X], F.lit(0.0)).alias(_X))
+    else:
+        source = docs
+    place, width = docs.columns.index(text_col), len(docs.columns)
+
+    def run(batches):
+        for batch in batches:
+            x, lengths = [np.zeros(0)], [np.zeros(0, np.int32)]
+            for a, b, data, offsets in slices(batch.column(place)):
+                front, word, places = bigrams(data, offsets)
+                size = np.diff(places)
+                sums = batch.column(width).to_numpy()[a:b] if joined else shared.value.sums(front, word, places)
+                x.append(sums / np.maximum(size, 1))
+                lengths.append(length_class(size).astype(np.int32))
+            columns = [*batch.columns[:width], pa.array(np.concatenate(x)), pa.array(np.concatenate(lengths))]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:width], _X, _LENGTH])
+
+    return source.mapInArrow(run, StructType([*docs.schema.fields, StructField(_X, DoubleType()), StructField(_LENGTH, IntegerType())]))
 
 
 def length_class(words: np.ndarray) -> np.ndarray:
@@ -259,52 +304,35 @@ def calibrate(rows) -> np.ndarray:
     return w
 
 
-def scored(data: np.ndarray, offsets: np.ndarray, model: Model, curve: np.ndarray) -> np.ndarray:
-    if not model.known:
-        return np.zeros(len(offsets) - 1)
-    x, words = model.evidence(*bigrams(data, offsets))
-    value = curve[0] * np.clip(x, -REACH, REACH) + curve[1] + curve[2] * length_class(words) / SIZES
-    return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
-
-
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
-    """(broadcast model, curve) from all labelled rows that are not held out."""
+    """(telling table, its broadcast form or None, curve) from all labelled rows that are not held out; None without labels of both classes."""
     spark = docs.sparkSession
     known = labels.where(F.col(label_col).isin(0, 1) & (folds(id_col) != 0)).select(id_col, F.col(label_col).cast("int").alias("toxic"))
-    # The same join at every size; both sides are compact.
-    rows = bigram_rows(docs.where(folds(id_col) != 0), id_col, text_col).join(known.hint("merge"), id_col)
-    taught = rows.where(folds(id_col) != 4).select("bigrams", "toxic")
-    model = Model(gather(count_bigrams(taught)).collect())
-    shared = spark.sparkContext.broadcast(model)
-
-    def steps(batches):
-        for batch in batches:
-            x, size = shared.value.evidence(*unpacked(batch.column(0)))
-            step = np.clip(((x + REACH) * GRID / (2 * REACH)).astype(np.int64), 0, GRID - 1)
-            columns = [pa.array(step, pa.int64()), pa.array(length_class(size), pa.int64()), batch.column(1)]
-            yield pa.RecordBatch.from_arrays(columns, ["step", "size", "toxic"])
-
-    fitted = rows.where(folds(id_col) == 4).select("bigrams", "toxic")
-    grid = fitted.mapInArrow(steps, "step bigint, size bigint, toxic int").groupBy("step", "size", "toxic").agg(F.count("*").alias("n"))
-    return shared, calibrate(grid.collect())  # at most GRID * SIZES * 2 rows
+    # The same join at every size; labels are the side that is held, so texts need no sort.
+    rows = narrow(docs.where(folds(id_col) != 0), id_col, text_col).join(known.hint("shuffle_hash"), id_col)
+    taught = narrow(rows.where(folds(id_col) != 4), text_col, "toxic")
+    entries = telling(stage(gather(count_bigrams(taught, parts(spark))), "bigrams"))
+    if entries is None:
+        return None
+    shared = spark.sparkContext.broadcast(Model(*collected(entries))) if entries.count() <= SHARED else None
+    fitted = with_evidence(narrow(rows.where(folds(id_col) == 4), text_col, "toxic"), text_col, entries, shared)
+    step = F.least(F.greatest(F.floor((F.col(_X) + REACH) * (GRID / (2 * REACH))), F.lit(0)), F.lit(GRID - 1))
+    grid = fitted.select(step.alias("step"), F.col(_LENGTH).alias("size"), "toxic").groupBy("step", "size", "toxic").agg(F.count("*").alias("n"))
+    return entries, shared, calibrate(grid.collect())  # at most GRID * SIZES * 2 rows
 
 
 def score(docs: DataFrame, fitted, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns and ``score_col``, from 0 to 1."""
-    shared, curve = fitted
-    place = docs.columns.index(text_col)
     if score_col in docs.columns:
         raise ValueError(f"the table has a column {score_col}; name another one")
-
-    def run(batches):
-        for batch in batches:
-            out = [scored(data, offsets, shared.value, curve) for _, _, data, offsets in slices(batch.column(place))]
-            values = pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, score_col])
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(score_col, DoubleType())]))
+    if fitted is None:
+        return docs.withColumn(score_col, F.lit(0.0))
+    entries, shared, curve = fitted
+    slope, constant, by_length = (float(v) for v in curve)
+    x = F.least(F.greatest(F.col(_X), F.lit(-REACH)), F.lit(REACH))
+    value = slope * x + constant + by_length * F.col(_LENGTH) / SIZES
+    value = F.least(F.greatest(value, F.lit(-30.0)), F.lit(30.0))
+    return with_evidence(docs, text_col, entries, shared).withColumn(score_col, 1 / (1 + F.exp(-value))).drop(_X, _LENGTH)
 
 
 @query("op5_toxicity")
