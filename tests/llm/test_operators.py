@@ -179,6 +179,16 @@ def test_jaccard_components(spark, whole, empty, group, monkeypatch):
     assert kept.columns == whole.columns and jaccard.near_groups(empty).count() == 0
 
 
+def test_drop_near_goes_by_rows(spark):
+    """Rows of one id in different components stay apart; near copies without an id leave one."""
+    other, third = " ".join(f"other{i}" for i in range(30)), " ".join(f"third{i}" for i in range(30))
+    rows = [(1, BASE), (1, other), (0, BASE + " today"), (None, third), (None, third + " x"), (None, third), (7, LONG), (7, LONG), (7, ""), (7, "")]
+    got = jaccard.drop_near(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    kept = sorted((str(r.doc_id), r.text) for r in got if r.doc_id is not None)
+    assert kept == sorted([("1", other), ("0", BASE + " today"), ("7", LONG), ("7", ""), ("7", "")])
+    assert len([r for r in got if r.doc_id is None]) == 1
+
+
 def test_components_of_a_long_path(spark):
     edges = [(i, i + 1) for i in range(100) if i != 50] + [(7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}

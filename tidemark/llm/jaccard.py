@@ -46,6 +46,7 @@ GROUP = 4_000_000  # postings that one task searches at once
 CHUNK = 1_500_000  # shingles a task gathers before it sends them on
 MU = 0.0085  # cost of merging against probing, in DivideSkip's choice of long lists
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_DIGEST = "__digest"
 
 
 def required(size: int, threshold: int = THRESHOLD) -> int:
@@ -92,7 +93,7 @@ def signatures(keys: np.ndarray, ranges_: np.ndarray) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, sig."""
+    """id, n_shingles, sig, digest (of the text)."""
 
     def run(batches):
         for batch in batches:
@@ -102,12 +103,13 @@ def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 sizes.append(np.diff(places))
                 sigs.append(signatures(keys, places))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sigs), pa.int64())],
-                ["id", "n_shingles", "sig"],
+                [batch.column(0), pa.array(np.concatenate(sizes), pa.int64()), pa.array(np.concatenate(sigs), pa.int64()), batch.column(2)],
+                ["id", "n_shingles", "sig", "digest"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return narrow(docs, id_col, text_col).mapInArrow(run, f"id {kind}, n_shingles bigint, sig bigint")
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("digest"))
+    return texts.mapInArrow(run, f"id {kind}, n_shingles bigint, sig bigint, digest bigint")
 
 
 def _rows(parts_) -> pa.RecordBatch:
@@ -308,8 +310,8 @@ def links(sets: DataFrame, edges: DataFrame, count: int, group: int = GROUP) ->
     return rows.select("*", lone).groupBy("task", "apart", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: id, n_shingles, component (the least id reachable by links)."""
+def classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The set table, and (sig, low, root): each set, its least id, and the set that stands for its component."""
     count = parts(docs.sparkSession)
     own = stage(set_table(docs, id_col, text_col), "sets")
     lists = shared_lists(postings(docs, text_col, count), count)
@@ -317,7 +319,12 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = stage(links(near, stage(star_edges(near), "stars"), count), "links")
     roots = components(found)
     least = own.where("n_shingles > 0").groupBy("sig").agg(F.min("id").alias("low"))
-    joined = stage(least.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "classes")
+    return own, stage(least.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig")), "classes")
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row: id, n_shingles, component (the least id reachable by links)."""
+    own, joined = classed(docs, id_col, text_col)
     lowest = joined.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("sets"))
     linked = joined.join(lowest.where("sets > 1").drop("sets"), "root", "left")
     classes = linked.select("sig", F.coalesce("component", "low").alias("component"))
@@ -325,15 +332,28 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the least id (of rows that repeat it, one)."""
-    groups = near_groups(docs, id_col, text_col)
-    gone = groups.where(F.col("id") != F.col("component")).select(F.col("id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    again = groups.where("n_shingles > 0").groupBy("id").count().where("count > 1").select(F.col("id").alias(id_col))
+    """The rows of ``docs`` that stay: of each component the row with the least id, null last (of rows that repeat it, one).
+
+    A row is known by its id and a digest of its text, so rows of one id in different components do not meet.
+    """
+    own, joined = classed(docs, id_col, text_col)
+    rows = own.where("n_shingles > 0").join(joined.select("sig", "root"), "sig").groupBy("root", "id", "digest").agg(F.count("*").alias("n"))
+    rows = stage(rows, "rows")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best"), F.count("*").alias("rows"))
+    best = best.where("rows > 1").select("root", F.col("best")["id"].alias("best_id"), F.col("best")["digest"].alias("best_digest"))
+    gone = rows.join(best, "root").where(~(F.col("id").eqNullSafe(F.col("best_id")) & (F.col("digest") == F.col("best_digest"))))
+    again = rows.where("n > 1").select("id", "digest")
+    marked = docs.withColumn(_DIGEST, F.xxhash64(docs[text_col]))
+
+    def same(other: DataFrame):
+        return marked[id_col].eqNullSafe(other["id"]) & (marked[_DIGEST] == other["digest"])
+
+    gone = gone.select("id", "digest")
+    marked = marked.join(gone, same(gone), "left_anti")
     if again.isEmpty():
-        return kept.select(*docs.columns)
-    twice = kept.join(again, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(again, id_col, "left_anti").unionByName(twice).select(*docs.columns)
+        return marked.select(*docs.columns)
+    twice = marked.join(again, same(again), "left_semi").dropDuplicates([id_col, _DIGEST])
+    return marked.join(again, same(again), "left_anti").unionByName(twice).select(*docs.columns)
 
 
 @query("op7_jaccard_join")
