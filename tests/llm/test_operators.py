@@ -402,6 +402,16 @@ def test_main_text(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["svg", "select", "button", "object", "canvas", "datalist", "noscript", "template"])
+def test_unclosed_concealed_elements_end_with_their_block(name):
+    story = "<article><h1>Some title of it</h1><p>" + "word " * 40 + "</p></article>"
+    want = html_text.main_text(f"<body><header></header>{story}</body>")
+    assert want.endswith("word")
+    for inner in (f"<{name}>Menu", f"<{name}><div>Menu</div>", f"<{name}>Menu<script>'</header>'</script>more</{name}>", f"<{name}>Menu<p>x</{name}>"):
+        assert html_text.main_text(f"<body><header>{inner}</header>{story}</body>") == want
+    assert html_text.main_text(f"<body><header><{name}>Menu</header>{story}<{name}>x</{name}></body>") == want
+
+
 def test_search_against_all_scores(spark, whole, empty, monkeypatch):
     texts = [(i, t) for i, t in TEXTS if i is not None] + chain(40)
     counts = {i: collections.Counter(w.translate(LOWER) for w in re.findall("[0-9A-Za-z\x80-\U0010ffff]+", text_of(t))) for i, t in texts}

@@ -12,7 +12,8 @@ once a process by a fixed rule; nothing in it depends on the pages at hand.
 
 Cases: null and empty pages and pages without main text give the empty text;
 markup may be unclosed or wrongly nested; scripts, styles, comments and
-form controls never count as text; an unclosed comment or script runs to the end;
+form controls never count as text; an unclosed comment or script runs to the end,
+an unclosed button or drawing to the end of the block around it;
 a quote that never closes does not hide the tag's end; rows that repeat are extracted
 each; an empty table gives an empty table; other columns are passed through.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -39,7 +41,8 @@ _TAG = re.compile(
 _NAMED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 # Element and class names of HTML pages.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "select", "button", "object", "canvas", "datalist"}
+RAW = {"script", "style", "textarea", "title", "iframe"}  # text up to their own end tag, or to the end of the page
+CONCEALED = {"noscript", "template", "svg", "select", "button", "object", "canvas", "datalist"}
 BLOCKS = set(
     "p div article section main h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre"
     " nav header footer aside form fieldset legend label figure figcaption address details summary body html head hr menu dialog center".split()
@@ -80,11 +83,47 @@ def tells(attributes: str) -> bool:
     return False
 
 
+def raw_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def concealed_end(page: str, name: str, at: int, outside: Counter) -> int:
+    """Where a concealed element ends: behind its own end tag, or before that of a block that was open around it."""
+    depth, inside = 1, Counter()
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        if tag[2] is None:
+            continue
+        found, closing = tag[2].lower(), bool(tag[1])
+        if found == name:
+            if closing:
+                depth -= 1
+            elif name == "button":
+                return tag.start()  # a button in a button ends the first
+            elif not tag[0].endswith("/>"):
+                depth += 1
+            if not depth:
+                return at
+        elif found in RAW and not closing:
+            if not tag[0].endswith("/>"):
+                at = raw_end(page, found, at)
+        elif found in BLOCKS:
+            if not closing:
+                inside[found] += 1
+            elif inside[found]:
+                inside[found] -= 1
+            elif outside[found]:
+                return tag.start()
+    return len(page)
+
+
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """(text, own features) of the blocks that hold text."""
     open_: list[tuple[str, bool]] = []
     heading = item = ""
     linked, at, n = 0, 0, len(page)
+    around: Counter = Counter()  # blocks open at this place
     out: list[Block] = []
     current: Block | None = None
 
@@ -119,9 +158,14 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         name, closing = tag[2].lower(), bool(tag[1])
         if name in RAW and not closing:
             if not tag[0].endswith("/>"):
-                end = re.compile(rf"</{name}\b[^>]*>?", re.I).search(page, at)
-                at = end.end() if end else n
+                at = raw_end(page, name, at)
+            continue
+        if name in CONCEALED:
+            if not closing and not tag[0].endswith("/>"):
+                at = concealed_end(page, name, at, around)
             continue
+        if name in BLOCKS:
+            around[name] = max(0, around[name] + (-1 if closing else 1))
         if name == "a":
             linked = 0 if closing else 1
         elif name == "br":
