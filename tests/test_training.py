@@ -1,14 +1,19 @@
 """Rebalancing, training, scoring, monitoring and streams on small data."""
 
+import itertools
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from tidemark.operators import attribution
 from tidemark.operators import stats as D
 from tidemark.operators.resample import duplicate_minority, resample, rose, rose_size
+from tidemark.plans import huber
 from tidemark.plans import training as T
 from tidemark.session import stage_path
 from tidemark.streaming import monitor, scoring
@@ -136,8 +141,8 @@ def test_stats_and_anomalies(spark, rows):
 def test_attribution_skew(spark, rows):
     model, _ = T.train("logistic_regression", rows, FEATURES)
     shifted = rows.withColumn("x1", F.col("x1") + 10)
-    same = D.attribution_skew(model, rows, rows, {"x1": 0.01}).first()
-    moved = D.attribution_skew(model, rows, shifted, {"x1": 0.01}).first()
+    same = attribution.attribution_skew(model, rows, rows, {"x1": 0.01}).first()
+    moved = attribution.attribution_skew(model, rows, shifted, {"x1": 0.01}).first()
     assert same["distance"] == pytest.approx(0.0) and not same["alert"] and moved["alert"]
 
 
@@ -177,3 +182,74 @@ def test_log_sample_is_stable(spark, rows):
     assert scoring.sampled(rows, "transaction_id", 0).count() == 0
     with pytest.raises(ValueError):
         scoring.sampled(rows, "transaction_id", 2)
+
+
+@pytest.mark.parametrize("alpha,noise,shift", [(1e-4, 2.0, -2.0), (1e-2, 0.0, 1.0)])
+def test_modified_huber_solution_has_no_slope(spark, alpha, noise, shift):
+    """Constant and repeated columns, outliers and separable classes; compared with the loss near the solution."""
+    draw = np.random.default_rng(7)
+    x = draw.normal(size=(400, 4))
+    x = np.hstack([x, np.zeros((400, 1)), x[:, :1]])
+    label = ((x[:, 0] - 2 * x[:, 1] + noise * draw.normal(size=400) + shift) > 0).astype(int)
+    rows = spark.createDataFrame([(Vectors.dense(a), int(b)) for a, b in zip(x, label)], ["features", "label"])
+    found = huber.fit_modified_huber(rows, "label", alpha)
+    w, b, y = found.model.coefficients.toArray(), found.model.intercept, 2 * label - 1
+
+    def loss(w, b):
+        m = y * (x @ w + b)
+        return np.where(m < -1, -4 * m, np.maximum(0, 1 - m) ** 2).mean() + alpha / 2 * w @ w
+
+    assert abs(found.loss - loss(w, b)) < 1e-9
+    table = huber.prepared(rows, "label")
+    assert abs(huber.objective(table, w, b, alpha) - loss(w, b)) < 1e-9
+    assert np.abs(huber.gradient(table, w, b, alpha)).max() < 1e-4
+    for _ in range(200):
+        assert loss(w + draw.normal(size=6) * 0.01, b + draw.normal() * 0.01) >= loss(w, b) - 1e-9
+
+
+def test_shapley_values_of_trees_equal_the_definition(spark, rows):
+    """All subsets of the features, a tree's unknown conditions weighed by its training rows."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(300, 4))
+    label = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5) | (x[:, 2] > 1)).astype(int)
+    table = spark.createDataFrame([(i, *map(float, a), int(b)) for i, (a, b) in enumerate(zip(x, label))], "id long, a double, b double, c double, d double, is_fraud int")
+    for name in ("xgboost", "random_forest"):
+        model, _ = T.train(name, table, list("abcd"), row_id="id", recipe=T.Recipe(scaling="none", params={name: {"n_estimators": 4, "max_depth": 4}}))
+        trees = attribution.trees_of(model.stages[-1], spark)
+
+        def value(known, row):
+            total = 0.0
+            for tree in trees:
+                for leaf, path in tree.paths:
+                    for f, (low, high, share) in path.items():
+                        leaf *= float(low < row[f] <= high) if f in known else share
+                    total += leaf
+            return total
+
+        explained = attribution.explain(model, table.where("id < 8"), ["id"]).collect()
+        assert len(explained) == 8
+        for r in explained:
+            row = x[r.id]
+            assert abs(r.base - value(set(), row)) < 1e-9 and abs(r.margin - value(set(range(4)), row)) < 1e-9
+            for f in range(4):
+                others, want = [g for g in range(4) if g != f], 0.0
+                for size in range(4):
+                    for known in itertools.combinations(others, size):
+                        weight = math.factorial(size) * math.factorial(3 - size) / math.factorial(4)
+                        want += weight * (value({*known, f}, row) - value(set(known), row))
+                assert abs(r.contributions[f] - want) < 1e-9
+
+
+def test_trees_that_are_too_deep_or_split_on_categories_are_refused():
+    def node(left, right, rows, categories=-1, feature=0):
+        return {"leftChild": left, "rightChild": right, "rawCount": rows, "prediction": 1.0, "split": {"featureIndex": feature, "leftCategoriesOrThreshold": [0.0], "numCategories": categories}}
+
+    with pytest.raises(ValueError, match="categories"):
+        attribution.Leaves({0: node(1, 2, 4, 3), 1: node(-1, -1, 2), 2: node(-1, -1, 2)}, lambda n: n["prediction"], 1.0)
+    deep = {0: node(1, 2, 100)}
+    for i in range(11):
+        deep[2 * i] = node(2 * i + 2, 2 * i + 1, 50, feature=i)
+        deep[2 * i + 1] = node(-1, -1, 10)
+    deep[22] = node(-1, -1, 10)
+    with pytest.raises(ValueError, match="more than"):
+        attribution.Leaves(deep, lambda n: n["prediction"], 1.0)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators.resample import duplicate_minority, rose
 from ..plans import features as P
+from ..plans import huber
 from ..plans import training as M
 from ..plans.split import temporal_split
 from ..schema import EPOCH, FEATURES, ROW_ID, TARGET
@@ -130,6 +132,31 @@ def train_boosting_balanced(spark, sf):
     return _trained(spark, sf, "lightgbm")
 
 
+@query(
+    "modified_huber_model",
+    f"""{split_sql()} SELECT count(*) AS "rows", CAST(sum(is_fraud) AS BIGINT) AS positives, TRUE AS gradient_vanishes, TRUE AS below_hinge_model, TRUE AS stored_scores_as_live
+FROM parts WHERE split = 'training'""",
+)
+def modified_huber_model(spark, sf):
+    """The fitted model is where its objective has no slope, no worse there than a hinge-loss model, and scores alike once stored."""
+    train, _, test = feature_splits(spark, sf)
+    alpha = M.DEFAULT_PARAMS["sgd_classifier"]["alpha"]
+    model, seen = M.train("sgd_classifier", train, FEATURES)
+    fitted = model.stages[-2]
+    vectors = PipelineModel(model.stages[:-2]).transform(seen)
+    rows = huber.prepared(vectors, TARGET)
+    slope = huber.gradient(rows, fitted.coefficients.toArray(), fitted.intercept, alpha)
+    hinge = LinearSVC(featuresCol="features", labelCol=TARGET, maxIter=100, regParam=alpha, standardization=False).fit(vectors.select("features", TARGET))
+    losses = [huber.objective(rows, m.coefficients.toArray(), m.intercept, alpha) for m in (fitted, hinge)]
+    path = stage_path(spark, "model")
+    model.write().save(path)
+    a, b = (M.score(m, test, [ROW_ID]).select(ROW_ID, F.col("fraud_probability").alias(n)) for m, n in ((model, "a"), (PipelineModel.load(path), "b")))
+    same = a.join(b, ROW_ID).agg(F.coalesce(F.bool_and(F.col("a") == F.col("b")), F.lit(False)).alias("stored_scores_as_live"))
+    sizes = seen.agg(F.count(F.lit(1)).alias("rows"), F.sum(TARGET).cast("bigint").alias("positives"))
+    flags = {"gradient_vanishes": bool(abs(slope).max() < 1e-4), "below_hinge_model": losses[0] <= losses[1]}
+    return sizes.withColumns({k: F.lit(v) for k, v in flags.items()}).join(same)
+
+
 @query("candidate_selection")
 def candidate_selection(spark, sf):
     train, valid, test = feature_splits(spark, sf)

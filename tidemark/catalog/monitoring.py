@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import attribution as A
 from ..operators import stats as D
+from ..plans import features as P
 from ..plans import training as M
 from ..plans.split import assign_split
-from ..schema import EPOCH, FEATURES, ROW_ID, TARGET
+from ..schema import EPOCH, FEATURES, MONITORED, ROW_ID, TARGET
 from ..session import stage, stage_path
 from ..sources.adapters import table
 from ..streaming import monitor, scoring
 from .base import merged_sql, query, rnd, rounded, sql_rnd
-from .history import merged
+from .history import inputs, merged
 from .modelling import feature_splits, split_sql
 
 NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -202,9 +204,87 @@ def stream_scoring(spark, sf):
     return log.join(batch, F.col(ROW_ID) == F.col("_id"), "left").select(ROW_ID, F.coalesce(same, F.lit(False)).alias("scored_as_batch"))
 
 
-@query("attribution_skew")
+SMALL = {"n_estimators": 20}  # trees of the explained models; the values are exact at any number
+
+
+def explained_model(train, name):
+    recipe = M.Recipe(scaling="none" if name in ("random_forest", "xgboost", "lightgbm") else "standard", params={name: SMALL})
+    return M.train(name, train, FEATURES, recipe=recipe)[0]
+
+
+@query(
+    "attribution_exact",
+    f"""{split_sql()} SELECT model, count(*) AS "rows", TRUE AS adds_up FROM parts
+CROSS JOIN (VALUES ('logistic_regression'), ('sgd_classifier'), ('random_forest'), ('xgboost'), ('lightgbm')) AS m(model) WHERE split = 'testing' GROUP BY model""",
+)
+def attribution_exact(spark, sf):
+    """Base and Shapley values of all five models add up to the margin on every row."""
+    train, _, test = feature_splits(spark, sf)
+    found = None
+    for name in M.MODELS:
+        rows = A.explain(explained_model(train, name), test, [ROW_ID])
+        total = F.aggregate("contributions", F.col("base"), lambda a, b: a + b)
+        part = rows.agg(
+            F.lit(name).alias("model"), F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.abs(total - F.col("margin"))) < 1e-9, F.lit(False)).alias("adds_up")
+        )
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+LIMITS = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({t} AS DOUBLE) AS threshold" for f, t in MONITORED.items())
+
+
+def _fits(out):
+    fits = F.col("distance").between(0, 1) & (F.col("alert") == (F.col("distance") > F.col("threshold")))
+    return F.coalesce(fits, F.lit(False)).alias("fits")
+
+
+@query("attribution_skew", f"SELECT feature, threshold, TRUE AS fits FROM ({LIMITS})")
 def attribution_skew(spark, sf):
+    """The monitored features' shares in serving against training, for boosted trees."""
     train, _, test = feature_splits(spark, sf)
-    model, _ = M.train("logistic_regression", train, FEATURES)
-    out = D.attribution_skew(model, train, test, {"amount": 0.01, "hour_sin": 0.01})
-    return rounded(out, ("feature", "alert"))
+    out = A.attribution_skew(explained_model(train, "xgboost"), train, test, MONITORED)
+    return out.select("feature", "threshold", _fits(out))
+
+
+@query(
+    "attribution_drift",
+    f"""{merged_sql('events')}, cut AS (SELECT quantile_disc(sec, 0.7) AS q FROM merged), w AS (SELECT DISTINCT sec // 21600 * 21600 AS h FROM merged, cut WHERE sec >= q),
+steps AS (SELECT h, lag(h) OVER (ORDER BY h) AS before FROM w) SELECT CAST(h AS BIGINT) AS window_epoch, feature, threshold, TRUE AS fits FROM steps CROSS JOIN ({LIMITS}) WHERE before IS NOT NULL""",
+)
+def attribution_drift(spark, sf):
+    """The monitored features' shares in consecutive six-hour windows of served rows."""
+    rows = assign_split(stage(P.build_features(*inputs(spark, sf, "events")), "features"))
+    train, served = rows.where("split = 'training'"), rows.where("split <> 'training'").withColumn("at", F.timestamp_seconds(EPOCH))
+    out = A.attribution_drift(explained_model(train, "lightgbm"), served, "at", MONITORED)
+    return out.select(F.unix_seconds("window_start").alias("window_epoch"), "feature", "threshold", _fits(out))
+
+
+LABEL_GRACE, LATE = 21600, 3607  # seconds: how long after the delay a label may come, and how late any record may be
+
+
+@query(
+    "stream_labelled_log",
+    f"""{merged_sql('events')}, served AS (SELECT transaction_id, sec, amount, is_fraud, transaction_id % 10 = 0 AS silent FROM merged), newest AS (SELECT max(sec) - {LATE} AS mark FROM served)
+SELECT transaction_id, {sql_rnd('amount')} AS amount, CAST(CASE WHEN NOT silent THEN is_fraud END AS INTEGER) AS label, TRUE AS scored_as_batch
+FROM served, newest WHERE NOT silent OR sec + 7 * 86400 + {LABEL_GRACE} < mark""",
+)
+def stream_labelled_log(spark, sf):
+    """Requests, scores and labels that settle seven days later in one log; every tenth label never comes."""
+    rows = assign_split(stage(P.build_features(*inputs(spark, sf, "events")), "features"))
+    model, _ = M.train("logistic_regression", rows.where("split = 'training'"), FEATURES)
+    requests, labels = stage_path(spark, "requests"), stage_path(spark, "labels")
+    timed = rows.withColumn("requested_at", F.timestamp_seconds(EPOCH)).drop("split", EPOCH)
+    timed.drop(TARGET).write.parquet(requests)
+    lag = F.make_dt_interval(F.lit(7), F.lit(0), F.lit(0), F.pmod(F.col(ROW_ID), F.lit(LABEL_GRACE)))
+    settled = timed.where(F.col(ROW_ID) % 10 != 0).select(ROW_ID, (F.col("requested_at") + lag).alias("settled_at"), F.col(TARGET).cast("int").alias("label"))
+    settled.write.parquet(labels)
+    requests_, labels_ = (spark.readStream.schema(df.schema).parquet(path) for df, path in ((timed.drop(TARGET), requests), (settled, labels)))
+    out = scoring.labelled_log(requests_, labels_, model, ROW_ID, "requested_at", "settled_at", 7, f"{LABEL_GRACE} seconds", f"{LATE} seconds")
+    path, mark = stage_path(spark, "log"), stage_path(spark, "progress")
+    scoring.append_log(out, path, mark).awaitTermination()
+    scoring.append_log(out, path, mark).awaitTermination()  # a restart adds nothing
+    log = spark.read.schema(out.schema).parquet(path)
+    batch = M.score(model, timed, [ROW_ID]).select(F.col(ROW_ID).alias("_id"), F.col("fraud_probability").alias("_p"))
+    same = F.coalesce(F.abs(F.col("fraud_probability") - F.col("_p")) < 1e-12, F.lit(False))
+    return log.join(batch, F.col(ROW_ID) == F.col("_id"), "left").select(ROW_ID, rnd(F.col("amount")).alias("amount"), "label", same.alias("scored_as_batch"))

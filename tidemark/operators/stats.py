@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -250,30 +249,3 @@ def drift(windowed: DataFrame, thresholds: Mapping[str, float], window: str = "w
     later = windowed.join(previous.where("_previous IS NOT NULL").select("feature", window), ["feature", window])
     measured = distances(earlier, later, [window, "feature"])
     return with_alerts(measured.select(window, "feature", F.col("js_divergence").alias("distance")), thresholds)
-
-
-def attributions(model, df: DataFrame) -> DataFrame:
-    """(feature, attribution): mean absolute contribution to a linear model's margin."""
-    assembler, linear = model.stages[0], model.stages[-1]
-    names = assembler.getInputCols()
-    typed = df.select(*[F.col(f"`{f}`").cast("double").alias(f) for f in names])
-    values = typed
-    for step in model.stages[:-1]:
-        values = step.transform(values)
-    values = values.select(vector_to_array("features").alias("x"))
-    weights = [float(w) for w in linear.coefficients]
-    agg = values.agg(*[F.avg(F.abs(F.col("x")[i] * F.lit(w))).alias(f"a{i}") for i, w in enumerate(weights)])
-    rows = [F.struct(F.lit(n).alias("feature"), F.col(f"a{i}").alias("attribution")) for i, n in enumerate(names)]
-    return agg.select(F.inline(F.array(*rows)))
-
-
-def attribution_skew(model, training: DataFrame, serving: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
-    """Change of each feature's share of all attribution, against its threshold."""
-
-    def shares(df: DataFrame, name: str) -> DataFrame:
-        found = attributions(model, df)
-        total = found.agg(F.sum("attribution")).scalar()
-        return found.select("feature", F.coalesce(F.try_divide(F.col("attribution"), total), F.lit(0.0)).alias(name))
-
-    both = shares(training, "p").join(shares(serving, "q"), "feature").where(F.col("feature").isin(*thresholds))
-    return with_alerts(both.select("feature", F.abs(F.col("p") - F.col("q")).alias("distance")), thresholds)

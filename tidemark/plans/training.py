@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,7 @@ from ..operators.resample import resample
 from ..schema import ROW_ID, TARGET
 from ..session import stage
 from ..sources.files import read_table, save_as
+from .huber import fit_modified_huber
 
 SCALINGS = ("standard", "min_max", "none")
 MODELS = ("logistic_regression", "sgd_classifier", "random_forest", "xgboost", "lightgbm")
@@ -62,11 +63,11 @@ def class_weight(name: str, label: str, positives: int, rows: int, params: Mappi
 def make_estimator(name: str, label: str = TARGET, params: Mapping | None = None, rows: int = 1, validation: str | None = None):
     """MLlib estimator for a model name.
 
-    ``sgd_classifier`` maps to a linear SVM (hinge loss; MLlib has no modified
-    Huber loss), both boosters to gradient-boosted trees.
+    Both boosters map to gradient-boosted trees.  ``sgd_classifier`` is no MLlib
+    estimator: ``train`` fits it with ``fit_modified_huber``.
     """
-    if name not in MODELS:
-        raise ValueError(f"model must be one of {MODELS}, not {name!r}")
+    if name not in MODELS or name == "sgd_classifier":
+        raise ValueError(f"model must be an MLlib one of {MODELS}, not {name!r}")
     p = {**DEFAULT_PARAMS[name], **(params or {})}
     common = {"featuresCol": "features", "labelCol": label}
     if name == "logistic_regression":
@@ -74,8 +75,6 @@ def make_estimator(name: str, label: str = TARGET, params: Mapping | None = None
         return LogisticRegression(
             maxIter=p["max_iter"], tol=p["tol"], regParam=1.0 / (p["C"] * max(rows, 1)), standardization=False, **common
         )
-    if name == "sgd_classifier":
-        return LinearSVC(maxIter=p["max_iter"], tol=p["tol"], regParam=p["alpha"], standardization=False, **common)
     if name == "random_forest":
         return RandomForestClassifier(
             numTrees=p["n_estimators"], maxDepth=p["max_depth"], subsamplingRate=p["max_samples"], bootstrap=True,
@@ -112,6 +111,8 @@ def train(
     The scaler is fitted on the original training rows, the classifier on the
     rebalanced ones; boosters stop by the validation rows when there are any.
     """
+    if name not in MODELS:
+        raise ValueError(f"model must be one of {MODELS}, not {name!r}")
     scaler = make_scaler(recipe.scaling)
     doubles = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
 
@@ -138,6 +139,9 @@ def train(
     if steer:
         rows = rows.unionByName(columns(valid).withColumn("_valid", F.lit(True)))
     rows = prepared.transform(rows).withColumn("weight", class_weight(name, label, counts["p"] or 0, counts["n"], params))
+    if name == "sgd_classifier":
+        found = fit_modified_huber(rows, label, params["alpha"], params["max_iter"], params["tol"])
+        return PipelineModel([*stages, *found.stages]), seen
     estimator = make_estimator(name, label, params, counts["n"], "_valid" if steer else None)
     fitted = estimator.fit(rows.select("features", label, "weight", "_valid"))
     return PipelineModel([*stages, fitted]), seen
@@ -146,9 +150,7 @@ def train(
 def _positive_probability(df: DataFrame) -> Column:
     if "probability" in df.columns:
         return vector_to_array(F.col("probability"))[1]
-    # A margin model: the probability rule of the modified Huber loss.
-    margin = vector_to_array(F.col("rawPrediction"))[1]
-    return (F.greatest(F.lit(-1.0), F.least(F.lit(1.0), margin)) + 1.0) / 2.0
+    return F.col("positive_probability")  # of the modified Huber model
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:

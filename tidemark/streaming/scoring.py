@@ -27,6 +27,27 @@ def sampled(df: DataFrame, row_id: str, rate: float = 1.0) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(row_id), F.lit(MILLION)) < int(rate * MILLION))
 
 
+def labelled_log(
+    requests: DataFrame, labels: DataFrame, model: PipelineModel, row_id: str, requested: str, settled: str,
+    delay_days: int = 7, grace: str = "1 day", late: str = "1 hour",
+) -> DataFrame:
+    """Every request with its score and the label that settles ``delay_days`` later, streaming or batch.
+
+    A label counts when it comes between the delay and ``grace`` after it.  In a
+    stream a request with a label is sent as soon as both are there; one without is sent with
+    NULL once its interval has passed, records up to ``late`` out of order included.
+    The state holds requests and labels of open intervals only.
+    """
+    scored = score(model, requests)
+    names = [c for c in labels.columns if c != row_id]
+    if requests.isStreaming:
+        scored, labels = scored.withWatermark(requested, late), labels.withWatermark(settled, late)
+    right = labels.select(F.col(row_id).alias("_label_id"), *names)
+    due = F.col(requested) + F.expr(f"INTERVAL {int(delay_days)} DAYS")
+    match = (F.col(row_id) == F.col("_label_id")) & (F.col(settled) >= due) & (F.col(settled) <= due + F.expr(f"INTERVAL {grace}"))
+    return scored.join(right, match, "left_outer").drop("_label_id")
+
+
 def append_log(stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
     """Start appending to a Parquet log, exactly once through the checkpoint."""
     return (
