@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.resample import duplicate_minority, rose
@@ -157,19 +158,52 @@ def modified_huber_model(spark, sf):
     return sizes.withColumns({k: F.lit(v) for k, v in flags.items()}).join(same)
 
 
-@query("candidate_selection")
-def candidate_selection(spark, sf):
+FEWER = {name: {"n_estimators": 10} for name in ("random_forest", "xgboost", "lightgbm")}  # trees of the compared candidates
+CANDIDATES = ", ".join(f"('{name}')" for name in M.MODELS)
+
+
+def _candidates(spark, sf):
     train, valid, test = feature_splits(spark, sf)
-    names = ["logistic_regression", "sgd_classifier"]
-    _, scored = M.train_candidates(names, train, valid, test, FEATURES)
-    return M.best_candidate(scored, names=names)
+    return M.train_side_by_side([*M.MODELS, "no_such_model"], train, valid, test, FEATURES, recipe=M.Recipe(params=FEWER))
 
 
-@query("candidate_curves")
+@query(
+    "candidate_selection",
+    f"SELECT model, CAST(4 AS BIGINT) AS splits, TRUE AS metrics_hold, TRUE AS winner_is_best, 'no_such_model' AS failed FROM (VALUES {CANDIDATES}) AS m(model)",
+)
+def candidate_selection(spark, sf):
+    """All five candidates at once beside one that fails; none beats the chosen one on the test rows."""
+    models, scored, failed = _candidates(spark, sf)
+    metrics = stage(M.candidate_metrics(scored), "metrics")
+    test = metrics.where("split = 'testing'")
+    best = M.select_best(test, "average_precision", names=list(models)).select(F.col("average_precision").alias("best"))
+    hold = F.bool_and(F.coalesce(F.col("average_precision").between(0, 1) & F.col("roc_auc").between(0, 1), F.lit(False)))
+    sizes = metrics.groupBy("model").agg(F.count(F.lit(1)).alias("splits"), hold.alias("metrics_hold"))
+    top = F.coalesce(F.col("best") >= F.col("average_precision"), F.lit(False)).alias("winner_is_best")
+    flags = test.join(best).select("model", top)  # one row on the right
+    return sizes.join(flags, "model").withColumn("failed", F.lit(",".join(sorted(failed))))
+
+
+@query(
+    "candidate_curves",
+    f"""SELECT model, split, TRUE AS starts_full, TRUE AS ends_empty, TRUE AS falls, TRUE AS area_is_average_precision
+FROM (VALUES {CANDIDATES}) AS m(model) CROSS JOIN (VALUES ('validation'), ('testing')) AS s(split)""",
+)
 def candidate_curves(spark, sf):
-    train, valid, test = feature_splits(spark, sf)
-    _, scored = M.train_candidates(["logistic_regression"], train, valid, test, FEATURES)
-    return M.candidate_curves(scored)
+    """Curves of all five candidates: from recall 1 to the end point, recall never rises, and the step sum is the average precision."""
+    _, scored, _ = _candidates(spark, sf)
+    points = stage(M.candidate_curves(scored), "curves")
+    metrics = M.candidate_metrics(scored).select("model", "split", "average_precision")
+    by = Window.partitionBy("model", "split").orderBy(F.col("threshold").asc_nulls_last())
+    after = F.lead("recall").over(by)
+    steps = points.withColumns({"fall": F.col("recall") - after, "area": (F.col("recall") - after) * F.col("precision")})
+    sums = steps.groupBy("model", "split").agg(
+        (F.max("recall") == 1).alias("starts_full"),
+        F.bool_or(F.col("threshold").isNull() & (F.col("recall") == 0) & (F.col("precision") == 1)).alias("ends_empty"),
+        F.coalesce(F.bool_and(F.col("fall") >= 0), F.lit(False)).alias("falls"), F.sum("area").alias("area"),
+    )
+    same = F.coalesce(F.abs(F.col("area") - F.col("average_precision")) < 1e-9, F.lit(False)).alias("area_is_average_precision")
+    return sums.join(metrics, ["model", "split"]).select("model", "split", "starts_full", "ends_empty", "falls", same)
 
 
 @query("train_on_features", report_sql("logistic_regression", "orders"))

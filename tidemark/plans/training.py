@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import MinMaxScaler, StandardScaler, VectorAssembler
@@ -192,16 +195,52 @@ def train_candidates(
 
     Each model is also scored on the rows it was fitted on (``training_resampled``).
     """
-    models, scored = {}, None
-    for name in names:
+    models, scored, failed = train_side_by_side(names, training, valid, test, features, label, row_id, recipe, folder, 1)
+    for error in failed.values():
+        raise error
+    return models, scored
+
+
+def train_side_by_side(
+    names: Sequence[str],
+    training: DataFrame,
+    valid: DataFrame,
+    test: DataFrame,
+    features: Sequence[str],
+    label: str = TARGET,
+    row_id: str = ROW_ID,
+    recipe: Recipe = Recipe(),
+    folder: str | None = None,
+    together: int = 3,
+) -> tuple[dict[str, PipelineModel], DataFrame | None, dict[str, Exception]]:
+    """Fit ``together`` candidates at a time, each in a scheduler pool of its own.
+
+    A model that fails is reported in the last result and does not stop the
+    others; their models and scored splits (None if no model is left) are kept.
+    With ``spark.scheduler.mode`` FAIR the pools share the cluster evenly.
+    """
+    spark = training.sparkSession
+
+    def one(name: str) -> tuple[PipelineModel, DataFrame]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
         model, seen = train(name, training, features, valid, label, row_id, recipe)
-        models[name] = model
         splits = {"training_resampled": seen, "training": training, "validation": valid, "testing": test}
-        part = score_splits({name: model}, splits, label, row_id)
-        scored = part if scored is None else scored.unionByName(part)
+        part = stage(score_splits({name: model}, splits, label, row_id), "scored")
         if folder:
             model.write().overwrite().save(f"{folder.rstrip('/')}/{name}")
-    return models, stage(scored, "scored")
+        return model, part
+
+    models, parts, failed = {}, [], {}
+    with ThreadPoolExecutor(max(1, together)) as pool:
+        # Each thread inherits this one's properties (job group, session settings).
+        running = {name: pool.submit(inheritable_thread_target(spark)(one), name) for name in dict.fromkeys(names)}
+        for name, future in running.items():
+            try:
+                models[name], part = future.result()
+                parts.append(part)
+            except Exception as error:  # noqa: BLE001 - reported to the caller
+                failed[name] = error
+    return models, reduce(DataFrame.unionByName, parts) if parts else None, failed
 
 
 def candidate_metrics(scored: DataFrame, label: str = TARGET, row_id: str = ROW_ID) -> DataFrame:
