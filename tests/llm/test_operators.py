@@ -326,6 +326,36 @@ def test_toxicity(spark, docs, empty):
     assert {r.score for r in toxicity.score(docs, unlearned).collect()} == {0.0}
 
 
+def test_most_texts_have_evidence(spark, sf):
+    table = spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/documents.parquet").where("length(text) > 0")
+    labels = spark.read.parquet(sf.replace("sf0.001", "sf0.01") + "/labels.parquet")
+    entries, shared, _ = toxicity.fit(table, labels)
+    found = toxicity.with_evidence(table.select("doc_id", "text"), "text", entries, shared)
+    assert found.where(f"{toxicity._X} <> 0").count() > table.count() // 2
+
+
+def test_many_weak_bigrams_reveal_a_toxic_text(spark):
+    """Toxic texts hold common words in unusual pairs; no pair is frequent, none is decisive, and words alone say nothing."""
+    draw = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    odd = {(draw.randrange(40), draw.randrange(40)) for _ in range(500)}
+
+    def text(toxic):
+        out = [draw.randrange(40)]
+        while len(out) < 60:
+            k = draw.randrange(40)
+            if ((out[-1], k) in odd) == toxic or draw.random() < 0.4:
+                out.append(k)
+        return " ".join(words[k] for k in out)
+
+    rows = [(i, text(i % 2 == 0), int(i % 2 == 0)) for i in range(1200)]
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    fitted = toxicity.fit(table, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    held = [r for r in toxicity.score(table, fitted).withColumn("held", toxicity.folds() == 0).collect() if r.held]
+    assert sum((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in held) >= 0.9 * len(held)
+    assert max(abs(v) for v in fitted[1].value.values) < 1.5
+
+
 def test_toxicity_uses_every_bigram(spark, monkeypatch):
     """Scores equal those of models that keep all counted bigrams, with the table broadcast and joined."""
     draw = random.Random(5)
@@ -352,20 +382,17 @@ def test_toxicity_uses_every_bigram(spark, monkeypatch):
     own = [sum(k for (_, c), k in word.items() if c == y) for y in (0, 1)]
     total, spread, kinds = sum(own), sum(before.values()), len(before)
 
-    def tells(t, b, share):
+    def ratio(t, b, share, shared):
         e = b * share
-        return abs(t - e) > 4 * math.sqrt(e + 1) and (t > 2 * e or 2 * t < e)
-
-    def tilt(w, c):
-        b = word[w, 0] + word[w, 1]
-        return (max(word[w, c] - 0.75, 0) / b * total + total) / (own[c] + total) if b and tells(word[w, 1], b, own[1] / total) else 1.0
+        z = (t - e) ** 2 / (e + 1)
+        d = (t - e) * (z / (z + toxicity.DOUBT)) ** 2
+        value = math.log((e + d + shared) / (e + shared)) - math.log((b - e - d + shared) / (b - e + shared))
+        return math.copysign(max(abs(value) - toxicity.LEAST, 0), value)
 
-    def log(v, w, c):
-        m, b = front[v, 0] + front[v, 1], n[v, w, 0] + n[v, w, 1]
-        if not b or not tells(n[v, w, 1], b, front[v, 1] / m):
-            return math.log(tilt(w, c))
-        backed = (b - 0.75 + 0.75 * after[v] * (before[w] + 1) / (spread + kinds)) / m
-        return math.log((max(n[v, w, c] - 0.75, 0) + m * backed * tilt(w, c)) / ((front[v, c] + m) * backed))
+    def log(v, w):
+        m, b, k = front[v, 0] + front[v, 1], n[v, w, 0] + n[v, w, 1], word[w, 0] + word[w, 1]
+        alone = ratio(word[w, 1], k, own[1] / total, k) if k else 0.0
+        return alone + (ratio(n[v, w, 1], b, front[v, 1] / m, b - 0.75 + 0.75 * after[v] * (before[w] + 1) / (spread + kinds)) if b else 0.0)
 
     table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
@@ -378,8 +405,8 @@ def test_toxicity_uses_every_bigram(spark, monkeypatch):
         a, b, c = fitted[-1]
         for r in got:
             own_pairs = pairs(r.text)
-            x = sum(log(v, w, 1) - log(v, w, 0) for v, w in own_pairs) / len(own_pairs)
-            value = a * max(-1, min(1, x)) + b + c * min(int(math.log2(len(own_pairs) + 1)), 15) / 16
+            x = sum(log(v, w) for v, w in own_pairs) / math.sqrt(len(own_pairs))
+            value = a * max(-toxicity.REACH, min(toxicity.REACH, x)) + b + c * min(int(math.log2(len(own_pairs) + 1)), 15) / 16
             assert abs(r.score - 1 / (1 + math.exp(-max(-30, min(30, value))))) < 1e-6
 
 

@@ -1,27 +1,28 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two interpolated Kneser-Ney bigram models, of toxic and of ordinary labelled
-texts, give each text two log-likelihoods; their difference a distinct bigram is the
-evidence, and a logistic curve fitted on labelled rows of their own turns it
+texts, give each text two log-likelihoods; their difference over its distinct bigrams, divided by the
+root of their number (as chance adds up), is the evidence, and a logistic curve fitted on labelled rows of their own turns it
 into a score.
 
-    p(w|v, c) = (n_c(v w) - D + n(v) s(w|v) r_c(w)) / (n_c(v) + n(v))
-    s(w|v)    = (max(n(v w) - D, 0) + freed p(w)) / n(v)
-    r_c(w)    = (n_c(w) - D + n(w)) / (n_c + n) / (n(w) / n)
-    p(w)      = (t(. w) + 1) / (t(.) + words)
+    p(w|v, c) = (m_c(v w) + n(v) s(w|v)) / (e_c(v w) + n(v) s(w|v))  times s(w|v) p(w|c) / p(w)
+    s(w|v)    = (max(n(v w) - D, 0) + freed t(w)) / n(v)
+    p(w|c)    = p(w) (m_c(w) + n(w)) / (e_c(w) + n(w))
+    t(w)      = (t(. w) + 1) / (t(.) + words)
 
-with n numbers of texts, t numbers of distinct words in front, ``words`` the number of distinct words, ``freed`` what the discounts set free, and no index c for both
-classes together.  Both models back off to the shared counts with a weight as
-large as all of them.  Where the toxic class holds an expression no more than
-``CHANCE`` standard deviations, or less than ``EFFECT`` times, more or less often
-than its share, the shared counts stand for its own: p(w|v, c) = s(w|v) r_c(w) and
-r_c(w) = 1.  So an expression too rare to tell the classes apart, or one that
-is merely commoner in a language with more toxic texts, says nothing.
+with n numbers of texts, t(. w) the number of distinct words in front, ``words`` the number of distinct words, ``freed`` what the
+discounts set free, e_c the count expected in class c by its share (of the word in front, or of all words), and
+
+    m_c = e_c + (n_c - e_c) (z^2 / (z^2 + DOUBT))^2,   z^2 = (n_c - e_c)^2 / (e_toxic + 1).
+
+Both models back off to the shared counts s, whose mass is as large as all of a bigram's own, and a class's
+count is drawn toward its expectation by as much as chance could explain it: continuously, so that
+every expression speaks, one met once or twice only faintly, one that is merely
+commoner in a language with more toxic texts hardly at all.  ``DOUBT`` and ``LEAST`` were chosen on learning rows.
 
 Words are 64-bit hashes, and every counted bigram takes part.  All labelled
-text is counted by a shuffle that grows with it.  Expressions that fail the test
-above add the logarithm of 1, nothing, so scoring needs only the words and
-bigrams that pass it; their log-ratios are a table, broadcast up to ``SHARED``
+text is counted by a shuffle that grows with it.  Log-ratios are drawn toward 0 by ``LEAST`` as well,
+which spares the table the expressions that say next to nothing; the table is broadcast up to ``SHARED``
 rows and joined with the texts' bigrams above that, with the same scores.
 
 Labels are learned only from rows that are not held out; of these, the rows
@@ -46,10 +47,10 @@ from .catalog import query, table
 from .text import LETTERS, mix, narrow, owners, pack_arrays, parts, slices, split_by, sums_by_text, unpack_arrays, word_hashes
 
 DISCOUNT = 0.75
-CHANCE, EFFECT = 4.0, 2.0
-GRID, REACH, SIZES = 8192, 1.0, 16  # steps and reach of the evidence, length classes
+DOUBT, LEAST = 4.0, 0.01
+GRID, REACH, SIZES = 8192, 4.0, 16  # steps and reach of the evidence, length classes
 HELD = 1_500_000  # bigrams a task gathers before it merges or sends them on
-SHARED = 3_000_000  # telling words and bigrams up to which their table is broadcast
+SHARED = 3_000_000  # words and bigrams up to which their table is broadcast
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _OPENING, _ALONE = np.uint64(0), np.uint64(1)  # in front of a text's first word, and of a word that stands for itself
 _FILTER = (1 << 23) - 1
@@ -127,7 +128,9 @@ def count_bigrams(rows: DataFrame, count: int) -> DataFrame:
 
 
 def gather(packed: DataFrame) -> DataFrame:
-    """Of each part: its bigrams that tell the classes apart, with the counts of the word in front, and its share of every word's counts.
+    """Of each part: its bigrams with the counts of the word in front, and its share of every word's counts.
+
+    A bigram stays behind if even with the least shared mass its log-ratio were drawn to 0.
 
     ``others`` is the number of distinct words after the front of a bigram, or in front of a word.
     """
@@ -139,7 +142,8 @@ def gather(packed: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], front[1:] != front[:-1]]))
         others = np.diff(np.append(starts, len(front)))
         t0, t1, others = (np.repeat(v, others) for v in (np.add.reduceat(n0, starts), np.add.reduceat(n1, starts), others))
-        use = beyond_chance(n1, n0 + n1, t1 / (t0 + t1))
+        expected, own = drawn(n1, n0 + n1, t1 / (t0 + t1))
+        use = np.abs(log_ratio(n0 + n1, expected, own, n0 + n1 - DISCOUNT)) > LEAST
         order = np.argsort(word, kind="stable")
         words = word[order]
         starts = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
@@ -153,15 +157,27 @@ def gather(packed: DataFrame) -> DataFrame:
     return packed.groupBy("part").applyInArrow(run, f"pair boolean, {kinds}")
 
 
-def beyond_chance(toxic: np.ndarray, both: np.ndarray, share) -> np.ndarray:
-    """Where the toxic count differs from its share by more than chance and by at least the factor ``EFFECT``."""
+def drawn(toxic: np.ndarray, both: np.ndarray, share) -> tuple[np.ndarray, np.ndarray]:
+    """The toxic count to expect, and what is left of its deviation from that."""
     expected = both * share
-    certain = np.abs(toxic - expected) > CHANCE * np.sqrt(expected + 1)
-    return certain & ((toxic > EFFECT * expected) | (toxic * EFFECT < expected))
+    off = toxic - expected
+    z = off * off / (expected + 1)
+    return expected, off * (z / (z + DOUBT)) ** 2
+
+
+def log_ratio(both: np.ndarray, expected: np.ndarray, own: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """log of the toxic against the ordinary probability, each relative to the shared one."""
+    ordinary = both - expected
+    return np.log((expected + own + shared) / (expected + shared)) - np.log((ordinary - own + shared) / (ordinary + shared))
+
+
+def less(value: np.ndarray) -> np.ndarray:
+    """Values drawn toward 0 by ``LEAST``."""
+    return np.sign(value) * np.maximum(np.abs(value) - LEAST, 0)
 
 
 def telling(counted: DataFrame) -> DataFrame | None:
-    """(key, value): log-ratio of the classes for each telling word, and for each telling bigram what its own adds to its word's.
+    """(key, value): log-ratio of the classes for each word, and for each bigram what its own adds to its word's, where they are not 0.
 
     None without texts of both classes.
     """
@@ -172,36 +188,26 @@ def telling(counted: DataFrame) -> DataFrame | None:
     if not (total[0] and total[1]):
         return None
     own, fronts, distinct = np.array(total[:2], float), float(total[2]), float(total[3])
-    n_all = own.sum()
-
-    def tilts(w: np.ndarray) -> np.ndarray:  # r_c(w)
-        seen = w.sum(axis=0)
-        use = beyond_chance(w[1], seen, own[1] / n_all)
-        return np.stack([np.where(use, (np.maximum(w[c] - DISCOUNT, 0) / np.maximum(seen, 1) * n_all + n_all) / (own[c] + n_all), 1) for c in (0, 1)])
+    toxic_share = own[1] / own.sum()
 
     def rows(key: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value)], ["key", "value"])
+        value = less(value)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)[value != 0]), pa.array(value[value != 0])], ["key", "value"])
 
     def of_words(batches):
         for batch in batches:
             word, w0, w1 = (batch.column(k).to_numpy() for k in range(3))
-            value = np.log(tilts(np.stack([w0, w1]).astype(float)))
-            value = value[1] - value[0]
-            yield rows(pair_keys(_ALONE, word.view(np.uint64))[value != 0], value[value != 0])
+            yield rows(pair_keys(_ALONE, word.view(np.uint64)), log_ratio(w0 + w1, *drawn(w1, w0 + w1, toxic_share), w0 + w1))
 
     def of_pairs(batches):
         for batch in batches:
-            front, word, n0, n1, t0, t1, others, w0, w1, before = (batch.column(k).to_numpy() for k in range(10))
-            counts, totals = np.stack([n0, n1]).astype(float), np.stack([t0, t1]).astype(float)
-            n, seen, tilt = totals.sum(axis=0), counts.sum(axis=0), tilts(np.stack([w0, w1]).astype(float))
-            freed, shared = DISCOUNT * others, (before + 1) / (fronts + distinct)
-            backed = (seen - DISCOUNT + freed * shared) / n
-            logs = np.log((np.maximum(counts - DISCOUNT, 0) + n * backed * tilt) / ((totals + n) * backed))  # log p(w|v, c) / s(w|v)
-            logs -= np.log(tilt)
-            yield rows(pair_keys(front.view(np.uint64), word.view(np.uint64)), logs[1] - logs[0])
+            front, word, n0, n1, t0, t1, others, before = (batch.column(k).to_numpy() for k in range(8))
+            seen = n0 + n1
+            shared = seen - DISCOUNT + DISCOUNT * others * (before + 1) / (fronts + distinct)
+            yield rows(pair_keys(front.view(np.uint64), word.view(np.uint64)), log_ratio(seen, *drawn(n1, seen, t1 / (t0 + t1)), shared))
 
     pairs = counted.where("pair").join(words, "word")
-    names = ("front", "word", "n0", "n1", "t0", "t1", "others", "w0", "w1", "fronts")
+    names = ("front", "word", "n0", "n1", "t0", "t1", "others", "fronts")
     kind = "key bigint, value double"
     return stage(narrow(words, "word", "w0", "w1").mapInArrow(of_words, kind).unionByName(narrow(pairs, *names).mapInArrow(of_pairs, kind)), "telling")
 
@@ -246,7 +252,7 @@ class Model:
 
 
 def with_evidence(docs: DataFrame, text_col: str, entries: DataFrame, shared) -> DataFrame:
-    """All columns, the mean log-likelihood difference of a bigram, and the length class of each text.
+    """All columns, the log-likelihood difference by the root of the number of bigrams, and the length class of each text.
 
     Without a broadcast model the texts' bigrams are joined with the table; a
     row is known by a number of its own, so repeated or null ids do no harm.
@@ -278,7 +284,7 @@ def with_evidence(docs: DataFrame, text_col: str, entries: DataFrame, shared) ->
                 front, word, places = bigrams(data, offsets)
                 size = np.diff(places)
                 sums = batch.column(width).to_numpy()[a:b] if joined else shared.value.sums(front, word, places)
-                x.append(sums / np.maximum(size, 1))
+                x.append(sums / np.sqrt(np.maximum(size, 1)))
                 lengths.append(length_class(size).astype(np.int32))
             columns = [*batch.columns[:width], pa.array(np.concatenate(x)), pa.array(np.concatenate(lengths))]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:width], _X, _LENGTH])
