@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import public_tokenizers
 import tiktoken
@@ -483,3 +484,23 @@ def test_op_digests_match_their_definitions(spark, sf):
         spans = plain_spans(texts[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
         assert r.n_email == sum(k == "email" for k, *_ in spans)
+
+
+def test_suffix_parts_of_spaced_and_null_ids(spark):
+    """Ids that are multiples of the number of parts, null ids and copies spread; both sides agree on the part."""
+    texts = [(8 * i, f"text {i % 7} é") for i in range(1000)] + [(None, f"other {i}") for i in range(1000)] + [(i * 16, "one copy") for i in range(1000)]
+    rows = spark.createDataFrame(texts, "id long, text string").withColumn("part", suffixes.text_part(8)).collect()
+    assert max(collections.Counter(r.part for r in rows).values()) < 1.25 * len(rows) / 8
+    ids = np.array([suffixes._LAST if i is None else i for i, _ in texts])
+    raw = [t.encode() for _, t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    tags = suffixes.text_tags(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert suffixes.part_of(ids, tags, 8).tolist() == [r.part for r in rows]
+
+
+def test_texts_without_letters_are_undetermined(spark):
+    table = spark.createDataFrame([(i, t, l) for i, (t, l) in enumerate([("the good house", "en"), ("das gute haus", "de")] * 30)], "doc_id long, text string, lang string")
+    odd = ["½ ① ²", "123 456", "_", "Ⅷ", "", None, "٣٤", "ª", "中", "x"]
+    found = langid.classify(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), langid.fit(table)).collect()
+    assert {odd[r.doc_id] for r in found if r.lang_pred == "und"} == {"½ ① ²", "123 456", "_", "Ⅷ", "", None, "٣٤"}
+    assert {r.score for r in found if r.lang_pred == "und"} == {0.0}

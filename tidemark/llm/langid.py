@@ -18,8 +18,6 @@ empty table gives an empty table; further columns never matter.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +37,6 @@ PER_LANGUAGE, ALTOGETHER = 1000, 8000  # rows of the fitting sample
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def family_of(lang: str) -> str:
@@ -198,7 +195,7 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                 seen = np.concatenate([[0], np.cumsum(ascii_letter[data])])
                 lettered = seen[offsets[1:]] > seen[offsets[:-1]]
                 for i in np.flatnonzero(~lettered & (np.diff(offsets) > 0)):
-                    lettered[i] = bool(_LETTER.search(data[offsets[i] : offsets[i + 1]].tobytes().decode()))
+                    lettered[i] = any(map(str.isalpha, data[offsets[i] : offsets[i + 1]].tobytes().decode()))
                 best, score = model.predict(model.margins(data, offsets))
                 names += [model.langs[b] if ok else "und" for b, ok in zip(best.tolist(), lettered.tolist())]
                 scores.append(np.where(lettered, score, 0.0))
