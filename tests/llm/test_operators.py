@@ -430,6 +430,33 @@ def test_main_text(spark):
     assert html_text.extract(rows.limit(0)).count() == 0
 
 
+STORY = [" ".join(f"s{k}w{i}" for i in range(n)) for k, n in enumerate((40, 3, 55, 28))]
+FRAME = "<nav><ul><li><a>Home</a></li><li><a>News here</a></li></ul></nav>", "<aside><p>" + "aside " * 30 + "</p></aside>", "<footer>About us and legal things</footer>"
+
+
+@pytest.mark.parametrize("name", html_text.WRAPPERS)
+def test_wrappers_keep_the_article(name):
+    """Every name, those kept out of growing too, around an ordinary 126-word article, with menus and sidebars inside and outside."""
+    menu, side, foot = FRAME
+    story = f"<h1>The title of it all</h1>" + "".join(f"<p>{p}</p>" for p in STORY)
+    want = "\n\n".join(["The title of it all", *STORY])
+    tag = name.split()[0]
+    for page in (f"<{name}>{menu}{story}{side}</{tag}>{foot}", f"{menu}<{name}>{story}</{tag}>{side}{foot}", f"<{name}>{story}</{tag}><div>Five words of plain footer</div>"):
+        found = html_text.main_text(f"<html><body>{page}</body></html>")
+        assert found.removesuffix("\n\nFive words of plain footer") == want
+
+
+@pytest.mark.parametrize("name", ["comments", "comment-list", "sidebar", "reader-comments", "share", "notice", "more", "related", "cookie-notice", "newsletter-form", "ad", "tags", "discussion", "readers"])
+def test_telling_names_beside_an_article_are_left_out(name):
+    menu, _, foot = FRAME
+    story = f"<h1>The title of it all</h1>" + "".join(f"<p>{p}</p>" for p in STORY)
+    want = "\n\n".join(["The title of it all", *STORY])
+    for size in (8, 60, 300):
+        extra = f'<div class="{name}"><h3>Some words</h3><p>{"other " * size}</p></div>'
+        for page in (f"{menu}<article>{story}</article>{extra}{foot}", f"{menu}<div>{story}</div>{extra}{foot}", f"<div class='page no-sidebar'>{menu}{story}{extra}</div>{foot}"):
+            assert html_text.main_text(f"<html><body>{page}</body></html>") == want
+
+
 @pytest.mark.parametrize("name", ["svg", "select", "button", "object", "canvas", "datalist", "noscript", "template"])
 def test_unclosed_concealed_elements_end_with_their_block(name):
     story = "<article><h1>Some title of it</h1><p>" + "word " * 40 + "</p></article>"

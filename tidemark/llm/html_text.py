@@ -6,6 +6,13 @@ its own and its neighbours' word count and link density and by what encloses it
 item).  A decision tree over these features, grown on a small labelled table,
 says which blocks are main text; they are joined in page order.
 
+A class name tells something only where nothing in it says otherwise (``no-sidebar``, ``has-banner``,
+``tags-open`` do not), and an enclosing form or telling name that holds
+the page's text itself is a wrapper: the words inside it, without those that other marks set
+apart, are compared with the unmarked sentences outside.  Names that many authors give to whole pages
+(``reader``, ``more``, ``share``, or any beside ``content``, ``main``, ``post``) are taken for wrappers when little is left outside, clear
+ones (``comments``, ``sidebar``) only when nothing is and an article or main heading lies inside.
+
 The labelled table is built from the page outlines below: words are counted,
 not quoted, so an outline stands for pages of any language.  The tree is grown
 once a process by a fixed rule; nothing in it depends on the pages at hand.
@@ -48,39 +55,84 @@ BLOCKS = set(
     " nav header footer aside form fieldset legend label figure figcaption address details summary body html head hr menu dialog center".split()
 )
 BOUNDS = set("nav header footer aside form fieldset menu dialog article main section div ul ol table blockquote figure details".split())
-APART = {"nav", "footer", "aside", "form", "fieldset", "menu", "dialog"}
+APART = {"nav", "footer", "aside", "menu", "dialog"}
+FORMS = {"form", "fieldset"}
 CUES = set(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar side widget rail"
-    " nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer foot copyright legal cookie cookies consent gdpr notice notices"
-    " alert popup modal overlay newsletter subscribe subscription signup login register share sharing social related recommended more"
-    " comment comments reply replies respond disqus discussion reader readers feedback masthead topbar toolbar search contentinfo complementary"
-    " form skip disclaimer tags outbrain taboola paywall".split()
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored banner sidebar widget"
+    " nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer copyright cookie cookies consent gdpr"
+    " popup modal overlay newsletter related recommended comment comments disqus contentinfo complementary"
+    " outbrain taboola paywall".split()
+)
+VAGUE_CUES = set(
+    "promo promotion side rail foot legal notice notices alert subscribe subscription signup login register share sharing social more"
+    " reply replies respond discussion reader readers feedback masthead topbar toolbar search form skip disclaimer tags".split()
 )
+BEFORE = {"no", "non", "not", "has", "have", "with", "without", "hide", "show", "is"}  # no-sidebar, has-banner
+BEHIND = {"open", "opened", "closed", "visible", "enabled", "disabled", "active", "ready", "loaded", "on", "off"}  # tags-open
+CONTENT = {"content", "main", "article", "post", "entry", "story", "body", "layout", "page", "wrapper", "container", "site", "app"}
+VAGUE, CLEAR, HIDDEN = 1, 2, 3
+SENTENCE, SHARE, TEXTUAL = 10, 0.3, 40  # words of a block that counts as text outside; largest share outside a vague wrapper; least words inside
 FEATURES = (
     "apart", "cue", "article", "heading", "item", "words", "links", "first", "last", "words_before", "links_before", "words_after", "links_after"
 )
 MANY = 25  # longer blocks count as this long
 
 
+class Container:
+    """An open element: what its names tell, whether it sets its text apart, and whether an article or main heading lies inside."""
+
+    __slots__ = ("name", "cue", "apart", "holds", "wraps")
+
+    def __init__(self, name: str, cue: int):
+        self.name, self.cue, self.holds, self.wraps = name, cue, False, False
+        self.apart = CLEAR if name in APART else VAGUE if name in FORMS else 0
+
+
 class Block:
-    __slots__ = ("parts", "linked", "apart", "cue", "article", "heading", "item")
+    __slots__ = ("parts", "linked", "marks", "header", "article", "heading", "item")
 
-    def __init__(self, apart, cue, article, heading, item):
+    def __init__(self, marks, header, article, heading, item):
         self.parts, self.linked = [], 0
-        self.apart, self.cue, self.article, self.heading, self.item = apart, cue, article, heading, item
+        self.marks, self.header, self.article, self.heading, self.item = marks, header, article, heading, item
 
 
-def tells(attributes: str) -> bool:
-    """Whether a tag's class, id or role names something that is not main text, or the tag is hidden."""
+def tells(attributes: str) -> int:
+    """How clearly a tag's class, id or role names something that is not main text: 0, ``VAGUE``, ``CLEAR``, or ``HIDDEN``."""
     if not attributes:
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
+        return HIDDEN
+    found = 0
     for m in _NAMED.finditer(attributes):
-        names = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", m[1] or m[2] or m[3] or "").lower())
-        if not CUES.isdisjoint(names):
-            return True
-    return False
+        for name in (m[1] or m[2] or m[3] or "").split():
+            words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+            for i, word in enumerate(words):
+                if word not in CUES and word not in VAGUE_CUES or not BEFORE.isdisjoint(words[:i]) or i + 1 < len(words) and words[i + 1] in BEHIND:
+                    continue
+                found = max(found, CLEAR if word in CUES and CONTENT.isdisjoint(words) else VAGUE)
+    return found
+
+
+def find_wrappers(rows: list[tuple[Block, int]]) -> None:
+    """Mark the containers that hold the page's own text; rows are (block, words outside links)."""
+    outside = sum(n for b, n in rows if not b.marks and not b.header and n >= SENTENCE)
+    reach: dict[int, list] = {}  # container, first and last block, words
+    for i, (b, n) in enumerate(rows):
+        for c in b.marks:
+            known = reach.setdefault(id(c), [c, i, i, 0])
+            known[2], known[3] = i, known[3] + n
+    decided: dict[tuple, bool] = {}
+    # From the outside in: what an outer wrapper has freed counts as unmarked for the inner ones.
+    for c, first, last, words in reach.values():
+        vague, least = c.cue <= VAGUE, 0 if c.holds and c.cue <= VAGUE else TEXTUAL
+        if c.cue == HIDDEN or c.apart == CLEAR or not (vague or c.holds) or not words or words < least or outside > SHARE * words:
+            continue
+        key = (first, last, vague, c.holds)
+        if key not in decided:
+            own = [(b, n) for b, n in rows[first : last + 1] if any(m is c for m in b.marks)]
+            inside = sum(n for b, n in own if not b.header and all(m is c or m.wraps or m.cue <= VAGUE and m.apart <= VAGUE for m in b.marks))
+            decided[key] = inside > 0 and inside >= least and outside <= (SHARE * inside if vague else 0)
+        c.wraps = decided[key]
 
 
 def raw_end(page: str, name: str, at: int) -> int:
@@ -120,7 +172,7 @@ def concealed_end(page: str, name: str, at: int, outside: Counter) -> int:
 
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """(text, own features) of the blocks that hold text."""
-    open_: list[tuple[str, bool]] = []
+    open_: list[Container] = []
     heading = item = ""
     linked, at, n = 0, 0, len(page)
     around: Counter = Counter()  # blocks open at this place
@@ -128,9 +180,9 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
     current: Block | None = None
 
     def start() -> Block:
-        inside = any(t in ("article", "main") for t, _ in open_)
-        apart = any(t in APART or t == "header" and not inside for t, _ in open_)
-        return Block(apart, any(c for _, c in open_), inside, bool(heading), bool(item))
+        inside = any(c.name in ("article", "main") for c in open_)
+        header = not inside and any(c.name == "header" for c in open_)
+        return Block([c for c in open_ if c.cue or c.apart], header, inside, bool(heading), bool(item))
 
     def add(text: str) -> None:
         nonlocal current
@@ -172,6 +224,9 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             add(" ")
         elif name in BLOCKS:
             current, linked = None, 0
+            if name in ("h1", "article", "main") and not closing:
+                for c in open_:
+                    c.holds = True
             if re.fullmatch("h[1-6]", name):
                 heading = "" if closing else name
             elif name in ("li", "dt", "dd"):
@@ -182,24 +237,26 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
             if name in BOUNDS or name == "p" or name == "li":
                 if closing:
                     for k in range(len(open_) - 1, -1, -1):
-                        if open_[k][0] == name:
+                        if open_[k].name == name:
                             del open_[k:]
                             break
-                        if open_[k][0] in ("article", "main", "body") and name in ("p", "li"):
+                        if open_[k].name in ("article", "main", "body") and name in ("p", "li"):
                             break
                 elif name in ("p", "li"):
-                    if open_ and open_[-1][0] == name:
+                    if open_ and open_[-1].name == name:
                         open_.pop()
-                    if tells(tag[3]):
-                        open_.append((name, True))
+                    if cue := tells(tag[3]):
+                        open_.append(Container(name, cue))
                 elif not tag[0].endswith("/>"):
-                    open_.append((name, tells(tag[3])))
+                    open_.append(Container(name, tells(tag[3])))
+    texts = [(b, " ".join(html.unescape("".join(b.parts)).split())) for b in out]
+    sized = [(b, text, len(text.split())) for b, text in texts if text]
+    find_wrappers([(b, max(0, words - b.linked)) for b, _, words in sized])
     rows = []
-    for b in out:
-        text = " ".join(html.unescape("".join(b.parts)).split())
-        if text:
-            words = len(text.split())
-            rows.append((text, [words, min(1.0, b.linked / words), b.apart, b.cue, b.article, b.heading, b.item]))
+    for b, text, words in sized:
+        apart = b.header or any(c.apart and not c.wraps for c in b.marks)
+        cue = any(c.cue and not c.wraps for c in b.marks)
+        rows.append((text, [words, min(1.0, b.linked / words), apart, cue, b.article, b.heading, b.item]))
     return rows
 
 
@@ -275,6 +332,25 @@ OUTLINES = (
     _within("article", _SHORT),
     _HEAD + _within("main", _LIST, _SHORT),
 )
+# Names of whole-page wrappers; every second one is kept out of growing (``HELD_OUT``) and only tested.
+WRAPPERS = (
+    'div class="content no-sidebar"', 'div class="layout-with-sidebar"', 'div class="post has-banner"', 'div class="article-form"', 'div class="main-content more"',
+    'div class="wrapper reader"', 'div class="page-with-comments"', 'div id="more-news"', 'div class="post tags-open share"', 'form id="aspnetForm"',
+    'div class="no-ads"', 'div id="page" class="menu-open"', 'div class="site has-cookie-notice"', 'div class="reader-view"', 'section class="story social"',
+    'div class="hide-sidebar"', 'form class="page-form" id="mainForm"', 'div class="search-page"', 'div class="container login-on"', 'div id="readers"',
+    'div class="legal"', 'div class="with-newsletter"', 'main class="post comments-closed"', 'div class="is-modal-open"', 'div class="discussion"',
+    'div class="entry side-rail-off"', 'div class="app share"', 'div class="subscribe-ready content"', 'section id="notice"', 'div class="non-sponsored post"',
+    'div class="sidebar-layout"', 'div class="feedback-story"',
+)
+OUTLINES += tuple(
+    _within(name, *inside) + after
+    for name, inside, after in zip(
+        WRAPPERS[::2],
+        ((_MENU, _TEXT), (_FLAT_MENU, _TEXT, _COMMENTS), (_HEAD, _TEXT, _SIDE), (_NOTICE, _TEXT), (_TEXT, _SIDE_CLASS, _FOOT), (_MENU, _LIST, _LIST, _AD)) * 3,
+        ([], _FOOT, _PLAIN_FOOT) * 6,
+    )
+)
+HELD_OUT = WRAPPERS[1::2]
 SCALES = (0.4, 1, 2.5)  # every outline with shorter and longer blocks
 
 
