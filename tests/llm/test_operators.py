@@ -282,14 +282,78 @@ def test_pii_annotate_and_mask(spark, docs, empty):
     assert pii.mask(empty, pii.fit(empty)).count() == 0
 
 
-def test_pii_learns_from_votes(spark):
-    """Spelled-out addresses that carry the same votes as true ones are added; lone digits are not."""
-    rows = [(i, f"write to anna{i}@mail.example.com now") for i in range(200)] + [(500 + i, f"write to ben{i} (at) mail.example.com now") for i in range(20)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
+def planted():
+    """(text, span, kind, whether it is personal data) of candidates beyond the base rules."""
+    draw = random.Random(6)
+
+    def checked(digits):
+        return next(digits + str(c) for c in range(10) if pii.luhn(digits + str(c)))
+
+    def run(n):
+        return "".join(str(draw.randrange(10)) for _ in range(n))
+
+    out = []
+    for i in range(30):
+        words = draw.choice(["apple", "river", "stone"]), draw.choice(["two", "of", "last", "next"])
+        mails = (f"anna{i} (at) gmail (dot) com", f"ben.{i}[at]mail.example.org", f"kim_{i} (at) firm{i}.net")
+        out += [(f"please write to {mails[i % 3]} today", mails[i % 3], "email", True)]
+        fake = f"section (at) page.{words[1]}", f"figure (at) {words[0]}.{words[1]}", f"look (at) this.{words[0]}"
+        out += [(f"see {fake[i % 3]} of the text", fake[i % 3], "email", False)]
+        area, exchange = draw.randrange(200, 990), draw.randrange(200, 990)
+        phone = (f"{area}-{exchange}-{run(4)}", f"({area}) {exchange}-{run(4)}", f"{area}.{exchange}.{run(4)}")[i % 3]
+        out += [(f"call me at {phone} after noon", phone, "phone", True)]
+        serial = f"{draw.randrange(100):03d}-{draw.randrange(100):03d}-{run(4)}"
+        out += [(f"the serial {serial} was printed", serial, "phone", False)]
+        address = f"2001:db8:{i:x}a:0:8a2e:{draw.randrange(256):x}:7334:{draw.randrange(1, 65535):x}"
+        out += [(f"the server address {address} answered", address, "ip", True)]
+        clock = ":".join(f"{draw.randrange(60):02d}" for _ in range(8))
+        out += [(f"order {clock} of laps", clock, "ip", False)]
+        card = checked("37" + run(12))
+        out += [(f"paid by amex card {card} in May", card, "card", True)]
+        isbn = checked("9" + run(13))
+        out += [(f"invoice {isbn} was sent", isbn, "card", False)]
+    return out
+
+
+def test_pii_separates_added_spans(spark):
+    """The classifier, fitted on a table of base spans and planted candidates, adds the true ones only."""
+    base = [f"write to anna{i}@mail.example.com or call +1 ({200 + i}) 555-0{100 + i}, host 10.0.{i}.7, card {c}" for i in range(60) for c in ["4111 1111 1111 1111"]]
+    cases = planted()
+    assert len(cases) >= 200
+    rows = [*enumerate(base), *((1000 + i, text) for i, (text, *_) in enumerate(cases))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if not s.base] for r in pii.annotate(docs, pii.fit(docs)).collect()}
+    added = 0
+    for i, (text, span, kind, true) in enumerate(cases):
+        at = text.index(span)
+        assert found[1000 + i] == ([(kind, at, at + len(span))] if true else []), text
+        added += len(found[1000 + i])
+    assert added == sum(c[3] for c in cases) and not any(found[i] for i in range(len(base)))
+
+
+def test_pii_known_cases(spark):
+    """Candidates of other words than the fitted ones."""
+    docs = spark.createDataFrame([(i, t) for i, (t, *_) in enumerate(planted())] + [(i + 9000, f"contact bob{i}@mail.test") for i in range(90)], "doc_id long, text string")
+    weights = pii.fit(docs)
+    cases = {
+        "mail john (at) gmail (dot) com please": 1, "call me at 555-123-4567": 1, "order 55-123 call 155-223-4567": 0,
+        "see section (at) page.two of the text": 0, "login from 2a00:1450:4001:81b:0:0:0:200e worked": 1, "laps 10:11:12:13:14:15:16:17": 0,
+    }
+    for text, want in cases.items():
+        assert len([s for s in pii.accepted(text, weights) if not s[3]]) == want, text
+
+
+def test_pii_votes_against_count_where_no_false_span_was_met(spark):
+    docs = spark.createDataFrame([(i, f"write to anna{i}@mail.example.com or call +1 (555) 010-2{i:03d}") for i in range(300)], "doc_id long, text string")
     weights = pii.fit(docs)
-    found = {r.doc_id: r.spans for r in pii.annotate(docs, weights).collect()}
-    assert all(len(found[i]) == 1 and found[i][0].base for i in range(200))
-    assert all(s.kind == "email" and not s.base for i in range(500, 520) for s in found[i])
+    for text, want in {"see section (at) page.two of the text": 0, "mail john (at) gmail (dot) com": 1, "the serial 055-123-4567 was": 0, "call me at 555-123-4567": 1}.items():
+        assert len(pii.accepted(text, weights)) == want, text
+
+
+def test_labelers_are_no_worse_than_chance():
+    cast = np.array([[0, 1, 1, -1, 1], [0, -1, -1, 1, -1], [1, 1, 1, -1, 1]])
+    posterior, rates, _ = pii.reliabilities(cast, np.array([50.0, 50.0, 50.0]))
+    assert (rates[1] >= rates[0]).all() and posterior[0] > 0.9 and posterior[1] < 0.1 and posterior[2] > 0.9
 
 
 def test_language(spark, sf, docs, empty):

@@ -2,11 +2,14 @@
 
 Strict patterns give the base spans, looser ones further candidates.  Five
 labelers - base rule, format, gazetteer, context, surroundings - vote for,
-against or abstain on each candidate.  Only the counts of vote patterns leave
-the tasks (at most kinds x 3**5 x length classes, whatever the corpus);
-expectation-maximisation over them estimates each labeler's reliability and the
-share of true spans of each kind, and its posteriors train a logistic span
-classifier.  Base spans always stay; the classifier decides on the others.
+against or abstain on each candidate.  Only the counts of vote patterns and span traits leave
+the tasks (at most kinds x 3**5 votes x 8 lengths x 4 x 4 neighbours x 3 x 3 mixtures of characters, whatever the corpus);
+expectation-maximisation over them estimates how reliable each labeler's votes are on true and on false spans, and the
+share of true spans among base and other candidates of each kind.  A labeler that abstains says nothing; one is
+taken to be no worse than chance: where its votes for would be likelier on false spans, both rates become
+their mean.  The posteriors train a logistic span classifier on the votes of the four fallible labelers and on the
+span's own traits - its length, what stands around it, its share of digits and of separators.
+Base spans always stay; the classifier decides on the others.
 
 Offsets are code points, ends exclusive; a kind's spans never overlap.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,9 @@ from .text import narrow, slices, text_array
 KINDS = ("email", "ip", "card", "phone")
 ADDED_AT = 0.9  # probability from which a span outside the base rules is added
 ROUNDS = 50
+BASE_RATES = (0.2, 0.98)  # of votes for, on false and on true spans, that the base rule is taken to have
+RIDGE = 0.1
+LENGTHS, CLASSES, THIRDS = 8, 4, 3
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,7 +50,13 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _SPELLED = re.compile(r"[\x20]?[(\[]at[)\]][\x20]?[A-Za-z0-9-]+(?:[\x20]?(?:[(\[]dot[)\]]|\.)[\x20]?[A-Za-z0-9-]+)+", re.I)
 _NATIONAL = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[.\x20-])[0-9]{3}[.\x20-][0-9]{4}(?![0-9])")
 _IP6 = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])")
-_MAIL_WORDS = ("mail", "example", "post", "inbox", "web")
+# Mail domains, top-level domains, calling codes, first digits of cards, first groups of assigned addresses.
+_MAIL_WORDS = ("mail", "example", "post", "inbox", "web", "yahoo", "outlook", "proton", "icloud", "gmx")
+_TOP_LEVEL = frozenset(
+    "com org net edu gov mil int info biz io co me tv app dev ai us uk ca au de fr es it nl be ch at pl pt se no dk fi ie cz hu"
+    " gr ro ru ua cn jp kr in br mx ar cl nz za eu test example local".split()
+)
+_ASSIGNED = ("2001", "2400", "2404", "2406", "2600", "2604", "2606", "2607", "2620", "2800", "2a", "fc", "fd", "fe80")
 _CALLING_CODES = ("+1", "+33", "+34", "+39", "+41", "+43", "+44", "+49", "+52", "+54", "+61", "+81", "+86", "+91")
 _CARD_HEADS = ("34", "35", "36", "37", "38", "4", "5", "6", "22", "23", "24", "25", "26", "27")
 _FOR = {
@@ -52,6 +65,8 @@ _FOR = {
     "card": re.compile(r"card|visa|master|amex|credit|karte|carte|tarjeta|pay", re.I),
     "phone": re.compile(r"tel|phone|call|mobile|fax|anruf|appel|llam", re.I),
 }
+_AT, _DOT = re.compile(r"[(\[]at[)\]]", re.I), re.compile(r"[\x20]?[(\[]dot[)\]][\x20]?", re.I)
+_AGAINST_MAIL = re.compile(r"\b(?:see|section|page|chapter|figure|table|meet|met|room|line|version|release|look|stand|arrive)\b", re.I)
 _AGAINST = re.compile(r"version|release|isbn|issn|invoice|order|serial|\bv\.?\s*$|#\s*$|\bid\b", re.I)
 _SEEN = np.zeros(256, dtype=bool)
 _SEEN[[*range(48, 58), 64, 40, 91]] = True  # digits, @ and the brackets of spelled-out addresses
@@ -122,34 +137,62 @@ def votes(text: str, kind: str, start: int, end: int, base: bool) -> tuple[int,
     span = text[start:end]
     before, after = text[max(0, start - 24) : start], text[end : end + 24]
     digits = "".join(c for c in span if c.isdigit())
+    against = _AGAINST
     if kind == "email":
-        domain = span.rpartition("@")[2].lower()
-        shape = 1 if re.search(r"\.[a-z]{2,12}$", domain) else -1
+        plain = _DOT.sub(".", span)
+        local, domain = plain.rsplit("@", 1) if "@" in plain else _AT.split(plain, maxsplit=1)
+        domain = domain.strip().lower()
+        shape = 1 if domain.rpartition(".")[2] in _TOP_LEVEL else -1
         known = 1 if any(w in domain for w in _MAIL_WORDS) else 0
+        before_local, against = f"{before} {local.strip()}", _AGAINST_MAIL
+    elif kind == "ip" and ":" in span:
+        groups = span.lower().split(":")
+        shape = -1 if all(g.isdigit() and len(g) <= 2 for g in groups) else 1
+        known = 1 if span.lower().startswith(_ASSIGNED) else 0
     elif kind == "ip":
         parts = span.split(".")
         shape = 1 if len(parts) == 4 and all(str(int(p)) == p for p in parts if p.isdigit() and len(p) < 9) else 0
         known = -1 if parts[0] in ("0", "00", "000") else 1 if parts[0] in ("10", "172", "192") else 0
     elif kind == "card":
-        shape = 1 if len(digits) in (15, 16) and re.fullmatch(r"[0-9]+|(?:[0-9]{4}[ -]?)+", span) else -1
-        known = 1 if digits.startswith(_CARD_HEADS) else -1
-    else:
+        grouped = r"[0-9]+|(?:[0-9]{4}[ -]?)+|[0-9]{4}[ -]?[0-9]{6}[ -]?[0-9]{4,5}"
+        shape = 1 if re.fullmatch(grouped, span) else -1
+        heads = {15: ("34", "37"), 14: ("30", "36", "38"), 13: ("4",)}.get(len(digits), _CARD_HEADS)
+        known = 1 if digits.startswith(heads) else -1
+    elif span.startswith("+"):
         shape = 1 if re.search(r"\([0-9]{1,4}\)|[0-9][ .-][0-9]", span) else 0
         known = 1 if span.startswith(_CALLING_CODES) else 0
-    context = 1 if _FOR[kind].search(before) or _FOR[kind].search(after) else -1 if _AGAINST.search(before) else 0
+    else:  # a national number: no area begins with 0 or 1
+        shape, known = (1, 0) if digits[0] > "1" else (-1, -1)
+    around = before_local if kind == "email" else before
+    context = -1 if against.search(around) else 1 if _FOR[kind].search(before) or _FOR[kind].search(after) else 0
     touching = before[-1:].isalnum() or after[:1].isalnum() or before[-1:] in ("=", "_") or before[-1:] == "."
     return (1 if base else 0, shape, known, context, -1 if touching else 1)
 
 
+def _class(c: str) -> int:
+    return 0 if not c or c.isspace() else 1 if c.isalpha() else 2 if c.isdigit() else 3
+
+
+def traits(text: str, start: int, end: int) -> tuple[int, ...]:
+    """Length class, kinds of the characters before and behind, and thirds of digits and of separators."""
+    span = text[start:end]
+    digits, letters = sum(c.isdigit() for c in span), sum(c.isalpha() for c in span)
+    size = max(1, end - start)
+    return (
+        min(size // 8, LENGTHS - 1), _class(text[start - 1 : start]), _class(text[end : end + 1]),
+        min(2, 3 * digits // size), min(2, 6 * (size - digits - letters) // size),
+    )
+
+
 def candidates(text: str) -> list[tuple[int, int, int, bool, tuple[int, ...]]]:
-    """(kind number, start, end, base, votes and length class) of all candidates in order."""
+    """(kind number, start, end, base, votes and traits) of all candidates in order."""
     out = []
     base, loose = base_spans(text), loose_spans(text)
     for k, kind in enumerate(KINDS):
         taken = base[kind]
         free = [(a, b) for a, b in loose[kind] if not any(a < d and c < b for c, d in taken)] if taken else loose[kind]
         spans = sorted([(a, b, True) for a, b in taken] + [(a, b, False) for a, b in free])
-        out += [(k, a, b, own, (*votes(text, kind, a, b, own), min((b - a) // 8, 7))) for a, b, own in spans]
+        out += [(k, a, b, own, (*votes(text, kind, a, b, own), *traits(text, a, b))) for a, b, own in spans]
     return out
 
 
@@ -164,7 +207,7 @@ def _texts(column):
 
 
 def pattern_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """How often each (kind, votes, length class) occurs."""
+    """How often each (kind, votes, traits) occurs."""
 
     def run(batches):
         counts: Counter = Counter()
@@ -178,61 +221,85 @@ def pattern_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return narrow(docs, text_col).mapInArrow(run, "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
-def reliabilities(cast: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Posterior of each vote pattern, and P(vote | truth) of each labeler, by EM with independent labelers."""
+def posteriors(cast: np.ndarray, rates: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Probability that a span with these votes is true; ``share`` is that of true spans before any vote."""
+    odds = np.log(share / (1 - share)) + (cast > 0) @ np.log(rates[1] / rates[0]) + (cast < 0) @ np.log((1 - rates[1]) / (1 - rates[0]))
+    return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+
+
+def reliabilities(cast: np.ndarray, n: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Posterior of each vote pattern, P(for | truth, not abstaining) of each labeler, and the share of true spans among loose and base ones.
+
+    EM with independent labelers.  The first labeler is the base rule: it never votes against, and its reliability is given.
+    """
+    base = (cast[:, 0] > 0).astype(int)
     posterior = 1 / (1 + np.exp(-cast.sum(axis=1)))
-    table_ = np.zeros((2, cast.shape[1], 3))
+    rates, shares = np.empty((2, cast.shape[1])), np.full(2, 0.5)
     for _ in range(rounds):
         weight = np.stack([n * (1 - posterior), n * posterior])
-        prior = (weight.sum(axis=1) + 1) / (n.sum() + 2)
-        for vote in (-1, 0, 1):
-            table_[:, :, vote + 1] = weight @ (cast == vote) + 0.5
-        # A labeler is taken to be better than chance: its votes for are no likelier on false spans.
-        table_ /= table_.sum(axis=2, keepdims=True)
-        logs = np.log(prior)[:, None] + sum(np.log(table_[:, j, cast[:, j] + 1]) for j in range(cast.shape[1]))
-        posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
-    if np.corrcoef(np.append(posterior, [0, 1]), np.append(cast.sum(axis=1), [-5, 5]))[0, 1] < 0:
-        posterior = 1 - posterior
-    return posterior, table_
+        for truth in (0, 1):
+            votes_for, votes_against = weight[truth] @ (cast > 0), weight[truth] @ (cast < 0)
+            # As much belief as five votes, four of them right.
+            rates[truth] = (votes_for + (1.0, 4.0)[truth]) / (votes_for + votes_against + 5.0)
+        worse = rates[1] < rates[0]
+        rates[:, worse] = rates[:, worse].mean(axis=0)
+        rates[:, 0] = BASE_RATES
+        shares = np.array([(posterior[base == g] @ n[base == g] + 1) / (n[base == g].sum() + 2) for g in (0, 1)])
+        posterior = posteriors(cast, rates, shares[base])
+    return posterior, rates, shares
+
+
+def _features(kind: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Kind, votes for and against of all but the base rule, and traits, each as zeros and ones."""
+    cast = keys[:, 1:5]
+    hot = [np.eye(size)[keys[:, 5 + i]] for i, size in enumerate((LENGTHS, CLASSES, CLASSES, THIRDS, THIRDS))]
+    return np.hstack([np.eye(len(KINDS))[kind], cast > 0, cast < 0, *hot]).astype(np.float64)
 
 
-def _features(kind: np.ndarray, cast: np.ndarray, size: np.ndarray) -> np.ndarray:
-    hot = np.eye(len(KINDS))[kind]
-    return np.hstack([hot, cast, cast == 0, np.eye(8)[size]]).astype(np.float64)
+WIDTH = len(KINDS) + 8 + LENGTHS + 2 * CLASSES + 2 * THIRDS
 
 
 def fit(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Weights of the span classifier; zeros (nothing is added) without candidates."""
     rows = pattern_counts(docs, text_col).collect()  # bounded by the number of patterns
-    width = len(KINDS) + 5 + 5 + 8
     if not rows:
-        return np.zeros(width)
+        return np.zeros(WIDTH)
     rows.sort()
     keys = np.array([list(map(int, r.pattern.split(","))) for r in rows])
     n = np.array([float(r.n) for r in rows])
-    target = np.empty(len(n))
+    # Every vote pattern of a loose span is taught once by the labelers' rates, met or not: else a corpus
+    # without false spans would teach nothing about votes against.
+    every = np.array(list(product((-1, 0, 1), repeat=4)))
+    every = np.hstack([np.zeros((len(every), 1), int), every])
+    x, target, weight = [_features(keys[:, 0], keys[:, 1:])], np.empty(len(n)), [n]
+    taught = []
     for k in range(len(KINDS)):
         own = keys[:, 0] == k
-        if own.any():
-            target[own], _ = reliabilities(keys[own, 1:6], n[own])
-    x, w = _features(keys[:, 0], keys[:, 1:6], keys[:, 6]), np.zeros(width)
+        target[own], rates, shares = reliabilities(keys[own, 1:6], n[own])
+        alone = _features(np.full(len(every), k), np.hstack([every, np.zeros((len(every), 5), int)]))
+        alone[:, len(KINDS) + 8 :] = 0
+        x.append(alone)
+        taught.append(posteriors(every, rates, np.full(len(every), shares[0])))
+        weight.append(np.ones(len(every)))
+    x, target, n, w = np.vstack(x), np.concatenate([target, *taught]), np.concatenate(weight), np.zeros(WIDTH)
     for _ in range(30):  # Newton steps of a ridge-regularised logistic regression on soft labels
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (n * (p - target)) + w
-        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + np.eye(width)
+        gradient = x.T @ (n * (p - target)) + RIDGE * w
+        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(WIDTH)
         w -= np.linalg.solve(hessian, gradient)
     return w
 
 
+def probability(kind: int, key: tuple[int, ...], weights: np.ndarray) -> float:
+    return float(1 / (1 + np.exp(-np.clip(_features(np.array([kind]), np.array([key]))[0] @ weights, -30, 30))))
+
+
 def accepted(text: str, weights: np.ndarray, added_at: float = ADDED_AT) -> list[tuple[int, int, int, bool]]:
     found = candidates(text)
     out = []
-    for k, a, b, base, (*cast, size) in found:
-        if not base:
-            x = _features(np.array([k]), np.array([cast]), np.array([size]))[0]
-            if 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))) < added_at:
-                continue
-        out.append((k, a, b, base))
+    for k, a, b, base, key in found:
+        if base or probability(k, key, weights) >= added_at:
+            out.append((k, a, b, base))
     return out
 
 
