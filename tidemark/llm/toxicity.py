@@ -47,7 +47,7 @@ from .catalog import query, table
 from .text import LETTERS, mix, narrow, owners, pack_arrays, parts, slices, split_by, sums_by_text, unpack_arrays, word_hashes
 
 DISCOUNT = 0.75
-DOUBT, LEAST = 4.0, 0.01
+DOUBT, LEAST = 16.0, 0.01
 GRID, REACH, SIZES = 8192, 4.0, 16  # steps and reach of the evidence, length classes
 HELD = 1_500_000  # bigrams a task gathers before it merges or sends them on
 SHARED = 3_000_000  # words and bigrams up to which their table is broadcast
