@@ -129,3 +129,16 @@ def test_catalog_table(spark):
     assert IO.read_table(spark, "tidemark_test").count() == 3
     assert "default" in {r["name"] for r in IO.list_names(spark).collect()}
     spark.sql("DROP TABLE tidemark_test")
+
+
+def test_an_unfinished_folder_is_no_table(spark, tmp_path):
+    """What a killed write leaves is written anew; a finished table is kept."""
+    target = str(tmp_path / "kept")
+    (tmp_path / "kept" / "_temporary" / "0").mkdir(parents=True)
+    (tmp_path / "kept" / "part-0.parquet").write_bytes(b"half")
+    IO.save_as(spark.range(3), target, replace=False)
+    assert IO.read_table(spark, target).count() == 3
+    IO.save_as(spark.range(9), target, replace=False)
+    assert IO.read_table(spark, target).count() == 3
+    IO.save_as(spark.range(9), target)
+    assert IO.read_table(spark, target).count() == 9

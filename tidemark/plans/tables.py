@@ -38,10 +38,12 @@ def write_tables(
     """Write the feature table, range-clustered by event second, and its splits.
 
     ``where`` names a path or catalog table for each of ``NAMES``.  Without ``replace`` finished
-    tables are kept, and nothing is computed if all four are there.
+    tables are kept, and nothing is computed if all four are there; splits of a feature
+    table that is built anew are built anew as well.
     """
     due = {name for name in NAMES if replace or _missing(spark, where[name])}
     if "features" in due:
+        due = set(NAMES)
         built = build_features(transactions, users, cards, holidays, **options)
         save_as(clustered(built, [EPOCH]), where["features"])
     if due - {"features"}:

@@ -128,13 +128,13 @@ def read_cards(spark: SparkSession, path: str) -> DataFrame:
 def save_as(df: DataFrame, target: str, replace: bool = True) -> None:
     """Create a table from a query: replace it, or keep an existing one.
 
-    ``target`` is a path when it contains a slash, else a catalog table.
+    ``target`` is a path when it contains a slash, else a catalog table.  A folder
+    that a broken-off job left unfinished does not count as existing: it is written anew.
     """
-    writer = df.write.mode("overwrite" if replace else "ignore").format("parquet")
-    if "/" in target:
-        writer.save(target)
-    else:
-        writer.saveAsTable(target)
+    if "/" not in target:
+        df.write.mode("overwrite" if replace else "ignore").format("parquet").saveAsTable(target)
+    elif replace or not is_complete(df.sparkSession, target):
+        df.write.mode("overwrite").parquet(target)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
