@@ -253,3 +253,35 @@ def test_trees_that_are_too_deep_or_split_on_categories_are_refused():
     deep[22] = node(-1, -1, 10)
     with pytest.raises(ValueError, match="more than"):
         attribution.Leaves(deep, lambda n: n["prediction"], 1.0)
+
+
+def test_alerts_survive_a_failed_batch(spark):
+    """A batch that fails after its writes runs again under the same id; nothing is written or compared twice."""
+    draw, path, folder = random.Random(5), stage_path(spark, "arriving"), stage_path(spark, "alerts")
+    rows = spark.createDataFrame([(h * 3600, draw.gauss(h // 12, 1.0)) for h in range(72) for _ in range(5)], "sec long, value double")
+    rows = rows.select(F.timestamp_seconds("sec").alias("ts"), "value")
+    for day in range(3):
+        rows.where(F.floor(F.unix_seconds("ts") / 86400) == day).coalesce(1).write.mode("append").parquet(path)
+    edges = D.bin_edges(rows, ["value"])
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    limits, seen = {"value": 0.1}, []
+    write = monitor.alert_writer(folder, limits)
+
+    def breaks_once(df, batch_id):
+        seen.append(batch_id)
+        write(df, batch_id)
+        if seen == [0, 1]:
+            raise RuntimeError("lost after the writes")
+
+    closed = monitor.window_histograms(stream, "ts", ["value"], edges)
+    with pytest.raises(Exception, match="lost after the writes"):
+        monitor.watch(closed, folder, limits, writer=breaks_once).awaitTermination()
+    monitor.watch(closed, folder, limits, writer=breaks_once).awaitTermination()
+    assert seen[:3] == [0, 1, 1] and len(seen) >= 4
+    monitor.watch(closed, folder, limits).awaitTermination()  # nothing new: no further alert
+    got = sorted(map(tuple, monitor.read_alerts(spark, folder).select("window_start", "distance", "alert").collect()))
+    last = F.lit(71 * 3600 - 3600)
+    batch = monitor.window_histograms(rows, "ts", ["value"], edges).where(F.unix_seconds("window_start") + 21600 <= last)
+    want = sorted(map(tuple, monitor.drift_report(batch, limits).select("window_start", "distance", "alert").collect()))
+    assert len(got) == len(want) == 10 and [g[0] for g in got] == [w[0] for w in want] and [g[2] for g in got] == [w[2] for w in want]
+    assert all(abs(g[1] - w[1]) < 1e-12 for g, w in zip(got, want)) and any(g[2] for g in got)

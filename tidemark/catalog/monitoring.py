@@ -260,6 +260,64 @@ def attribution_drift(spark, sf):
     return out.select(F.unix_seconds("window_start").alias("window_epoch"), "feature", "threshold", _fits(out))
 
 
+def arriving(spark, rows, ts, batches=3):
+    """The rows as a stream of files, in order of time: one micro-batch a file folder."""
+    path = stage_path(spark, "arriving")
+    low, high = rows.agg(F.min(F.unix_seconds(F.col(ts).cast("timestamp"))), F.max(F.unix_seconds(F.col(ts).cast("timestamp")))).first()
+    part = F.least(F.floor((F.unix_seconds(F.col(ts).cast("timestamp")) - low) * batches / F.lit(max(high - low, 1))), F.lit(batches - 1))
+    for i in range(batches):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def replayed(write):
+    """Every batch handled twice, as after a failure between its writes and its commit."""
+
+    def twice(df, batch_id):
+        write(df, batch_id)
+        write(df, batch_id)
+
+    return twice
+
+
+CLOSED = "WHERE window_start + INTERVAL 6 HOURS <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
+@query(
+    "stream_drift_alerts",
+    f"""WITH {WINDOWED}, c AS (SELECT * FROM w {CLOSED}), prev AS (SELECT window_start, lag(window_start) OVER (ORDER BY window_start) AS before FROM (SELECT DISTINCT window_start FROM c)),
+a AS (SELECT prev.window_start AS feature, bin, n FROM prev JOIN c ON c.window_start = prev.before), b AS (SELECT c.window_start AS feature, bin, n FROM c JOIN prev USING (window_start) WHERE before IS NOT NULL), {DISTANCE}
+SELECT feature AS window_start, 'value' AS feature, {sql_rnd('js')} AS distance, CAST(0.01 AS DOUBLE) AS threshold, js > 0.01 AS alert FROM d""",
+)
+def stream_drift_alerts(spark, sf):
+    """Alerts written batch by batch, each batch replayed, equal those of the closed windows taken together."""
+    events, limits, folder = table(spark, sf, "events").select("ts", "value"), {"value": 0.01}, stage_path(spark, "alerts")
+    edges = stage(D.bin_edges(events, ["value"]), "edges")
+    closed = monitor.window_histograms(arriving(spark, events, "ts"), "ts", ["value"], edges)
+    monitor.watch(closed, folder, limits, writer=replayed(monitor.alert_writer(folder, limits))).awaitTermination()
+    out = monitor.read_alerts(spark, folder)
+    return out.withColumns({"distance": rnd(F.col("distance")), "window_start": F.col("window_start").cast("timestamp_ntz")})
+
+
+@query(
+    "stream_attribution_alerts",
+    f"""{merged_sql('events')}, cut AS (SELECT quantile_disc(sec, 0.7) AS q FROM merged), served AS (SELECT sec FROM merged, cut WHERE sec >= q),
+w AS (SELECT DISTINCT sec // 21600 * 21600 AS h FROM served WHERE sec // 21600 * 21600 + 21600 <= (SELECT max(sec) - 3600 FROM served)),
+steps AS (SELECT h, lag(h) OVER (ORDER BY h) AS before FROM w) SELECT CAST(h AS BIGINT) AS window_epoch, feature, threshold, TRUE AS as_batch FROM steps CROSS JOIN ({LIMITS}) WHERE before IS NOT NULL""",
+)
+def stream_attribution_alerts(spark, sf):
+    """Alerts on the monitored features' attributions in a live stream, each batch replayed, against those of the whole table."""
+    rows = assign_split(stage(P.build_features(*inputs(spark, sf, "events")), "features"))
+    served = rows.where("split <> 'training'").withColumn("at", F.timestamp_seconds(EPOCH)).drop(TARGET, "split")
+    model, folder = explained_model(rows.where("split = 'training'"), "logistic_regression"), stage_path(spark, "alerts")
+    closed = A.window_attributions(model, arriving(spark, served, "at"), "at")
+    monitor.watch(closed, folder, MONITORED, writer=replayed(monitor.alert_writer(folder, MONITORED, A.share_steps))).awaitTermination()
+    batch = A.attribution_drift(model, served, "at", MONITORED).select("window_start", "feature", F.col("distance").alias("_batch"))
+    both = monitor.read_alerts(spark, folder).join(batch, ["window_start", "feature"], "left")
+    same = F.coalesce(F.abs(F.col("distance") - F.col("_batch")) < 1e-9, F.lit(False))
+    return both.select(F.unix_seconds("window_start").alias("window_epoch"), "feature", "threshold", same.alias("as_batch"))
+
+
 LABEL_GRACE, LATE = 21600, 3607  # seconds: how long after the delay a label may come, and how late any record may be
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
@@ -142,12 +142,12 @@ def explain(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def mean_attributions(explained: DataFrame, names: list[str], by: list[str] | None = None) -> DataFrame:
+def mean_attributions(explained: DataFrame, names: list[str], by: list[Column] | None = None) -> DataFrame:
     """(by, feature, attribution): mean absolute contribution."""
-    by = by or []
-    agg = explained.groupBy(*by).agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f"a{i}") for i in range(len(names))])
+    agg = explained.groupBy(*(by or [])).agg(*[F.avg(F.abs(F.col("contributions")[i])).alias(f"a{i}") for i in range(len(names))])
     rows = [F.struct(F.lit(n).alias("feature"), F.col(f"a{i}").alias("attribution")) for i, n in enumerate(names)]
-    return agg.select(*by, F.inline(F.array(*rows)))
+    kept = [c for c in agg.columns if c not in {f"a{i}" for i in range(len(names))}]
+    return agg.select(*kept, F.inline(F.array(*rows)))
 
 
 def attributions(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -172,8 +172,21 @@ def attribution_drift(
     model: PipelineModel, df: DataFrame, ts: str, thresholds: Mapping[str, float], window: str = "6 hours"
 ) -> DataFrame:
     """Change of each feature's share between consecutive windows of served rows, against its threshold."""
-    timed = explain(model, df, [ts]).withColumn("window_start", F.window(F.col(ts).cast("timestamp"), window)["start"])
-    found = shares(mean_attributions(timed, list(model.stages[0].getInputCols()), ["window_start"]), ["window_start"])
+    return share_steps(window_attributions(model, df, ts, window), thresholds)
+
+
+def window_attributions(model: PipelineModel, df: DataFrame, ts: str, window: str = "6 hours", late: str = "1 hour") -> DataFrame:
+    """(window_start, feature, attribution) of served rows, batch or streaming; rows later than ``late`` are dropped from a stream."""
+    timed = explain(model, df, [ts]).withColumn(ts, F.col(ts).cast("timestamp"))
+    if df.isStreaming:
+        timed = timed.withWatermark(ts, late)
+    found = mean_attributions(timed, list(model.stages[0].getInputCols()), [F.window(ts, window).alias("_window")])
+    return found.select(F.col("_window.start").alias("window_start"), "feature", "attribution")
+
+
+def share_steps(found: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
+    """Change of each feature's share from one window of ``found`` to the next, against its threshold."""
+    found = shares(found, ["window_start"])
     before = F.lag("share").over(W.partitionBy("feature").orderBy("window_start"))  # one row a window and feature
     steps = found.where(F.col("feature").isin(*thresholds)).withColumn("before", before).where("before IS NOT NULL")
     return with_alerts(steps.select("window_start", "feature", F.abs(F.col("share") - F.col("before")).alias("distance")), thresholds)
