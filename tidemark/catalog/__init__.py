@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .base import ORACLES, QUERIES
-from . import basics, history, evaluation, modelling, monitoring, storage  # noqa: F401
+from . import basics, history, evaluation, modelling, monitoring, serving, storage  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

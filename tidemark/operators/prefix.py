@@ -10,7 +10,7 @@ always sees the same ones.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -96,6 +96,16 @@ def range_sums(
     )
 
 
+def mean_measures(values: Sequence[str], complete: Sequence[str] = ()) -> tuple[dict[str, Column], dict[str, str]]:
+    """What `range_mean` adds up for each value, and the name of each value's row count."""
+    measures = {f"s{i}": F.col(v) for i, v in enumerate(values)}
+    counter = {}
+    for i, v in enumerate(values):
+        counter[v] = "rows" if v in complete else f"n{i}"
+        measures[counter[v]] = F.lit(1) if v in complete else F.when(F.col(v).isNotNull(), 1).otherwise(0)
+    return measures, counter
+
+
 def range_mean(
     df: DataFrame,
     ts: str,
@@ -105,6 +115,7 @@ def range_mean(
     keys: Sequence[str] = (),
     complete: Sequence[str] = (),
     names: Mapping[tuple[str, str], str] | None = None,
+    sums: Callable[[Mapping[str, Column], Mapping[str, int]], DataFrame] | None = None,
 ) -> DataFrame:
     """Mean of each value over ``[ts - window, ts - delay]``, one row per (keys, ts).
 
@@ -112,19 +123,16 @@ def range_mean(
     between window preceding and delay preceding)``; NULL on an empty frame.  A window of
     None has no lower end.  Values are integers or decimals and stay exact; floating-point
     ones raise TypeError.  Values listed
-    in ``complete`` hold no NULL and share one row count.
+    in ``complete`` hold no NULL and share one row count.  ``sums`` may supply the totals that
+    `range_sums` would find, for instance from stored ones.
     """
     for label, width in windows.items():
         if width is not None and width < delay:
             raise ValueError(f"window {label} ends before it starts: {width} < delay {delay}")
     require_exact(df, values)
-    measures = {f"s{i}": F.col(v) for i, v in enumerate(values)}
-    counter = {}
-    for i, v in enumerate(values):
-        counter[v] = "rows" if v in complete else f"n{i}"
-        measures[counter[v]] = F.lit(1) if v in complete else F.when(F.col(v).isNotNull(), 1).otherwise(0)
+    measures, counter = mean_measures(values, complete)
     offsets = {"hi": delay, **{f"lo{j}": w + 1 for j, w in enumerate(windows.values()) if w is not None}}
-    sums = range_sums(df, ts, measures, offsets, keys)
+    found = sums(measures, offsets) if sums else range_sums(df, ts, measures, offsets, keys)
 
     def frame(measure: str, j: int, width: int | None) -> str:
         return f"{measure}_hi" if width is None else f"({measure}_hi - {measure}_lo{j})"
@@ -135,7 +143,7 @@ def range_mean(
             total, rows = frame(f"s{i}", j, width), frame(counter[v], j, width)
             name = (names or {}).get((v, label), f"{v}_{label}")
             columns.append(f"try_divide(CAST({total} AS DOUBLE), CAST({rows} AS DOUBLE)) AS `{name}`")
-    return sums.selectExpr(*[f"`{k}`" for k in keys], f"`{ts}`", *columns)
+    return found.selectExpr(*[f"`{k}`" for k in keys], f"`{ts}`", *columns)
 
 
 def running_totals(

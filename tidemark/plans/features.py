@@ -250,14 +250,14 @@ def user_ratios(df: DataFrame, fill: bool = True) -> DataFrame:
     return _add(df, columns)
 
 
-def global_rates(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY, fill: float | None = 0.0, channels: Sequence[str] = tuple(INDICATORS)) -> DataFrame:
+def global_rates(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY, fill: float | None = 0.0, channels: Sequence[str] = tuple(INDICATORS), sums=None) -> DataFrame:
     """Trailing fraud rates over all payments: one row per distinct second."""
     values = [INDICATORS[c] for c in channels]
     names = {
         (INDICATORS[c], w): f"fraud_{c}rolling_mean_{w}" for c in channels for w in RATE_WINDOWS
     }
     rates = range_mean(
-        df, ts, values, RATE_WINDOWS, delay, names=names, complete=[v for v in values if v != TARGET]
+        df, ts, values, RATE_WINDOWS, delay, names=names, complete=[v for v in values if v != TARGET], sums=sums
     )
     if fill is None:
         return rates
@@ -292,9 +292,9 @@ def channel_shares(df: DataFrame, fill: bool = True, channels: Sequence[str] = t
     return _add(df, columns)
 
 
-def fraud_rate_features(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY) -> DataFrame:
+def fraud_rate_features(df: DataFrame, ts: str = EPOCH, delay: int = FRAUD_DELAY_DAYS * DAY, sums=None) -> DataFrame:
     """Rates, ratios and shares per distinct second; computed there, not per payment."""
-    return channel_shares(rate_ratios(global_rates(df, ts, delay)))
+    return channel_shares(rate_ratios(global_rates(df, ts, delay, sums=sums)))
 
 
 def build_features(
