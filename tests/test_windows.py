@@ -1,6 +1,10 @@
 """Prefix sums and windows against hand-made tables and plain Python."""
 
+import datetime
 import random
+from decimal import Decimal
+from fractions import Fraction
+from math import ceil
 
 import pytest
 from pyspark.sql import Window as W
@@ -9,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.bands import halo_banded_window
 from tidemark.operators.joins import attach, hot_keys
 from tidemark.operators.prefix import DAY, double_levels, id_levels, range_mean, running_totals
-from tidemark.operators.quantile import approximate_quantile, discrete_quantile
+from tidemark.operators.quantile import approximate_quantile, discrete_quantile, exact_quantiles
 from tidemark.plans import features as P
 from tidemark.plans.split import assign_split, temporal_split
 
@@ -265,3 +269,32 @@ def test_floating_point_input_is_refused(spark):
             call()
     with pytest.raises(ValueError, match="widen"):
         halo_banded_window(payments(spark, [(1, 1, BASE, 8.0, 0)]), ts, {"m": ("is_fraud", 730 * DAY)}, DAY, band=60)
+
+
+@pytest.mark.parametrize("kind,draw", [
+    ("double", lambda r: r.choice([0.0, -0.0, float("inf"), float("nan"), r.choice([-1, 1]) * 10.0 ** r.uniform(-300, 300)])),
+    ("double", lambda r: r.choice([1.0, 1.0, 2.0])),
+    ("decimal(20, 4)", lambda r: Decimal(r.randrange(10**12)) / 10_000),
+    ("date", lambda r: datetime.date(2000, 1, 1) + datetime.timedelta(r.randrange(9000))),
+    ("timestamp", lambda r: datetime.datetime(2000, 1, 1, tzinfo=datetime.timezone.utc) + datetime.timedelta(seconds=r.randrange(10**8))),
+])
+def test_exact_quantiles_narrow_to_the_value(spark, kind, draw):
+    """Percentiles close to each other, ties, NaN last; few rows left at the end, so several passes run."""
+    r = random.Random(3)
+    values = [draw(r) for _ in range(2_000)]
+    percents = [0, 0.1, 33.3, 50, 50.05, 50.1, 99.9, 100]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 9, f"v {kind}").repartition(7).cache()
+    ordered = [x["v"] for x in df.where("v IS NOT NULL").sort("v").collect()]
+    got = {x["percent"]: x["value"] for x in exact_quantiles(df, "v", percents, at_end=20, precision=200).collect()}
+    for p in percents:
+        want = ordered[max(1, ceil(len(ordered) * Fraction(str(p)) / 100)) - 1]
+        assert got[p] == want or (got[p] != got[p] and want != want), (p, got[p], want)
+
+
+def test_exact_quantiles_of_nothing_and_of_text(spark):
+    df = spark.createDataFrame([(None, "a")], "v double, t string")
+    assert [tuple(x) for x in exact_quantiles(df, "v", [50]).collect()] == [(50.0, None)]
+    with pytest.raises(TypeError):
+        exact_quantiles(df, "t", [50])
+    with pytest.raises(ValueError):
+        exact_quantiles(df, "v", [101])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators.joins import attach, hot_keys
 from ..operators.prefix import range_mean, running_totals
-from ..operators.quantile import approximate_quantile, discrete_quantile
+from ..operators.quantile import approximate_quantile, discrete_quantile, exact_quantiles
 from ..plans import features as P
 from ..sources import files as IO
 from ..sources.adapters import TRANSACTIONS, cards_from_customer, table, users_from_customer
@@ -322,6 +322,29 @@ def quantile_exact(spark, sf):
     return discrete_quantile(order_seconds(spark, sf), "sec", 70)
 
 
+SKEWED = "CASE WHEN l_linenumber = 7 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice * l_extendedprice * l_extendedprice * l_discount END"
+PERCENTS = (0, 1, 25, 50, 50.1, 70, 99, 100)
+
+
+def quantiles_sql(value, kind):
+    """NaN shown as -1, since engines compare it differently."""
+    rows = [f"SELECT '{kind}' AS kind, CAST({p} AS DOUBLE) AS percent, quantile_disc({value}, {p / 100}) AS value FROM lineitem" for p in PERCENTS]
+    return f"SELECT kind, percent, CASE WHEN isnan(CAST(value AS DOUBLE)) THEN -1 ELSE {sql_rnd('value', 2)} END AS value FROM ({' UNION ALL '.join(rows)})"
+
+
+@query("quantiles_of_any_number", f"{quantiles_sql(SKEWED, 'skewed')} UNION ALL {quantiles_sql('CAST(l_extendedprice AS DECIMAL(18, 2))', 'decimal')}")
+def quantiles_of_any_number(spark, sf):
+    """Eight percentiles at once of skewed doubles with NaN and of decimals, in narrowing passes."""
+    df = table(spark, sf, "lineitem")
+    columns = {"skewed": F.expr(SKEWED), "decimal": F.col("l_extendedprice").cast("decimal(18, 2)")}
+    out = None
+    for kind, value in columns.items():
+        found = exact_quantiles(df.select(value.alias("v")), "v", PERCENTS, at_end=1_000)
+        shown = found.select(F.lit(kind).alias("kind"), "percent", F.when(F.isnan(F.col("value").cast("double")), F.lit(-1.0)).otherwise(rnd(F.col("value"), 2)).alias("value"))
+        out = shown if out is None else out.unionByName(shown)
+    return out
+
+
 @query("quantile_approx")
 def quantile_approx(spark, sf):
     return approximate_quantile(order_seconds(spark, sf), "sec", 70)
