@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import shared_dir, stage, stage_path
 from tidemark.sources import files as IO
+from tidemark.sources import versions
 
 
 def test_ordinal_follows_files_and_splits(spark):
@@ -142,3 +143,30 @@ def test_an_unfinished_folder_is_no_table(spark, tmp_path):
     assert IO.read_table(spark, target).count() == 3
     IO.save_as(spark.range(9), target)
     assert IO.read_table(spark, target).count() == 9
+
+
+def test_a_failed_write_leaves_the_old_rows(spark):
+    target = stage_path(spark, "versions")
+    broken = spark.range(100).select(F.when(F.col("id") < 50, F.col("id")).otherwise(F.raise_error(F.lit("killed")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="killed"):
+        IO.save_as(broken, target, versioned=True)
+    assert not IO.table_exists(spark, target)
+    IO.save_as(spark.range(3), target, replace=False, versioned=True)
+    old = IO.read_table(spark, target)
+    with pytest.raises(Exception, match="killed"):
+        IO.save_as(broken, target, versioned=True)
+    assert IO.read_table(spark, target).count() == 3
+    IO.save_as(old.select((F.col("id") + 7).alias("id")), target)  # reads what it replaces, and stays versioned
+    assert old.count() == 3 and {r["id"] for r in IO.read_table(spark, target).collect()} == {7, 8, 9}
+    IO.save_as(spark.range(9), target, replace=False)
+    assert IO.read_table(spark, target).count() == 3
+
+
+def test_old_versions_go_and_the_current_one_stays(spark):
+    target = stage_path(spark, "versions")
+    assert versions.current(spark, target) is None
+    for n in range(1, 4):
+        versions.publish(spark.range(n), target)
+    assert versions.drop_old(spark, target, older_than_hours=1) == 0
+    assert versions.drop_old(spark, target, older_than_hours=-1) == 2
+    assert IO.read_table(spark, target).count() == 3 and versions.drop_old(spark, target, -1) == 0

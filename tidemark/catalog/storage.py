@@ -141,6 +141,19 @@ def replace_or_keep(spark, sf):
     return IO.read_table(spark, target)
 
 
+@query("replaced_in_one_step", "SELECT c_custkey, 'second' AS written, count(*) OVER () AS before FROM customer")
+def replaced_in_one_step(spark, sf):
+    """A table computed from its own old rows; a reader from before still sees them, and kept rows stay."""
+    df = table(spark, sf, "customer").select("c_custkey")
+    target = stage_path(spark, "versions")
+    IO.save_as(df.withColumn("written", F.lit("first")), target, versioned=True)
+    old = IO.read_table(spark, target)
+    IO.save_as(old.withColumn("written", F.lit("second")), target, versioned=True)
+    IO.save_as(df.withColumn("written", F.lit("third")), target, replace=False)
+    before = old.where("written = 'first'").count()
+    return IO.read_table(spark, target).withColumn("before", F.lit(before).cast("bigint"))
+
+
 @query(
     "clustered_scan",
     "SELECT l_suppkey, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS keys FROM lineitem WHERE l_suppkey BETWEEN 3 AND 7 GROUP BY 1",

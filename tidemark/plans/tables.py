@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schema import EPOCH
-from ..sources.files import clustered, is_complete, read_table, save_as
+from ..sources.files import clustered, read_table, save_as, table_exists
 from .features import build_features
 from .split import temporal_split
 
@@ -19,10 +19,6 @@ def targets(root: str) -> dict[str, str]:
     return {name: f"{root.rstrip('/')}/{name}" for name in NAMES}
 
 
-def _missing(spark: SparkSession, target: str) -> bool:
-    return not (is_complete(spark, target) if "/" in target else spark.catalog.tableExists(target))
-
-
 def write_tables(
     spark: SparkSession,
     where: Mapping[str, str],
@@ -39,15 +35,15 @@ def write_tables(
 
     ``where`` names a path or catalog table for each of ``NAMES``.  Without ``replace`` finished
     tables are kept, and nothing is computed if all four are there; splits of a feature
-    table that is built anew are built anew as well.
+    table that is built anew are built anew as well.  Each path is replaced in one step: read it by `read_table`.
     """
-    due = {name for name in NAMES if replace or _missing(spark, where[name])}
+    due = {name for name in NAMES if replace or not table_exists(spark, where[name])}
     if "features" in due:
         due = set(NAMES)
         built = build_features(transactions, users, cards, holidays, **options)
-        save_as(clustered(built, [EPOCH]), where["features"])
+        save_as(clustered(built, [EPOCH]), where["features"], versioned=True)
     if due - {"features"}:
         splits = temporal_split(read_table(spark, where["features"]), valid, test)
         for name, part in zip(NAMES[1:], splits):
             if name in due:
-                save_as(part, where[name])
+                save_as(part, where[name], versioned=True)

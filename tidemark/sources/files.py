@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from .. import schema as K
 from ..functions.scalars import yes_no
 from ..session import stage
+from . import versions
 from .holidays import us_holidays
 
 FORMATS = ("csv", "parquet", "jsonl")
@@ -125,20 +126,32 @@ def read_cards(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def save_as(df: DataFrame, target: str, replace: bool = True) -> None:
+def save_as(df: DataFrame, target: str, replace: bool = True, versioned: bool = False) -> None:
     """Create a table from a query: replace it, or keep an existing one.
 
     ``target`` is a path when it contains a slash, else a catalog table.  A folder
-    that a broken-off job left unfinished does not count as existing: it is written anew.
+    that a broken-off job left unfinished does not count as existing: it is written anew.  ``versioned`` replaces
+    in one step (see `versions`), so that the old rows can be read, also by the query itself, until the new
+    ones are complete; a folder once written so is always written so, and read by `read_table`.
     """
     if "/" not in target:
         df.write.mode("overwrite" if replace else "ignore").format("parquet").saveAsTable(target)
-    elif replace or not is_complete(df.sparkSession, target):
-        df.write.mode("overwrite").parquet(target)
+    elif replace or not table_exists(df.sparkSession, target):
+        if versioned or versions.current(df.sparkSession, target):
+            versions.publish(df, target)
+        else:
+            df.write.mode("overwrite").parquet(target)
+
+
+def table_exists(spark: SparkSession, target: str) -> bool:
+    """Whether a finished table is there."""
+    if "/" not in target:
+        return spark.catalog.tableExists(target)
+    return versions.current(spark, target) is not None or is_complete(spark, target)
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target) if "/" in target else spark.table(target)
+    return spark.read.parquet(versions.current(spark, target) or target) if "/" in target else spark.table(target)
 
 
 def load_files(spark: SparkSession, path: str, target: str, fmt: str = "csv", schema: T.StructType | None = None, predictions: bool = False) -> DataFrame:
