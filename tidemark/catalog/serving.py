@@ -29,7 +29,7 @@ def appended_days(spark, sf):
     transactions, *others = inputs(spark, sf, "events")
     old = f"Day <= 27 AND NOT {LATE}"
     first, late, last = parts(spark, sf, old, f"Day = 28 OR {LATE}", "Day > 28")
-    table = P.build_features(transactions.where(old), *others)
+    table = stage(P.build_features(transactions.where(old), *others), "features")
     table, known = V.append_payments(table, first, [V.totals(first)], late)
     table, _ = V.append_payments(stage(table, "features"), first.unionByName(late), known, last)
     return rounded(table, (ROW_ID, EPOCH, TARGET))

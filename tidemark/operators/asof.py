@@ -72,14 +72,11 @@ def totals_as_of(
     instants = probes.where(F.col(ts).isNotNull()).select(*_packed(keys), F.col(ts).alias("_ts")).distinct()
     moved = instants.select("*", F.explode(moves).alias("_move")).withColumn("_probe", F.col("_ts") - F.col("_move.shift"))
     key = ["_key"] if keys else []
-    for i, table in enumerate(tables):
-        packed = table.select(*_packed(keys), F.col(ts).alias("_at"), *measures)
-        found = as_of(moved, packed, "_probe", "_at", measures, key)
-        moved = attach(moved, found.withColumnsRenamed({m: f"_{m}_{i}" for m in measures}), [*key, "_probe"])
-
-    def total(m: str) -> Column:
-        return reduce(lambda a, b: a + b, [F.coalesce(F.col(f"_{m}_{i}"), F.lit(0)) for i in range(len(tables))])
-
-    sums = [F.max(F.when(F.col("_move.kind") == i, total(m))).alias(f"{m}_{k}") for i, k in enumerate(kinds) for m in measures]
-    out = moved.groupBy(*key, "_ts").agg(*sums)
+    # All tables in one pass, each with probes of its own: the plan does not grow with their number.
+    moved = moved.withColumn("_table", F.explode(F.array(*[F.lit(i) for i in range(len(tables))])))
+    stored = [t.select(*_packed(keys), F.lit(i).alias("_table"), F.col(ts).alias("_at"), *measures) for i, t in enumerate(tables)]
+    found = as_of(moved, reduce(DataFrame.unionByName, stored), "_probe", "_at", measures, [*key, "_table"])
+    joined = attach(moved, found, [*key, "_table", "_probe"])
+    sums = [F.coalesce(F.sum(F.when(F.col("_move.kind") == i, F.col(m))), F.lit(0)).alias(f"{m}_{k}") for i, k in enumerate(kinds) for m in measures]
+    out = joined.groupBy(*key, "_ts").agg(*sums)
     return out.select(*[F.col(f"_key.`{k}`").alias(k) for k in keys], F.col("_ts").alias(ts), *[f"{m}_{k}" for k in kinds for m in measures])

@@ -58,7 +58,7 @@ def totals(merged: DataFrame, labelled: bool = True) -> Totals:
 def _user_history(rows: DataFrame, known: Sequence[Totals], peers: DataFrame) -> DataFrame:
     """User features of timed rows; ``peers`` are all payments of the same users and seconds, the rows among them."""
     offsets = {"now": 1, **{label: d * DAY + 1 for label, d in USER_WINDOWS.items()}}
-    sums = totals_as_of(rows, [t.users for t in known], EPOCH, HISTORY, offsets, ["user"])
+    sums = stage(totals_as_of(rows, [t.users for t in known], EPOCH, HISTORY, offsets, ["user"]), "user-sums")
     steps = {
         "_sum": F.coalesce(F.col("amount"), F.lit(0)),
         "_n": F.when(F.col("amount").isNotNull(), 1).otherwise(0),
@@ -98,7 +98,10 @@ def features_as_of(
     labelled = [t for t in known if t.rates is not None]
 
     def stored(part: str, keys: list[str]):
-        return lambda measures, offsets: totals_as_of(rows, [getattr(t, part) for t in labelled], EPOCH, list(measures), offsets, keys)
+        def sums(measures, offsets):
+            return stage(totals_as_of(rows, [getattr(t, part) for t in labelled], EPOCH, list(measures), offsets, keys), f"{part}-sums")
+
+        return sums
 
     means = range_mean(
         rows, EPOCH, [TARGET], {"": None}, delay, keys=["mcc"], names={(TARGET, ""): "mcc_mean_encoding"}, sums=stored("categories", ["mcc"])
