@@ -285,3 +285,24 @@ def test_alerts_survive_a_failed_batch(spark):
     want = sorted(map(tuple, monitor.drift_report(batch, limits).select("window_start", "distance", "alert").collect()))
     assert len(got) == len(want) == 10 and [g[0] for g in got] == [w[0] for w in want] and [g[2] for g in got] == [w[2] for w in want]
     assert all(abs(g[1] - w[1]) < 1e-12 for g, w in zip(got, want)) and any(g[2] for g in got)
+
+
+def test_training_rows_are_dealt_evenly_whatever_the_files(spark, monkeypatch):
+    """One file and one partition must not become one task's cache."""
+    lumps = spark.range(4000).coalesce(1).selectExpr("id", "id * 1.0D AS x")
+    monkeypatch.setattr(T, "TASK_BYTES", 1600)
+    sizes = [n for n in T.balanced(lumps, 4000, 2).rdd.glom().map(len).collect()]
+    assert len(sizes) == 40 and max(sizes) <= 2 * 4000 / 40
+
+
+def test_candidates_share_their_vectors(spark, rows, monkeypatch):
+    """The splits are assembled once, not once a candidate."""
+    names, made = ["logistic_regression", "random_forest"], []
+    plain = T.assembled
+    monkeypatch.setattr(T, "assembled", lambda *a: made.append(a[0]) or plain(*a))
+    recipe = T.Recipe(params={"random_forest": {"n_estimators": 2}})
+    models, scored = T.train_candidates(names, rows, rows, rows, FEATURES, recipe=recipe)
+    assert len(made) == 3 and set(models) == set(names)
+    whole = T.score_splits(models, {"testing": rows}).select("model", "transaction_id", F.col("fraud_probability").alias("p"))
+    both = scored.where("split = 'testing'").join(whole, ["model", "transaction_id"])
+    assert both.count() == 1200 and both.where("abs(fraud_probability - p) > 1e-12").count() == 0

@@ -22,6 +22,7 @@ from ..session import stage
 from ..sources.files import read_table, save_as
 from .huber import fit_modified_huber
 
+TASK_BYTES = 128 << 20  # of input vectors that one training task keeps
 SCALINGS = ("standard", "min_max", "none")
 MODELS = ("logistic_regression", "sgd_classifier", "random_forest", "xgboost", "lightgbm")
 
@@ -100,6 +101,24 @@ def make_scaler(scaling: str, input_col: str = "assembled", output_col: str = "f
     raise ValueError(f"scaling must be one of {SCALINGS}, not {scaling!r}")
 
 
+def make_assembler(features: Sequence[str], scaling: str) -> VectorAssembler:
+    output = "features" if scaling == "none" else "assembled"
+    return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="error")
+
+
+def assembled(df: DataFrame, features: Sequence[str], label: str, row_id: str, scaling: str) -> DataFrame:
+    """Id, label and input vector of every row, written once: later passes read one vector, not every column."""
+    made = make_assembler(features, scaling)
+    typed = df.select(f"`{row_id}`", f"`{label}`", *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
+    return stage(made.transform(typed).select(f"`{row_id}`", f"`{label}`", made.getOutputCol()), "vectors")
+
+
+def balanced(rows: DataFrame, count: int, width: int) -> DataFrame:
+    """Rows dealt evenly: a task keeps its rows over all iterations, and a file's size says little about them."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-count * width * 8 // TASK_BYTES))
+    return rows.repartition(tasks)
+
+
 def train(
     name: str,
     training: DataFrame,
@@ -114,40 +133,58 @@ def train(
     The scaler is fitted on the original training rows, the classifier on the
     rebalanced ones; boosters stop by the validation rows when there are any.
     """
+    return _train(name, training, features, valid, label, row_id, recipe)[:2]
+
+
+def _train(
+    name: str,
+    training: DataFrame,
+    features: Sequence[str],
+    valid: DataFrame | None,
+    label: str,
+    row_id: str,
+    recipe: Recipe,
+    vectors: Mapping[str, DataFrame] | None = None,
+) -> tuple[PipelineModel, DataFrame, DataFrame]:
+    """Model, rows seen, and their vectors; ``vectors`` may hold the assembled training and validation rows."""
     if name not in MODELS:
         raise ValueError(f"model must be one of {MODELS}, not {name!r}")
     scaler = make_scaler(recipe.scaling)
     doubles = [f"CAST(`{f}` AS DOUBLE) AS `{f}`" for f in features]
+    steer = recipe.use_validation and valid is not None and name in ("xgboost", "lightgbm")
 
-    def columns(df: DataFrame) -> DataFrame:
-        return df.selectExpr(f"`{row_id}`", *doubles, f"CAST(`{label}` AS INT) AS `{label}`")
+    def vectors_of(split: str, df: DataFrame) -> DataFrame:
+        return vectors[split] if vectors else assembled(df, features, label, row_id, recipe.scaling)
 
-    training = columns(training)
-    assembler = VectorAssembler(
-        inputCols=list(features), outputCol="assembled" if scaler else "features", handleInvalid="error"
-    )
+    assembler = make_assembler(features, recipe.scaling)
+    output = assembler.getOutputCol()
     stages = [assembler]
-    if scaler:
-        stages.append(scaler.fit(assembler.transform(training)))
-    seen = resample(
-        training, features, label, row_id, recipe.sampling, recipe.share, recipe.shrinkage, recipe.seed, recipe.copies
-    )
-    if recipe.sampling != "none":
+    typed = training.selectExpr(f"`{row_id}`", *doubles, f"CAST(`{label}` AS INT) AS `{label}`")
+    seen = resample(typed, features, label, row_id, recipe.sampling, recipe.share, recipe.shrinkage, recipe.seed, recipe.copies)
+    plain = vectors_of("training", training) if scaler or recipe.sampling == "none" else None
+    if recipe.sampling == "none":
+        ready = plain
+    else:
         seen = stage(seen, "resampled")
-    prepared = PipelineModel(stages)
-    counts = seen.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p")).first()
+        ready = assembled(seen, features, label, row_id, recipe.scaling)
+    if scaler:
+        stages.append(scaler.fit(plain.select(output)))
+    own = ready.select(output, F.col(label).cast("int").alias(label))
+    counts = own.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p")).first()
     params = {**DEFAULT_PARAMS.get(name, {}), **recipe.params.get(name, {})}
-    steer = recipe.use_validation and valid is not None and name in ("xgboost", "lightgbm")
-    rows = seen.withColumn("_valid", F.lit(False))
+    rows, count = own.withColumn("_valid", F.lit(False)), counts["n"]
     if steer:
-        rows = rows.unionByName(columns(valid).withColumn("_valid", F.lit(True)))
-    rows = prepared.transform(rows).withColumn("weight", class_weight(name, label, counts["p"] or 0, counts["n"], params))
+        steering = vectors_of("validation", valid).select(output, F.col(label).cast("int").alias(label))
+        rows, count = rows.unionByName(steering.withColumn("_valid", F.lit(True))), count + steering.count()
+    if name != "sgd_classifier":  # which keeps no rows
+        rows = balanced(rows, count, len(features))
+    rows = PipelineModel(stages[1:]).transform(rows).withColumn("weight", class_weight(name, label, counts["p"] or 0, counts["n"], params))
     if name == "sgd_classifier":
         found = fit_modified_huber(rows, label, params["alpha"], params["max_iter"], params["tol"])
-        return PipelineModel([*stages, *found.stages]), seen
+        return PipelineModel([*stages, *found.stages]), seen, ready
     estimator = make_estimator(name, label, params, counts["n"], "_valid" if steer else None)
     fitted = estimator.fit(rows.select("features", label, "weight", "_valid"))
-    return PipelineModel([*stages, fitted]), seen
+    return PipelineModel([*stages, fitted]), seen, ready
 
 
 def _positive_probability(df: DataFrame) -> Column:
@@ -221,11 +258,17 @@ def train_side_by_side(
     """
     spark = training.sparkSession
 
+    def prepare() -> dict[str, DataFrame]:
+        """The vectors that all candidates share."""
+        parts = {"training": training, "validation": valid, "testing": test}
+        return {split: assembled(df, features, label, row_id, recipe.scaling) for split, df in parts.items()}
+
     def one(name: str) -> tuple[PipelineModel, DataFrame]:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
-        model, seen = train(name, training, features, valid, label, row_id, recipe)
-        splits = {"training_resampled": seen, "training": training, "validation": valid, "testing": test}
-        part = stage(score_splits({name: model}, splits, label, row_id), "scored")
+        vectors = shared.result()
+        model, _, seen = _train(name, training, features, valid, label, row_id, recipe, vectors)
+        splits = {"training_resampled": seen, **vectors}
+        part = stage(score_splits({name: PipelineModel(model.stages[1:])}, splits, label, row_id), "scored")
         if folder:
             model.write().overwrite().save(f"{folder.rstrip('/')}/{name}")
         return model, part
@@ -233,6 +276,7 @@ def train_side_by_side(
     models, parts, failed = {}, [], {}
     with ThreadPoolExecutor(max(1, together)) as pool:
         # Each thread inherits this one's properties (job group, session settings).
+        shared = pool.submit(inheritable_thread_target(spark)(prepare))  # first in the queue, so no candidate waits in vain
         running = {name: pool.submit(inheritable_thread_target(spark)(one), name) for name in dict.fromkeys(names)}
         for name, future in running.items():
             try:
