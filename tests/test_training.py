@@ -306,3 +306,17 @@ def test_candidates_share_their_vectors(spark, rows, monkeypatch):
     whole = T.score_splits(models, {"testing": rows}).select("model", "transaction_id", F.col("fraud_probability").alias("p"))
     both = scored.where("split = 'testing'").join(whole, ["model", "transaction_id"])
     assert both.count() == 1200 and both.where("abs(fraud_probability - p) > 1e-12").count() == 0
+
+
+def test_huber_margins_need_no_row_expressions(spark, monkeypatch):
+    """Steps take margins from the fitted models, also after a shortened one."""
+    rng = random.Random(5)
+    data = [(Vectors.dense([rng.gauss(2 * y, 1.5), rng.gauss(0, 1)]), y) for y in (0, 1) for _ in range(300)]
+    rows = spark.createDataFrame(data, ["features", "label"])
+    monkeypatch.setattr(huber, "linear", None)
+    monkeypatch.setattr(huber, "STEPS", (0.7, *huber.STEPS[1:]))
+    found = huber.fit_modified_huber(rows, "label", 1e-4, 60)
+    monkeypatch.undo()
+    table = huber.prepared(rows, "label")
+    assert found.steps > 2
+    assert abs(huber.gradient(table, found.model.coefficients.toArray(), found.model.intercept, 1e-4)).max() < 1e-3

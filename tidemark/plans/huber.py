@@ -8,7 +8,8 @@ line.  So a Newton step is one weighted least-squares fit: weight 1 and target y
 above, and below a target that gives the line's slope and a small curvature.  MLlib solves it
 from one aggregation of the normal equations; a second aggregation finds the losses at
 eight step lengths and the slope along the step.  When the set of rows in the middle stops
-changing, so does the solution.  No row leaves the executors.
+changing, so does the solution.  Margins come from the fitted models themselves: the weights between two
+steps are a mix of those fitted so far.  No row leaves the executors.
 """
 
 from __future__ import annotations
@@ -79,16 +80,27 @@ def gradient(rows: DataFrame, weights: Sequence[float], intercept: float, alpha:
     return np.array(sums, dtype=float) + alpha * np.append(np.asarray(weights, dtype=float), 0.0)
 
 
+def _with_margin(rows: DataFrame, mix: Sequence[tuple[float, LinearRegressionModel]]) -> DataFrame:
+    """Adds ``_now``, the margin of a mix of fitted models (0 for an empty one)."""
+    kept, total = rows.columns, F.lit(0.0)
+    for i, (share, model) in enumerate(mix):
+        rows = model.transform(rows).withColumnRenamed("margin", f"_m{i}")
+        total = total + F.lit(float(share)) * F.col(f"_m{i}")
+    return rows.select(*kept, total.alias("_now"))
+
+
 def fit_modified_huber(rows: DataFrame, label: str, alpha: float = 1e-4, max_iter: int = 1000, tol: float = 1e-3) -> HuberFit:
     """``rows`` holds ``features`` and a 0/1 label.  Stops when the slope along the Newton step is below ``tol`` / 100 000 of the loss."""
-    rows = prepared(rows, label)
-    head = rows.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
-    if not head["n"]:
+    sign = (F.col(label).cast("double") * 2 - 1).alias("y")
+    rows = stage(rows.select("features", sign), "margins")
+    n, first = rows.count(), rows.first()
+    if not n:
         raise ValueError("no rows to fit")
-    n, w, b = head["n"], np.zeros(head["d"]), 0.0
-    y, x = F.col("y"), F.col("x")
+    w, y, now = np.zeros(first["features"].size), F.col("y"), F.col("_now")
+    mix: list[tuple[float, LinearRegressionModel]] = []  # shares of fitted models in the weights of this step
+    stored = rows
     for step in range(1, max_iter + 1):
-        now = linear(x, w, b)
+        rows = _with_margin(stored, mix)
         margin = y * now
         target = F.when(margin < -1, now + 2.0 / BEND * y).otherwise(y)
         weight = F.when(margin < -1, F.lit(BEND)).otherwise((margin < 1).cast("double"))
@@ -106,8 +118,8 @@ def fit_modified_huber(rows: DataFrame, label: str, alpha: float = 1e-4, max_ite
             tol=1e-14, maxIter=10_000,  # met on the driver, over the sums, where a column is constant
         )
         model = solver.fit(asked)
-        goal, goal_b = model.coefficients.toArray(), model.intercept
-        along = rows.select(y.alias("y"), now.alias("f"), (linear(x, goal, goal_b) - now).alias("d"))
+        goal = model.coefficients.toArray()
+        along = model.transform(rows).select(y.alias("y"), now.alias("f"), (F.col("margin") - now).alias("d"))
         f, d, y_ = F.col("f"), F.col("d"), F.col("y")
         found = along.agg(
             F.avg(modified_huber(y_ * f)).alias("loss"), F.avg(_slope(y_ * f) * y_ * d).alias("slope"),
@@ -121,5 +133,7 @@ def fit_modified_huber(rows: DataFrame, label: str, alpha: float = 1e-4, max_ite
         best = min(range(len(STEPS)), key=lambda i: at[i])
         if at[best] >= loss:
             break
-        w, b = w + STEPS[best] * (goal - w), b + STEPS[best] * (goal_b - b)
+        t = STEPS[best]
+        w = w + t * (goal - w)
+        mix = [*((share * (1 - t), m) for share, m in mix if t < 1), (t, model)]
     return HuberFit(model, at[0], slope, step)
