@@ -122,3 +122,13 @@ def test_listed_order_settles_ties(spark):
     rows = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.1)], "model string, m double")
     assert M.select_best(rows, "m", names=["c", "b", "a"]).first()["model"] == "b"
     assert M.select_best(rows, "m").first()["model"] == "a"
+
+
+def test_evaluate_counts_scores_once(spark, monkeypatch):
+    """Rows without a label rank but are no positives; both rankings read one table of counts."""
+    rows = [(1, None, 0.9, 1), (2, 1, 0.8, 1), (3, 0, 0.7, 1), (4, 1, 0.7, 0), (5, None, 0.6, 0), (6, 0, None, 0)]
+    df = spark.createDataFrame(rows, "row_id int, is_fraud int, score double, prediction int")
+    want = (M.ranking_metrics(df, "is_fraud", "score").first(), M.precision_at_k(df, "is_fraud", "score", 3, tie="row_id").first())
+    monkeypatch.setattr(M, "threshold_counts", None)
+    got = M.evaluate(df, k=3, tie="row_id").first()
+    assert (got["average_precision"], got["roc_auc"], got["precision_top_3"]) == (*want[0], *want[1])

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .joins import attach
 from .prefix import double_levels, id_levels, running_totals
 
@@ -28,6 +29,20 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
+def _levels(scored: DataFrame, label: str, score: str) -> DataFrame:
+    """One row per group ``_key`` and distinct score, written once for all metrics: the counts of `threshold_counts`, and rows without a label."""
+    known = F.col(label).isNotNull()
+    present = scored.where(F.col(score).isNotNull())
+    per_score = present.groupBy("_key", score).agg(
+        F.coalesce(F.sum(F.col(label).cast("bigint")), F.lit(0)).alias("pos"), F.count_if(known).alias("rows"), F.count_if(~known).alias("blank")
+    )
+    per_score = per_score.withColumn("neg", F.col("rows") - F.col("pos")).drop("rows")
+    falling = -F.col(score).cast("double")
+    out = running_totals(per_score, double_levels(falling), [falling], {n: F.col(n) for n in ("pos", "neg", "blank")}, ["_key"])
+    up_to = [(F.col(f"{n}_before") + F.col(n)).alias(a) for n, a in (("pos", "tp"), ("neg", "fp"), ("blank", "unlabelled"))]
+    return stage(out.select("_key", F.col(score).alias("threshold"), "pos", "neg", "blank", *up_to), "thresholds")
+
+
 def threshold_counts(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score: positives and negatives at it, and at or above it.
 
@@ -75,14 +90,17 @@ def confusion_metrics(scored: DataFrame, label: str, prediction: str, by: Sequen
     )
 
 
-def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str] = (), levels: DataFrame | None = None) -> DataFrame:
     """Average precision (step sum over distinct scores) and ROC AUC (ties count half).
 
     Average precision is 0 without positives; the AUC of one class alone is NULL.
     """
     scored, keys = _grouped(scored, by)
     # The keys travel as one struct, so a NULL group is a group like any other.
-    counts = threshold_counts(scored.select(F.struct(*keys).alias("_key"), label, score), label, score, ["_key"])
+    if levels is None:
+        counts = threshold_counts(scored.select(F.struct(*keys).alias("_key"), label, score), label, score, ["_key"])
+    else:
+        counts = levels.where("pos + neg > 0")
     # Twice the number of correctly ordered pairs; exact in 38 digits.
     pairs = F.col("neg").cast("decimal(18,0)") * (F.col("tp") * 2 - F.col("pos")).cast("decimal(19,0)")
     sums = counts.groupBy("_key").agg(
@@ -98,7 +116,9 @@ def ranking_metrics(scored: DataFrame, label: str, score: str, by: Sequence[str]
     )
 
 
-def precision_at_k(scored: DataFrame, label: str, score: str, k: int = 200, by: Sequence[str] = (), tie: str | None = None) -> DataFrame:
+def precision_at_k(
+    scored: DataFrame, label: str, score: str, k: int = 200, by: Sequence[str] = (), tie: str | None = None, levels: DataFrame | None = None
+) -> DataFrame:
     """Share of positives among the k highest scores, always divided by k.
 
     ``tie``, an integer column, orders equal scores; without it the negatives
@@ -108,7 +128,11 @@ def precision_at_k(scored: DataFrame, label: str, score: str, k: int = 200, by:
     scored, keys = _grouped(scored, by)
     scored = scored.where(F.col(score).isNotNull()).withColumn(label, F.coalesce(F.col(label).cast("bigint"), F.lit(0)))
     keyed = scored.select(F.struct(*keys).alias("_key"), label, score, *([tie] if tie else []))
-    levels = threshold_counts(keyed, label, score, ["_key"]).withColumn("above", F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg"))
+    if levels is None:
+        levels = threshold_counts(keyed, label, score, ["_key"])
+    else:  # a row without a label is none of the positives
+        levels = levels.withColumns({"neg": F.col("neg") + F.col("blank"), "fp": F.col("fp") + F.col("unlabelled")})
+    levels = levels.withColumn("above", F.col("tp") + F.col("fp") - F.col("pos") - F.col("neg"))
     levels = levels.where(F.col("above") < k)
     whole = F.col("above") + F.col("pos") + F.col("neg") <= k
     sure = levels.groupBy("_key").agg(F.coalesce(F.sum(F.when(whole, F.col("pos"))), F.lit(0)).alias("hits"))
@@ -154,11 +178,12 @@ def evaluate(
     k: int = 200,
     tie: str | None = None,
 ) -> DataFrame:
-    """All scalar metrics, one row per group."""
+    """All scalar metrics, one row per group.  The counts by score are found once."""
     scored, keys = _grouped(scored, by)
+    levels = _levels(scored.select(F.struct(*keys).alias("_key"), label, score), label, score)
     out = confusion_metrics(scored, label, prediction, keys)
-    out = attach(out, ranking_metrics(scored, label, score, keys), keys, null_safe=keys)
-    out = attach(out, precision_at_k(scored, label, score, k, keys, tie), keys, null_safe=keys)
+    out = attach(out, ranking_metrics(scored, label, score, keys, levels), keys, null_safe=keys)
+    out = attach(out, precision_at_k(scored, label, score, k, keys, tie, levels), keys, null_safe=keys)
     return out if by else out.drop(_ONE)
 
 
