@@ -320,3 +320,15 @@ def test_huber_margins_need_no_row_expressions(spark, monkeypatch):
     table = huber.prepared(rows, "label")
     assert found.steps > 2
     assert abs(huber.gradient(table, found.model.coefficients.toArray(), found.model.intercept, 1e-4)).max() < 1e-3
+
+
+def test_a_large_micro_batch_has_several_files(spark, monkeypatch):
+    from tidemark.catalog import monitoring
+
+    monkeypatch.setattr(monitoring, "FILE_ROWS", 1000)
+    at = spark.range(9000).select("id", F.timestamp_seconds("id").alias("at"))
+    stream = monitoring.arriving(spark, at, "at")
+    out, seen = stage_path(spark, "out"), []
+    stream.writeStream.foreachBatch(lambda df, i: seen.append(df.agg(F.min("id"), F.max("id"), F.count("*")).first())).option("checkpointLocation", out).trigger(availableNow=True).start().awaitTermination()
+    assert [tuple(r) for r in seen] == [(0, 2999, 3000), (3000, 5999, 3000), (6000, 8999, 3000)]
+    assert monitoring.files_each([3000] * 3, 3) == 3 and monitoring.files_each([5, 9000, 9000], 3) == 1

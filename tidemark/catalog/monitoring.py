@@ -260,14 +260,26 @@ def attribution_drift(spark, sf):
     return out.select(F.unix_seconds("window_start").alias("window_epoch"), "feature", "threshold", _fits(out))
 
 
+FILE_ROWS = 200_000
+
+
+def files_each(counts, batches):
+    """Files of every batch: as the largest needs, but no more than the smallest fills (an empty task leaves no file)."""
+    if len(counts) < batches:
+        return 1
+    return max(1, min(-(-max(counts) // FILE_ROWS), min(counts) // 1000))
+
+
 def arriving(spark, rows, ts, batches=3):
-    """The rows as a stream of files, in order of time: one micro-batch a file folder."""
+    """The rows as a stream of files, in order of time: one micro-batch a write, whose files hold at most about ``FILE_ROWS`` rows."""
     path = stage_path(spark, "arriving")
     low, high = rows.agg(F.min(F.unix_seconds(F.col(ts).cast("timestamp"))), F.max(F.unix_seconds(F.col(ts).cast("timestamp")))).first()
     part = F.least(F.floor((F.unix_seconds(F.col(ts).cast("timestamp")) - low) * batches / F.lit(max(high - low, 1))), F.lit(batches - 1))
+    files = files_each([r["count"] for r in rows.where(part.isNotNull()).groupBy(part.alias("part")).count().collect()], batches)
     for i in range(batches):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        batch = rows.where(part == i)
+        (batch.repartition(files) if files > 1 else batch.coalesce(1)).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def replayed(write):
