@@ -595,3 +595,13 @@ def test_texts_without_letters_are_undetermined(spark):
     found = langid.classify(spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string"), langid.fit(table)).collect()
     assert {odd[r.doc_id] for r in found if r.lang_pred == "und"} == {"½ ① ²", "123 456", "_", "Ⅷ", "", None, "٣٤"}
     assert {r.score for r in found if r.lang_pred == "und"} == {0.0}
+
+
+def test_jaccard_parts_grow_with_the_postings(spark, whole, monkeypatch):
+    """A part holds a bounded number of postings on average, whatever the number of shuffle partitions."""
+    want = sorted(map(str, jaccard.near_groups(whole).collect()))
+    counts, plain = [], jaccard.shared_lists
+    monkeypatch.setattr(jaccard, "PART", 500)
+    monkeypatch.setattr(jaccard, "shared_lists", lambda packed, count: counts.append((count, packed.select("part").distinct().count())) or plain(packed, count))
+    assert sorted(map(str, jaccard.near_groups(whole).collect())) == want
+    assert counts[0][0] > 4 and counts[0][1] > 4  # the session has four partitions

@@ -43,6 +43,7 @@ from .text import mix, narrow, owners, pack_arrays, parts, slices, split_by, unp
 
 WORDS, THRESHOLD = 5, 80  # shingle length; least similarity in hundredths
 GROUP = 4_000_000  # postings that one task searches at once
+PART = 1_000_000  # postings of a part, on average; a task unpacks one part at a time
 CHUNK = 1_500_000  # shingles a task gathers before it sends them on
 MU = 0.0085  # cost of merging against probing, in DivideSkip's choice of long lists
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -112,6 +113,11 @@ def set_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, f"id {kind}, n_shingles bigint, sig bigint, digest bigint")
 
 
+def part_count(spark, postings_: int, part: int | None = None) -> int:
+    """Parts of the inverted lists: their number grows with the postings, so a part does not."""
+    return max(parts(spark), -(-postings_ // (part or PART)))
+
+
 def _rows(parts_) -> pa.RecordBatch:
     keys, blobs = [], []
     for key, arrays in parts_:
@@ -158,10 +164,11 @@ def shared_lists(packed: DataFrame, count: int) -> DataFrame:
     def run(group: pa.Table) -> pa.Table:
         x = unpack_arrays(group.column("data").to_pylist())
         order = np.lexsort((x["sig"], x["key"]))
-        key, sig, n = x["key"][order], x["sig"][order], x["n"][order]
+        key, sig, n = (x.pop(name)[order] for name in ("key", "sig", "n"))
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (sig[1:] != sig[:-1])
         key, sig, n = key[new], sig[new], n[new]
+        del order, new
         first = np.ones(len(key), bool)
         first[1:] = key[1:] != key[:-1]
         which = np.cumsum(first) - 1
@@ -312,8 +319,8 @@ def links(sets: DataFrame, edges: DataFrame, count: int, group: int = GROUP) ->
 
 def classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The set table, and (sig, low, root): each set, its least id, and the set that stands for its component."""
-    count = parts(docs.sparkSession)
     own = stage(set_table(docs, id_col, text_col), "sets")
+    count = part_count(docs.sparkSession, own.agg(F.sum("n_shingles")).first()[0] or 0)
     lists = shared_lists(postings(docs, text_col, count), count)
     near = stage(candidates(lists), "candidates")
     found = stage(links(near, stage(star_edges(near), "stars"), count), "links")
