@@ -605,3 +605,25 @@ def test_jaccard_parts_grow_with_the_postings(spark, whole, monkeypatch):
     monkeypatch.setattr(jaccard, "shared_lists", lambda packed, count: counts.append((count, packed.select("part").distinct().count())) or plain(packed, count))
     assert sorted(map(str, jaccard.near_groups(whole).collect())) == want
     assert counts[0][0] > 4 and counts[0][1] > 4  # the session has four partitions
+
+
+def test_shard_search_adds_postings_in_small_runs(monkeypatch):
+    """The lists of rarer terms are added up for some queries at a time; sums are those of one run."""
+    rng = np.random.default_rng(3)
+    docs, terms, counts = rng.integers(0, 300, 9000), rng.integers(0, 900, 9000).astype(np.uint64), rng.integers(1, 5, 9000)
+    order = np.lexsort((docs, terms))
+    docs, terms, counts = docs[order], terms[order], counts[order]
+    new = np.concatenate([[True], (terms[1:] != terms[:-1]) | (docs[1:] != docs[:-1])])
+    docs, terms, counts = docs[new], terms[new], counts[new]
+    begin = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+    arrays = {"ids": np.arange(300), "lengths": np.full(300, 30), "terms": terms[begin], "places": np.append(begin, len(terms)), "docs": docs, "counts": counts}
+    shard = search.Shard({k: search.pack_bytes(arrays[k].astype(kind)) for k, kind in search._ARRAYS.items()}, 30.0)
+    query, at, weight = np.repeat(np.arange(20), 40), rng.integers(0, len(begin), 800), rng.random(800)
+    want = np.zeros((20, 300))
+    for q, t, w in zip(query, at, weight):
+        own = slice(shard.places[t], shard.places[t + 1])
+        np.add.at(want[q], shard.docs[own], w * shard.shares[own])
+    used, plain = [], np.bincount
+    monkeypatch.setattr(search, "CACHED", 500)
+    monkeypatch.setattr(search.np, "bincount", lambda x, **k: used.append(len(x)) or plain(x, **k))
+    assert np.allclose(shard._listed(query, at, weight, 20), want, atol=1e-12) and len(used) > 1 and max(used) < len(docs)
