@@ -12,9 +12,11 @@ import numpy as np
 import pytest
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, exact_dedup, graph, html_text, jaccard, langid, packing, pii, search, suffixes, toxicity
+from tidemark.llm.text import pack_columns, unpack_columns
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 BASE = "the quick brown fox jumps over the lazy dog while seven wizards brew a pot of strong black tea near the old mill"
@@ -627,3 +629,82 @@ def test_shard_search_adds_postings_in_small_runs(monkeypatch):
     monkeypatch.setattr(search, "CACHED", 500)
     monkeypatch.setattr(search.np, "bincount", lambda x, **k: used.append(len(x)) or plain(x, **k))
     assert np.allclose(shard._listed(query, at, weight, 20), want, atol=1e-12) and len(used) > 1 and max(used) < len(docs)
+
+
+def lone_texts(n, words, copies=()):
+    """Texts that share nothing, and near copies of some."""
+    rng = random.Random(5)
+    texts = [" ".join(f"{rng.getrandbits(60):x}" for _ in range(words)) for _ in range(n)]
+    return list(enumerate(texts + [texts[i] + " more" for i in copies]))
+
+
+def test_jaccard_sends_the_lists_of_possible_partners_only(spark, monkeypatch):
+    """Whole sets are sent only if enough of their first shingles occur in another set."""
+    texts = lone_texts(300, 200, (3, 70, 150))
+    sent, plain = [], jaccard.shared_lists
+    monkeypatch.setattr(jaccard, "shared_lists", lambda packed, count: sent.append(packed.select(F.sum(F.length("data"))).first()[0]) or plain(packed, count))
+    got = {r.id: r.component for r in jaccard.near_groups(spark.createDataFrame(texts, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {i: i for i in range(300)} | {300: 3, 301: 70, 302: 150}
+    assert sent[0] < 20 * 196 * 30  # 30 sets; six have a partner
+
+
+def test_prefixes_of_linked_sets_agree():
+    rng = random.Random(11)
+    for _ in range(3000):
+        n, more = rng.randint(1, 60), rng.randint(0, 12)
+        keys = rng.sample(range(10**6), n + more)
+        x, y = set(keys[:n]), set(keys[rng.randint(0, 12) : n + rng.randint(0, more)])
+        if y and 100 * len(x & y) >= 80 * len(x | y):
+            first = [set(sorted(s)[: jaccard.prefix(len(s))]) for s in (x, y)]
+            assert len(first[0] & first[1]) >= jaccard.agreed(min(len(x), len(y)))
+            assert all(min(len(x), len(y)) >= jaccard.required(len(s)) for s in (x, y))
+
+
+def test_shared_prefixes_are_never_too_few(spark):
+    """Counts of one part: shared keys of different sets count, lone ones do not; a key that a set holds twice counts as often."""
+    packed = [{"key": [5, 5, 9, 7, 7], "sig": [1, 2, 1, 3, 3]}, {"key": [5, 8], "sig": [4, 4]}]
+    rows = [(0, bytearray(pack_columns({"key": np.array(x["key"], np.uint32), "sig": np.array(x["sig"], np.int64)}))) for x in packed]
+    rows.append((1, bytearray(pack_columns({"key": np.array([6, 6, 6], np.uint32), "sig": np.array([1, 1, 2], np.int64)}))))
+    got = jaccard.shared_prefixes(spark.createDataFrame(rows, "part int, data binary")).collect()
+    assert {r.sig: r.shared for r in got} == {1: 3, 2: 2, 4: 1}
+
+
+@pytest.mark.parametrize("most", [15, 28])
+def test_marks_hold_every_digest(spark, most, monkeypatch):
+    """However few the bits, what was marked passes; with enough bits, little else."""
+    monkeypatch.setattr(jaccard, "MARKS", most)
+    rows = spark.range(5000).select(F.xxhash64("id").alias("digest"))
+    bits = jaccard.marks(rows, 5000)
+    digests = np.array([r.digest for r in rows.collect()])
+    others = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 20_000)
+    assert jaccard.marked(bits, digests).all() and jaccard.marked(bits, others).mean() < (0.2 if most == 15 else 0.1)
+    assert len(bits) == (1 << 12 if most == 15 else 1 << 14) and not jaccard.marked(jaccard.marks(rows.limit(0), 0), digests).any()
+
+
+def test_small_blobs_cost_little_more_than_their_rows():
+    """The bytes sent must not grow with the number of parts."""
+    rng = np.random.default_rng(4)
+    parts = [{"key": rng.integers(0, 2**63, n).astype(np.uint64), "sig": rng.integers(0, 2**63, n), "n": np.full(n, 300, np.int32)} for n in (1, 40, 0, 7)]
+    blobs = [pack_columns(x) for x in parts]
+    assert all(len(b) <= 20 * len(x["n"]) + 40 for b, x in zip(blobs, parts))
+    back = unpack_columns(blobs, {"key": np.uint64, "sig": np.int64, "n": np.int32})
+    assert all((back[k] == np.concatenate([x[k] for x in parts])).all() and back[k].dtype == parts[0][k].dtype for k in back)
+    assert unpack_columns([], {"key": np.uint64})["key"].shape == (0,)
+
+
+@pytest.mark.parametrize("repeated", [[], [(9002, "a row that is there twice")] * 2])
+@pytest.mark.parametrize("drop", [exact_dedup.drop_copies, jaccard.drop_near])
+def test_few_dropped_rows_move_no_text(spark, drop, repeated):
+    """The rows to drop are staged, so Spark knows that they are few and broadcasts them."""
+    texts = lone_texts(8000, 8) + [(i, "the same few words in both of these rows") for i in (9000, 9001)] + repeated
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        kept = drop(rows)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        # Rows of repeated ids, which are few, may be compared with the kept ones by a sort-merge semi-join.
+        assert kept.count() == 8001 + len(repeated) // 2 and re.search("BroadcastHashJoin .*LeftAnti", plan)
+        assert not re.search("SortMergeJoin .*(LeftAnti|LeftOuter)", plan) and (not repeated or re.search("BroadcastHashJoin .*(LeftSemi|LeftOuter)", plan))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

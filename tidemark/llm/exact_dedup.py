@@ -99,9 +99,10 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     lost = groups.where(~F.col("kept")).groupBy("id").agg(F.count("*").alias("lost"))
     own = groups.where("kept").groupBy("id").agg(F.count("*").alias("kept"))
     fate = stage(lost.join(own, "id", "full"), "fate")
-    gone = fate.where(F.col("kept").isNull() & F.col("id").isNotNull()).select(F.col("id").alias(id_col))
+    # Staged, their size is known: few ids are broadcast and no text moves.
+    gone = stage(fate.where(F.col("kept").isNull() & F.col("id").isNotNull()).select(F.col("id").alias(id_col)), "gone")
     # An id both kept and lost (rows repeated whole, or ids used twice) is decided row by row.
-    mixed = fate.where("kept IS NOT NULL AND lost IS NOT NULL OR id IS NULL OR kept > 1").select(F.col("id").alias(id_col))
+    mixed = stage(fate.where("kept IS NOT NULL AND lost IS NOT NULL OR id IS NULL OR kept > 1").select(F.col("id").alias(id_col)), "mixed")
     plain = docs.join(gone, id_col, "left_anti")
     if mixed.isEmpty():
         return plain.select(*docs.columns)

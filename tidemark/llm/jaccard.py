@@ -5,19 +5,24 @@ a set y can only be linked to x if it occurs in at least T = ceil(t |x|) of the
 inverted lists of x's shingles.  The search runs in these steps.
 
 1. Equal sets become one (their signature), so copies never meet as pairs.
-2. Inverted lists: shingles go by hash to tasks, each of which keeps the lists
-   that hold two sets or more.  A set with fewer than T such lists has no partner.
-3. Of the remaining sets, those that share one of their rarest shingles (so many
+2. Prefixes: with shingles in the order of their hashes, two linked sets share
+   ``agreed`` of their first ``prefix`` shingles.  Only these are sent first, as
+   half a hash and the set; a set that shares too few of them has no partner,
+   and its text is not sent again.
+3. Inverted lists of the other sets: shingles go by hash to tasks, each of which
+   keeps the lists that hold two sets or more.  A set with fewer than T such
+   lists has no partner.
+4. Of the remaining sets, those that share one of their rarest shingles (so many
    that any T others must include one) are joined by star edges to the least set
    of the list; the components of these edges hold every linked pair.
-4. Within a component the lists are searched by DivideSkip: the longest lists,
+5. Within a component the lists are searched by DivideSkip: the longest lists,
    fewer than T, are set aside; the short ones are merged and counted; only sets
    that still can reach the required overlap are probed in the long lists, by
    binary search.  A candidate already known to be connected needs no probe.
    A component with more than ``GROUP`` postings is cut into blocks, and each
    pair of blocks is searched by a task of its own, so no task holds a whole
    component however large.
-5. Components of the links found; every document gets the least id of its own.
+6. Components of the links found; every document gets the least id of its own.
 
 No list, partner or group is dropped; blobs keep the shuffles compact.
 
@@ -39,15 +44,21 @@ from tidemark.session import stage
 
 from .catalog import query, table
 from .graph import components
-from .text import mix, narrow, owners, pack_arrays, parts, slices, split_by, unpack_arrays, word_hashes
+from .text import mix, narrow, owners, pack_columns, parts, slices, split_by, unpack_columns, word_hashes
 
 WORDS, THRESHOLD = 5, 80  # shingle length; least similarity in hundredths
 GROUP = 4_000_000  # postings that one task searches at once
 PART = 1_000_000  # postings of a part, on average; a task unpacks one part at a time
 CHUNK = 1_500_000  # shingles a task gathers before it sends them on
+AGREE = 10  # linked sets share one in so many of their shingles among their prefixes
+MARKS = 28  # the marks of texts are 2 ** MARKS bits at most (32 MB); with more texts, more pass that need not
 MU = 0.0085  # cost of merging against probing, in DivideSkip's choice of long lists
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _DIGEST = "__digest"
+# Columns of what is sent packed.
+_POSTING = {"key": np.uint64, "sig": np.int64, "n": np.int32}
+_HALF = {"key": np.uint32, "sig": np.int64}
+_LISTED = {"sig": np.int64, "n": np.int32, "key": np.uint64, "df": np.int32}
 
 
 def required(size: int, threshold: int = THRESHOLD) -> int:
@@ -55,6 +66,21 @@ def required(size: int, threshold: int = THRESHOLD) -> int:
     return -(-size * threshold // 100)
 
 
+def agreed(size):
+    """Shingles that linked sets, the lesser of this size, share among their prefixes at least."""
+    return 1 + size // AGREE
+
+
+def prefix(size, threshold: int = THRESHOLD):
+    """Length of a set's prefix.
+
+    Linked sets x and y share T(x) and T(y) shingles or more, so x lacks at most
+    |x| - T(x) of its own in y.  The first k shared ones in any common order are
+    then among the first |x| - T(x) + k of x, and likewise of y.
+    """
+    return size - required(size, threshold) + agreed(size)
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int = WORDS):
     """Distinct shingle hashes of each text and the range of each; sorted within a text."""
     hashes, places = word_hashes(data, offsets)
@@ -122,12 +148,16 @@ def _rows(parts_) -> pa.RecordBatch:
     keys, blobs = [], []
     for key, arrays in parts_:
         keys.append(key)
-        blobs.append(pack_arrays(**arrays))
+        blobs.append(pack_columns(arrays))
     return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["part", "data"])
 
 
-def postings(docs: DataFrame, text_col: str, count: int) -> DataFrame:
-    """(shingle, set, set size) of all texts, packed by the shingle's part; equal sets of a task once."""
+def packed_sets(texts: DataFrame, count: int, columns, known=None, first=None) -> DataFrame:
+    """``columns(keys, sigs, sizes)`` of all texts, packed by the shingle's part; equal sets of a task once.
+
+    ``texts`` has the text, then its digest.  With ``known`` marks only texts whose digest they hold, with ``first`` only as
+    many shingles of a set of a size as it says, the least ones.
+    """
 
     def run(batches):
         seen: set[int] = set()
@@ -135,9 +165,11 @@ def postings(docs: DataFrame, text_col: str, count: int) -> DataFrame:
 
         def flush():
             keys, sigs, sizes = (np.concatenate(x) for x in zip(*held))
-            return _rows(split_by((keys >> np.uint64(33)).astype(np.int64) % count, count, {"key": keys, "sig": sigs, "n": sizes}))
+            return _rows(split_by((keys >> np.uint64(33)).astype(np.int64) % count, count, columns(keys, sigs, sizes)))
 
         for batch in batches:
+            if known is not None:
+                batch = batch.filter(pa.array(marked(known.value, batch.column(1).to_numpy())))
             for _, _, data, offsets in slices(batch.column(0)):
                 keys, places = shingle_sets(data, offsets)
                 sigs, sizes = signatures(keys, places), np.diff(places)
@@ -147,6 +179,8 @@ def postings(docs: DataFrame, text_col: str, count: int) -> DataFrame:
                         seen.add(sigs[i])
                         new[i] = True
                 use = np.repeat(new, sizes)
+                if first is not None:
+                    use &= np.arange(len(keys)) - np.repeat(places[:-1], sizes) < np.repeat(first(sizes), sizes)
                 held.append((keys[use], np.repeat(sigs, sizes)[use], np.repeat(sizes, sizes)[use].astype(np.int32)))
                 size += len(held[-1][0])
                 if size > CHUNK:
@@ -155,14 +189,66 @@ def postings(docs: DataFrame, text_col: str, count: int) -> DataFrame:
         if size:
             yield flush()
 
-    return narrow(docs, text_col).mapInArrow(run, "part int, data binary")
+    return texts.mapInArrow(run, "part int, data binary")
+
+
+def postings(texts: DataFrame, count: int, known=None) -> DataFrame:
+    """(shingle, set, set size) of the texts (of those with known digests)."""
+    return packed_sets(texts, count, lambda keys, sigs, sizes: {"key": keys, "sig": sigs, "n": sizes}, known)
+
+
+def prefix_postings(texts: DataFrame, count: int, threshold: int = THRESHOLD) -> DataFrame:
+    """(half a shingle's hash, set) of the prefixes of all texts."""
+
+    def columns(keys, sigs, sizes):
+        return {"key": keys.astype(np.uint32), "sig": sigs}
+
+    return packed_sets(texts, count, columns, first=lambda size: prefix(size, threshold))
+
+
+def shared_prefixes(packed: DataFrame) -> DataFrame:
+    """(sig, shared): how many shingles of each set's prefix other prefixes hold.
+
+    A number may be too high, never too low: shingles of a part may have the lower half of their hash in common, and a set
+    that came from two tasks counts twice.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        x = unpack_columns(group.column("data").to_pylist(), _HALF)
+        order = np.lexsort((x["sig"], x["key"]))
+        key, sig = x.pop("key")[order], x.pop("sig")[order]
+        del order
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        lengths = np.diff(np.append(starts, len(key)))
+        sigs, shared = np.unique(sig[np.repeat(sig[starts] != sig[starts + lengths - 1], lengths)], return_counts=True)
+        return pa.Table.from_arrays([pa.array(sigs, pa.int64()), pa.array(shared, pa.int64())], ["sig", "shared"])
+
+    return packed.groupBy("part").applyInArrow(run, "sig bigint, shared bigint").groupBy("sig").agg(F.sum("shared").alias("shared"))
+
+
+def marks(digests: DataFrame, rows: int) -> np.ndarray:
+    """A bit for the leading digits of each digest; as many bits as suit the rows, 2 ** MARKS at most."""
+    width = min(MARKS, max(15, (16 * rows).bit_length()))
+    place = F.shiftrightunsigned("digest", 64 - width) + 1
+    blocks = digests.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((1 << (width - 15), 4096), np.uint8)
+    for row in blocks.collect():
+        out[row.block - 1] = np.frombuffer(row.bits, np.uint8)
+    return out.ravel()
+
+
+def marked(bits: np.ndarray, digests: np.ndarray) -> np.ndarray:
+    """Whether the bit of each digest is set; it is for all that were marked."""
+    width = (8 * len(bits)).bit_length() - 1
+    place = (digests.view(np.uint64) >> np.uint64(64 - width)).astype(np.int64)
+    return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
 def shared_lists(packed: DataFrame, count: int) -> DataFrame:
     """(set, size, shingle, list length) of every list with two sets or more, packed by the set's part."""
 
     def run(group: pa.Table) -> pa.Table:
-        x = unpack_arrays(group.column("data").to_pylist())
+        x = unpack_columns(group.column("data").to_pylist(), _POSTING)
         order = np.lexsort((x["sig"], x["key"]))
         key, sig, n = (x.pop(name)[order] for name in ("key", "sig", "n"))
         new = np.ones(len(key), bool)
@@ -184,7 +270,7 @@ def candidates(lists: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Sets that occur in enough lists: sig, n, keys (rarest first, then by hash), and how many of them are probed first."""
 
     def run(group: pa.Table) -> pa.Table:
-        x = unpack_arrays(group.column("data").to_pylist())
+        x = unpack_columns(group.column("data").to_pylist(), _LISTED)
         order = np.lexsort((x["key"], x["df"], x["sig"]))
         sig, n, key = x["sig"][order], x["n"][order], x["key"][order]
         starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
@@ -317,12 +403,29 @@ def links(sets: DataFrame, edges: DataFrame, count: int, group: int = GROUP) ->
     return rows.select("*", lone).groupBy("task", "apart", "low", "high").applyInArrow(run, "a bigint, b bigint")
 
 
+def possible(own: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, int]:
+    """(sig, n, digest) of the sets that may have a partner, and the parts that suit the prefixes."""
+    spark = own.sparkSession
+    length = F.expr(f"n_shingles - (n_shingles * {threshold} + 99) div 100 + 1 + n_shingles div {AGREE}")
+    count = part_count(spark, own.where("n_shingles > 0").agg(F.sum(length)).first()[0] or 0)
+    shared = shared_prefixes(prefix_postings(texts, count, threshold))
+    # A partner has T shingles at least.
+    enough = F.expr(f"shared >= 1 + (n * {threshold} + 99) div 100 div {AGREE}")
+    sets = own.where("n_shingles > 0").select("sig", F.col("n_shingles").alias("n"), "digest").distinct()
+    return stage(sets.join(shared, "sig").where(enough).select("sig", "n", "digest"), "possible"), count
+
+
 def classed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The set table, and (sig, low, root): each set, its least id, and the set that stands for its component."""
+    spark = docs.sparkSession
     own = stage(set_table(docs, id_col, text_col), "sets")
-    count = part_count(docs.sparkSession, own.agg(F.sum("n_shingles")).first()[0] or 0)
-    lists = shared_lists(postings(docs, text_col, count), count)
-    near = stage(candidates(lists), "candidates")
+    texts = docs.select(docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("digest"))
+    some, count = possible(own, texts)
+    size = some.select("sig", "n").distinct().agg(F.sum("n")).first()[0] or 0
+    count = max(count, part_count(spark, size))
+    known = spark.sparkContext.broadcast(marks(some, some.count()))
+    near = stage(candidates(shared_lists(postings(texts, count, known), count)), "candidates")
+    known.unpersist()
     found = stage(links(near, stage(star_edges(near), "stars"), count), "links")
     roots = components(found)
     least = own.where("n_shingles > 0").groupBy("sig").agg(F.min("id").alias("low"))
@@ -349,13 +452,14 @@ def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("best"), F.count("*").alias("rows"))
     best = best.where("rows > 1").select("root", F.col("best")["id"].alias("best_id"), F.col("best")["digest"].alias("best_digest"))
     gone = rows.join(best, "root").where(~(F.col("id").eqNullSafe(F.col("best_id")) & (F.col("digest") == F.col("best_digest"))))
-    again = rows.where("n > 1").select("id", "digest")
+    again = stage(rows.where("n > 1").select("id", "digest"), "again")
     marked = docs.withColumn(_DIGEST, F.xxhash64(docs[text_col]))
 
     def same(other: DataFrame):
         return marked[id_col].eqNullSafe(other["id"]) & (marked[_DIGEST] == other["digest"])
 
-    gone = gone.select("id", "digest")
+    # Staged, their size is known: few rows are broadcast and no text moves.
+    gone = stage(gone.select("id", "digest"), "gone")
     marked = marked.join(gone, same(gone), "left_anti")
     if again.isEmpty():
         return marked.select(*docs.columns)
