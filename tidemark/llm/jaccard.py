@@ -44,7 +44,7 @@ from tidemark.session import stage
 
 from .catalog import query, table
 from .graph import components
-from .text import mix, narrow, owners, pack_columns, parts, slices, split_by, unpack_columns, word_hashes
+from .text import mix, narrow, owners, pack_columns, parts, release, slices, split_by, unpack_columns, word_hashes
 
 WORDS, THRESHOLD = 5, 80  # shingle length; least similarity in hundredths
 GROUP = 4_000_000  # postings that one task searches at once
@@ -188,6 +188,8 @@ def packed_sets(texts: DataFrame, count: int, columns, known=None, first=None) -
                     held, size, seen = [], 0, set()
         if size:
             yield flush()
+            held.clear()
+            release()
 
     return texts.mapInArrow(run, "part int, data binary")
 
@@ -221,7 +223,10 @@ def shared_prefixes(packed: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         lengths = np.diff(np.append(starts, len(key)))
         sigs, shared = np.unique(sig[np.repeat(sig[starts] != sig[starts + lengths - 1], lengths)], return_counts=True)
-        return pa.Table.from_arrays([pa.array(sigs, pa.int64()), pa.array(shared, pa.int64())], ["sig", "shared"])
+        out = pa.Table.from_arrays([pa.array(sigs, pa.int64()), pa.array(shared, pa.int64())], ["sig", "shared"])
+        del key, sig, starts, lengths, sigs, shared
+        release()
+        return out
 
     return packed.groupBy("part").applyInArrow(run, "sig bigint, shared bigint").groupBy("sig").agg(F.sum("shared").alias("shared"))
 
@@ -261,7 +266,10 @@ def shared_lists(packed: DataFrame, count: int) -> DataFrame:
         length = np.bincount(which)[which]
         use = length > 1
         arrays = {"sig": sig[use], "n": n[use], "key": key[use], "df": length[use].astype(np.int32)}
-        return pa.Table.from_batches([_rows(split_by(arrays["sig"] % count, count, arrays))])
+        out = pa.Table.from_batches([_rows(split_by(arrays["sig"] % count, count, arrays))])
+        del key, sig, n, first, which, length, use, arrays
+        release()
+        return out
 
     return packed.groupBy("part").applyInArrow(run, "part int, data binary")
 
