@@ -332,3 +332,31 @@ def test_a_large_micro_batch_has_several_files(spark, monkeypatch):
     stream.writeStream.foreachBatch(lambda df, i: seen.append(df.agg(F.min("id"), F.max("id"), F.count("*")).first())).option("checkpointLocation", out).trigger(availableNow=True).start().awaitTermination()
     assert [tuple(r) for r in seen] == [(0, 2999, 3000), (3000, 5999, 3000), (6000, 8999, 3000)]
     assert monitoring.files_each([3000] * 3, 3) == 3 and monitoring.files_each([5, 9000, 9000], 3) == 1
+
+
+def test_open_requests_are_kept_on_disk(spark, rows):
+    """The join's state lies in one RocksDB a partition, the session's settings stay, and a log begun with another store goes on with it."""
+    model, _ = T.train("logistic_regression", rows, FEATURES)
+    timed = rows.withColumn("requested_at", F.timestamp_seconds(F.col("transaction_id") * 3600))
+    settled = timed.where("transaction_id % 10 <> 0").select(
+        "transaction_id", (F.col("requested_at") + F.expr("INTERVAL 7 DAYS")).alias("settled_at"), F.col("is_fraud").alias("label")
+    )
+    logs = []
+    for begun in (False, True):
+        requests, labels, path, mark = (stage_path(spark, n) for n in ("requests", "labels", "log", "progress"))
+        timed.drop("is_fraud").write.parquet(requests)
+        settled.write.parquet(labels)
+        sides = (spark.readStream.schema(df.schema).parquet(p) for df, p in ((timed.drop("is_fraud"), requests), (settled, labels)))
+        out = scoring.labelled_log(*sides, model, "transaction_id", "requested_at", "settled_at")
+        if begun:
+            out.writeStream.format("parquet").option("path", path).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+            settled.limit(0).write.mode("append").parquet(labels)
+        before = {key: spark.conf.get(key, None) for key in scoring.STATE}
+        query = scoring.append_log(out, path, mark)
+        query.awaitTermination()
+        assert {key: spark.conf.get(key, None) for key in scoring.STATE} == before
+        stores = [s for p in query.recentProgress for s in p["stateOperators"]]
+        if not begun:
+            assert stores and all(s["numStateStoreInstances"] == 4 and "rocksdbSstFileSize" in s["customMetrics"] for s in stores)
+        logs.append(sorted(tuple(r) for r in spark.read.schema(out.schema).parquet(path).select("transaction_id", "label", "fraud_probability").collect()))
+    assert logs[0] == logs[1] and len(logs[0]) > 500
