@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import attribution
 from tidemark.operators import stats as D
 from tidemark.operators.resample import duplicate_minority, resample, rose, rose_size
-from tidemark.plans import huber
+from tidemark.plans import huber, logistic
 from tidemark.plans import training as T
 from tidemark.session import stage_path
 from tidemark.streaming import monitor, scoring
@@ -360,3 +360,36 @@ def test_open_requests_are_kept_on_disk(spark, rows):
             assert stores and all(s["numStateStoreInstances"] == 4 and "rocksdbSstFileSize" in s["customMetrics"] for s in stores)
         logs.append(sorted(tuple(r) for r in spark.read.schema(out.schema).parquet(path).select("transaction_id", "label", "fraud_probability").collect()))
     assert logs[0] == logs[1] and len(logs[0]) > 500
+
+
+def test_logistic_regression_keeps_no_rows(spark, rows, monkeypatch):
+    """Neither dealt anew nor cached, and resampled rows are written once; one class alone is left to MLlib."""
+    dealt, written, stage = [], [], T.stage
+    balanced = T.balanced
+    monkeypatch.setattr(T, "balanced", lambda *a: dealt.append(a) or balanced(*a))
+    monkeypatch.setattr(T, "stage", lambda df, name="stage": written.append(name) or stage(df, name))
+    model, seen = T.train("logistic_regression", rows, FEATURES, recipe=T.Recipe(sampling="upsampling_with_duplicates"))
+    assert not dealt and sorted(written) == ["resampled", "vectors"] and seen.count() == 720
+    assert model.stages[-1].coefficients.size == len(FEATURES)
+    model, _ = T.train("logistic_regression", rows.withColumn("is_fraud", F.lit(0)), FEATURES)
+    assert dealt and T.score(model, rows).agg(F.max("fraud_probability")).first()[0] == 0
+
+
+@pytest.mark.parametrize("noise,scale", [(1.5, [1, 1, 1, 0, 1]), (0.0, [1, 1, 1, 1, 1]), (1.5, [1e-4, 1, 1e5, 10, 1])])
+def test_logistic_newton_meets_the_objective_of_mllib(spark, noise, scale):
+    """Overlapping and separable classes, a constant and a repeated column, columns of very different size."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(600, 5))
+    x[:, 4] = x[:, 0]
+    y = (x[:, 0] - 2 * x[:, 1] + noise * draw.normal(size=600) > 1).astype(int)
+    x = x * scale + [0, 5, 0, 0, 0]
+    data = spark.createDataFrame([(Vectors.dense(a), int(b)) for a, b in zip(x, y)], ["features", "is_fraud"])
+    estimator = T.make_estimator("logistic_regression", rows=600, params={"tol": 1e-10})
+    found = logistic.fit_logistic(estimator, data, "is_fraud", 600, int(y.sum()))
+
+    def objective(model):
+        w = model.coefficients.toArray()
+        f = x @ w + model.intercept
+        return (np.logaddexp(0.0, f) - y * f).mean() + estimator.getRegParam() / 2 * w @ w
+
+    assert objective(found) <= objective(estimator.fit(data)) * (1 + 1e-8)

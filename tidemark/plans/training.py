@@ -21,6 +21,7 @@ from ..schema import ROW_ID, TARGET
 from ..session import stage
 from ..sources.files import read_table, save_as
 from .huber import fit_modified_huber
+from .logistic import fit_logistic
 
 TASK_BYTES = 128 << 20  # of input vectors that one training task keeps
 SCALINGS = ("standard", "min_max", "none")
@@ -106,11 +107,12 @@ def make_assembler(features: Sequence[str], scaling: str) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid="error")
 
 
-def assembled(df: DataFrame, features: Sequence[str], label: str, row_id: str, scaling: str) -> DataFrame:
-    """Id, label and input vector of every row, written once: later passes read one vector, not every column."""
+def assembled(df: DataFrame, features: Sequence[str], label: str, row_id: str, scaling: str, stored: bool = True) -> DataFrame:
+    """Id, label and input vector of every row; ``stored`` ones are written once: later passes read one vector, not every column."""
     made = make_assembler(features, scaling)
     typed = df.select(f"`{row_id}`", f"`{label}`", *[F.col(f"`{f}`").cast("double").alias(f) for f in features])
-    return stage(made.transform(typed).select(f"`{row_id}`", f"`{label}`", made.getOutputCol()), "vectors")
+    vectors = made.transform(typed).select(f"`{row_id}`", f"`{label}`", made.getOutputCol())
+    return stage(vectors, "vectors") if stored else vectors
 
 
 def balanced(rows: DataFrame, count: int, width: int) -> DataFrame:
@@ -166,19 +168,25 @@ def _train(
         ready = plain
     else:
         seen = stage(seen, "resampled")
-        ready = assembled(seen, features, label, row_id, recipe.scaling)
+        # Not a second copy: drawn rows are noise in every column, which no writer makes smaller.
+        ready = assembled(seen, features, label, row_id, recipe.scaling, stored=False)
     if scaler:
         stages.append(scaler.fit(plain.select(output)))
     own = ready.select(output, F.col(label).cast("int").alias(label))
-    counts = own.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p")).first()
+    counts = own.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"), F.count_if(F.col(label).isin(0, 1)).alias("k")).first()
     params = {**DEFAULT_PARAMS.get(name, {}), **recipe.params.get(name, {})}
     rows, count = own.withColumn("_valid", F.lit(False)), counts["n"]
     if steer:
         steering = vectors_of("validation", valid).select(output, F.col(label).cast("int").alias(label))
         rows, count = rows.unionByName(steering.withColumn("_valid", F.lit(True))), count + steering.count()
+    scaled = PipelineModel(stages[1:])
+    if name == "logistic_regression" and counts["k"] == counts["n"] > counts["p"] > 0:  # both classes, nothing else
+        fitted = fit_logistic(make_estimator(name, label, params, counts["n"]), scaled.transform(rows), label, counts["n"], counts["p"])
+        if fitted is not None:
+            return PipelineModel([*stages, fitted]), seen, ready
     if name != "sgd_classifier":  # which keeps no rows
         rows = balanced(rows, count, len(features))
-    rows = PipelineModel(stages[1:]).transform(rows).withColumn("weight", class_weight(name, label, counts["p"] or 0, counts["n"], params))
+    rows = scaled.transform(rows).withColumn("weight", class_weight(name, label, counts["p"] or 0, counts["n"], params))
     if name == "sgd_classifier":
         found = fit_modified_huber(rows, label, params["alpha"], params["max_iter"], params["tol"])
         return PipelineModel([*stages, *found.stages]), seen, ready
