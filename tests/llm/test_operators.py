@@ -708,3 +708,14 @@ def test_few_dropped_rows_move_no_text(spark, drop, repeated):
         assert not re.search("SortMergeJoin .*(LeftAnti|LeftOuter)", plan) and (not repeated or re.search("BroadcastHashJoin .*(LeftSemi|LeftOuter)", plan))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_blob_of_one_interval_costs_little_more_than_its_row():
+    """Every part of a pass sends one to every part of the next, so their number grows with the square of the parts."""
+    row = {"doc": np.array([7]), "tag": np.array([3], np.uint32), "start": np.array([0], np.int32), "end": np.array([50], np.int32)}
+    batch = suffixes._batch("done", [(2, row)])
+    blob = batch.column(2)[0].as_py()
+    assert len(blob) < 60 and batch.column(1).to_pylist() == [2]
+    back = suffixes.unpack_columns([blob, blob], suffixes._SPAN)
+    assert {k: v.tolist() for k, v in back.items()} == {"doc": [7, 7], "tag": [3, 3], "start": [0, 0], "end": [50, 50]}
+    assert {k: v.dtype for k, v in back.items()} == suffixes._SPAN
