@@ -719,3 +719,16 @@ def test_a_blob_of_one_interval_costs_little_more_than_its_row():
     back = suffixes.unpack_columns([blob, blob], suffixes._SPAN)
     assert {k: v.tolist() for k, v in back.items()} == {"doc": [7, 7], "tag": [3, 3], "start": [0, 0], "end": [50, 50]}
     assert {k: v.dtype for k, v in back.items()} == suffixes._SPAN
+
+
+def test_a_shard_sends_few_blobs_for_each_block_of_queries(spark, monkeypatch):
+    """Each block of queries has merge parts of its own: their number does not multiply with that of the blocks."""
+    found, stage = [], search.stage
+    monkeypatch.setattr(search, "QUERIES", 8)
+    monkeypatch.setattr(search, "stage", lambda df, name: found.append(out := stage(df, name)) or out if name == "found" else stage(df, name))
+    docs = spark.createDataFrame([(i, f"common w{i % 7} w{i % 5}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    queries = docs.where("doc_id < 32").selectExpr("doc_id AS query_id", "text")
+    rows = search.top_k(docs, queries, k=3).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in rows) == [(q, k) for q in range(32) for k in (1, 2, 3)]
+    sent = [r["part"] for df in found for r in df.collect()]
+    assert len(found) == 4 and len(sent) <= 4 and len(set(sent)) == len(sent)  # one shard, four blocks, four parts
